@@ -52,17 +52,25 @@ def merge_counts(*frequencies: DataFrame) -> DataFrame:
 
 
 def corpus_frequency(
-    passages: DataFrame, vocabulary: DataFrame | None = None, lowercase: bool = True, budget: int = BROADCAST_BYTES
+    passages: DataFrame,
+    vocabulary: DataFrame | None = None,
+    lowercase: bool = True,
+    budget: int = BROADCAST_BYTES,
+    vocabulary_is_staged: bool = False,
 ) -> CorpusFrequency:
     """Document frequencies and the number of passages from one pass over the corpus.
 
+    ``vocabulary_is_staged`` tells that the vocabulary is a written table with each word once.
+
     Each passage adds one null to its distinct words, so the count of the null word is the number of passages.
     """
     marked = F.array_append(T.distinct_words(F.col("passage"), lowercase), F.lit(None).cast("string"))
     words = passages.select(F.explode_outer(marked).alias("word"))
     listed = None
     if vocabulary is not None:
-        listed = stage(vocabulary.select("word").distinct(), "vocabulary")
+        listed = vocabulary.select("word")
+        if not vocabulary_is_staged:
+            listed = stage(listed.distinct(), "vocabulary")
         if fits_broadcast(listed, "word", budget):
             wanted = listed.unionByName(null_row(listed))
             words = words.join(

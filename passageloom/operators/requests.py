@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passageloom.operators.dedup import first_row
-from passageloom.operators.lookup import BROADCAST_BYTES, lookup_join
+from passageloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup_join
 from passageloom.operators.retrieval import SLICE_BYTES, best_passages
 from passageloom.operators.staging import stage
 
@@ -37,7 +37,11 @@ def answer_requests(
     parsed = requests.withColumn("query_id", F.when(text.rlike(_REQUEST), text.try_cast("bigint")))
     valid = F.coalesce(text.rlike(_REQUEST), F.lit(False))
     wanted = parsed.where(F.col("query_id").isNotNull()).select(F.col("query_id").alias("id")).distinct()
-    asked = first_query_of_id(queries).join(wanted, "id", "left_semi")
+    wanted = stage(wanted, "requested-ids")
+    if fits_broadcast(wanted, "id", budget):
+        asked = first_query_of_id(queries.join(F.broadcast(wanted), "id", "left_semi"))
+    else:
+        asked = first_query_of_id(queries).join(wanted, "id", "left_semi")
     answers = best_passages(stage(asked, "requested-queries"), passages, budget=slice_bytes)
     answers = stage(answers.select("query_id", "passage_id", F.lit(True).alias("_found")), "answers")
     status = F.when(~valid, "invalid").when(F.col("_found").isNull(), "not_found").otherwise("ok")

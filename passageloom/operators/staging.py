@@ -38,14 +38,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+SMALL_SCAN_BYTES = 4 * 1024 * 1024
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition a scan that has fewer splits than the session has task slots; leave every larger scan alone."""
+    """Repartition a scan that has fewer splits than the session has task slots.
+
+    A file of few row groups otherwise keeps one task busy and the others idle. Larger scans, which have enough splits,
+    and very small ones stay as they are.
+    """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    if _estimated_bytes(df) < SMALL_SCAN_BYTES or df.rdd.getNumPartitions() >= slots:
         return df
     return df.repartition(slots, *keys)
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """The planner's estimate, which for a scan is the size of its files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def null_row(df: DataFrame) -> DataFrame:
     """One row with the columns of ``df``, all null."""
     nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in df.schema.fields]

@@ -30,54 +30,46 @@ def distinct_passage_words(passages: DataFrame, lowercase: bool = True) -> DataF
     return exploded.where(F.col("word").isNotNull())
 
 
-def with_term_counts(passages: DataFrame, lowercase: bool = True) -> DataFrame:
+def with_term_counts(passages: DataFrame, lowercase: bool = True, end: bool = False) -> DataFrame:
     """Replace the passage by ``n_words`` and ``terms``, an array of (word, tf) sorted by word.
 
     The words of the row are sorted and counted as runs: a run starts where a word differs from the one before it,
-    and its length is the distance to the start of the next run.
+    and its length is the distance to the start of the next run. ``end=True`` adds an element with a null word, so that
+    a passage without words keeps a row when the array is unfolded.
     """
     keep = [c for c in passages.columns if c != "passage"]
     tokenised = passages.select(*keep, T.words(F.col("passage"), lowercase).alias("_words"))
     ordered = tokenised.select(*keep, F.size("_words").alias("n_words"), F.sort_array("_words").alias("_sorted"))
+    is_start = F.transform("_sorted", lambda word, i: F.when((i == 0) | (word != F.get(F.col("_sorted"), i - 1)), i))
     starts = ordered.select(
-        *keep,
-        "n_words",
-        "_sorted",
-        F.filter(
-            F.transform(
-                "_sorted",
-                lambda word, i: F.when((i == 0) | (word != F.get(F.col("_sorted"), i - 1)), i),
-            ),
-            lambda i: i.isNotNull(),
-        ).alias("_starts"),
+        *keep, "n_words", "_sorted", F.filter(is_start, lambda i: i.isNotNull()).alias("_starts")
     )
     ends = F.slice(F.array_append("_starts", F.col("n_words")), F.lit(2), F.size("_starts"))
-    return starts.select(
-        *keep,
-        F.col("n_words").cast("bigint").alias("n_words"),
-        F.zip_with(
-            "_starts",
-            ends,
-            lambda start, end: F.struct(
-                F.get(F.col("_sorted"), start).alias("word"), (end - start).cast("bigint").alias("tf")
-            ),
-        ).alias("terms"),
+    # array_distinct keeps the first of each run, so it has the words in the order of their starts.
+    distinct = F.array_distinct("_sorted")
+    lengths = F.zip_with("_starts", ends, lambda start, stop: stop - start)
+    if end:
+        distinct = F.array_append(distinct, F.lit(None).cast("string"))
+        lengths = F.array_append(lengths, F.lit(0))
+    return starts.select(*keep, "n_words", F.arrays_zip(distinct.alias("word"), lengths.alias("tf")).alias("terms"))
+
+
+def _unfolded(counted: DataFrame) -> DataFrame:
+    keep = [c for c in counted.columns if c not in ("n_words", "terms")]
+    rows = counted.select(*keep, "n_words", F.inline_outer("terms"))
+    return rows.select(
+        *keep, F.col("n_words").cast("bigint").alias("n_words"), "word", F.col("tf").cast("bigint").alias("tf")
     )
 
 
 def term_counts(passages: DataFrame, lowercase: bool = True) -> DataFrame:
     """(passage_id, n_words, word, tf), one row for each distinct word of a passage."""
-    counted = with_term_counts(passages, lowercase)
-    keep = [c for c in counted.columns if c != "terms"]
-    return counted.select(*keep, F.inline_outer("terms")).where(F.col("word").isNotNull())
+    return _unfolded(with_term_counts(passages, lowercase)).where(F.col("word").isNotNull())
 
 
 def term_counts_with_end(passages: DataFrame, lowercase: bool = True) -> DataFrame:
     """As ``term_counts``, plus one row with a null word for each passage, so that no passage gets lost in a join."""
-    counted = with_term_counts(passages, lowercase)
-    keep = [c for c in counted.columns if c != "terms"]
-    end = F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).cast("bigint").alias("tf"))
-    return counted.select(*keep, F.inline_outer(F.array_append("terms", end)))
+    return _unfolded(with_term_counts(passages, lowercase, end=True))
 
 
 def vocabulary(passages: DataFrame, lowercase: bool = True) -> DataFrame:

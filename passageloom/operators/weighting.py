@@ -73,9 +73,13 @@ def index_vocabulary(words: DataFrame, *order: str, max_words: int = MAX_DENSE_W
 
 def check_dense_size(words: DataFrame, max_words: int = MAX_DENSE_WORDS) -> int:
     size = words.limit(max_words + 1).count()
+    _refuse_above(size, max_words)
+    return size
+
+
+def _refuse_above(size: int, max_words: int) -> None:
     if size > max_words:
         raise ValueError(f"a dense vector takes at most {max_words} words; use the long form for a larger vocabulary")
-    return size
 
 
 def attach_idf(vocabulary: DataFrame, idf: DataFrame) -> DataFrame:
@@ -90,9 +94,10 @@ def dense_tfidf(
     unique_ids: bool = True,
     empty: str = "zero",
     share_first: bool = False,
+    digits: int | None = None,
     max_words: int = MAX_DENSE_WORDS,
 ) -> DataFrame:
-    """(passage_id, vector): the weights of every passage in vocabulary order.
+    """(passage_id, vector): the weights of every passage in vocabulary order, rounded if ``digits`` is given.
 
     ``vocabulary_idf`` is a staged (word_idx, word, idf) table with word_idx from 0. Words absent from a passage weigh
     0 (NaN when their idf is Infinity, as 0 * Infinity); words with a null idf weigh 0. ``empty="nan"`` makes the
@@ -102,8 +107,8 @@ def dense_tfidf(
     """
     if empty not in ("zero", "nan"):
         raise ValueError(f"empty must be 'zero' or 'nan', not {empty!r}")
-    size = check_dense_size(vocabulary_idf, max_words)
-    background = _background(vocabulary_idf, size)
+    background = _background(vocabulary_idf, max_words)
+    size = len(background)
 
     source = passages
     group = ["passage_id"]
@@ -112,6 +117,9 @@ def dense_tfidf(
         group.append("_row")
     counts = term_counts_with_end(source, lowercase)
     weighted = tfidf_of_share if share_first else tfidf_of_product
+    weight = weighted(F.col("tf"), F.col("n_words"), F.col("idf"))
+    if digits is not None:
+        weight = F.round(weight, digits)
 
     # The null word joins the null row of the list, which keeps one row for each passage.
     listed = vocabulary_idf.where(F.col("idf").isNotNull()).unionByName(null_row(vocabulary_idf))
@@ -122,11 +130,11 @@ def dense_tfidf(
         "n_words",
         F.when(
             F.col("word_idx").isNotNull(),
-            F.struct("word_idx", weighted(F.col("tf"), F.col("n_words"), F.col("idf")).alias("weight")),
+            F.struct("word_idx", weight.alias("weight")),
         ).alias("hit"),
     )
     grouped = hits.groupBy(*group).agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_list("hit")).alias("hits"))
-    filled = fill_vector(grouped, "hits", background, size)
+    filled = fill_vector(grouped, "hits", background)
     vector = F.col("vector")
     if empty == "nan":
         vector = F.when(F.col("n_words") == 0, F.transform(vector, lambda x: F.lit(float("nan")))).otherwise(vector)
@@ -144,35 +152,48 @@ def densify(sparse: DataFrame, vocabulary: DataFrame, passages: DataFrame, max_w
     )
     every = passages.select("passage_id", F.lit(None).cast(hits.schema["hit"].dataType).alias("hit"))
     grouped = hits.unionByName(every).groupBy("passage_id").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
-    zeros = F.lit(np.zeros(size)) if size else F.array().cast("array<double>")
-    return fill_vector(grouped, "hits", zeros, size).select("passage_id", "vector")
+    return fill_vector(grouped, "hits", np.zeros(size)).select("passage_id", "vector")
 
 
-def _background(vocabulary_idf: DataFrame, size: int) -> Column:
-    """What an absent word weighs, by index: NaN where idf is Infinity, else 0. One array of ``size`` doubles."""
-    values = np.zeros(size)
-    infinite = vocabulary_idf.where(F.col("idf") == F.lit(float("inf"))).select("word_idx").toArrow()
-    values[infinite.column("word_idx").to_numpy()] = np.nan
-    return F.lit(values) if size else F.array().cast("array<double>")
+def _background(vocabulary_idf: DataFrame, max_words: int) -> np.ndarray:
+    """What an absent word weighs, by index: NaN where idf is Infinity, else 0."""
+    infinite = F.when(F.col("idf") == F.lit(float("inf")), F.col("word_idx"))
+    bounded = vocabulary_idf.limit(max_words + 1)
+    found = bounded.agg(F.count("*").alias("size"), F.collect_list(infinite).alias("infinite")).first()
+    _refuse_above(found["size"], max_words)
+    values = np.zeros(found["size"])
+    values[np.asarray(found["infinite"], dtype=np.int64)] = np.nan
+    return values
 
 
-def fill_vector(grouped: DataFrame, hits: str, background: Column, size: int) -> DataFrame:
+def fill_vector(grouped: DataFrame, hits: str, background: np.ndarray) -> DataFrame:
     """Add ``vector``: the hits (sorted by word_idx) at their places, the background between them.
 
-    Built from slices between one hit and the next, so the work is the length of the vector plus the hits.
+    Built from the gaps between one hit and the next, so the work is the length of the vector plus the hits.
     """
+    if np.isnan(background).any():
+        values = F.lit(background)
+
+        def gap(start: Column, length: Column) -> Column:
+            return F.slice(values, start + 1, length)
+
+    else:
+
+        def gap(start: Column, length: Column) -> Column:
+            return F.array_repeat(F.lit(0.0), length)
+
     keep = [c for c in grouped.columns if c != hits]
     bounded = grouped.select(
         *keep,
         F.col(hits).alias("_hits"),
-        F.array_append(F.transform(F.col(hits), lambda hit: hit["word_idx"]), F.lit(size)).alias("_next"),
+        F.array_append(F.transform(F.col(hits), lambda hit: hit["word_idx"]), F.lit(len(background))).alias("_next"),
     )
-    head = F.array(F.slice(background, F.lit(1), F.get(F.col("_next"), F.lit(0))))
+    head = F.array(gap(F.lit(0), F.get(F.col("_next"), F.lit(0))))
     pieces = F.transform(
         F.col("_hits"),
         lambda hit, k: F.concat(
             F.array(hit["weight"]),
-            F.slice(background, hit["word_idx"] + 2, F.get(F.col("_next"), k + 1) - hit["word_idx"] - 1),
+            gap(hit["word_idx"] + 1, F.get(F.col("_next"), k + 1) - hit["word_idx"] - 1),
         ),
     )
     return bounded.select(*keep, F.flatten(F.concat(head, pieces)).alias("vector"))

@@ -28,10 +28,6 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, DIGITS) for c in columns})
 
 
-def _rounded_vector(df: DataFrame) -> DataFrame:
-    return df.withColumn("vector", F.transform("vector", lambda x: F.round(x, DIGITS)))
-
-
 # Words and counts
 
 
@@ -140,14 +136,14 @@ def tfidf_fixed_vocab(spark: SparkSession, folder: str) -> DataFrame:
 
 def tfidf_dense(spark: SparkSession, folder: str) -> DataFrame:
     words = inputs.benchmark_words(spark, folder)
-    return _rounded_vector(corpus.dense_of_tables(inputs.documents(spark, folder), words))
+    return corpus.dense_of_tables(inputs.documents(spark, folder), words, digits=DIGITS)
 
 
 def tfidf_densified(spark: SparkSession, folder: str) -> DataFrame:
     """Long weights over the whole vocabulary, then dense over the words of a list."""
     passages = inputs.documents(spark, folder)
     words = stage(weighting.index_vocabulary(inputs.benchmark_words(spark, folder)), "word-list")
-    return _rounded_vector(weighting.densify(weighting.tfidf_sparse(passages), words, passages))
+    return weighting.densify(_rounded(weighting.tfidf_sparse(passages), "tfidf"), words, passages)
 
 
 # Vectors and retrieval
@@ -247,21 +243,19 @@ def idf_from_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tfidf_first_generation(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = corpus.first_generation(
-        spark, _passage_files(spark, folder), _word_file(spark, folder), header=False
-    )
-    return _rounded_vector(vectors)
+    passages, words = _passage_files(spark, folder), _word_file(spark, folder)
+    return corpus.first_generation(spark, passages, words, header=False, digits=DIGITS)
 
 
 def tfidf_saved_idf(spark: SparkSession, folder: str) -> DataFrame:
     passages, words, saved = _passage_files(spark, folder), _word_file(spark, folder), new_folder(spark, "idf-file")
     corpus.build_idf(spark, passages, words, saved, header=False)
-    return _rounded_vector(corpus.with_saved_idf(spark, passages, words, saved, header=False))
+    return corpus.with_saved_idf(spark, passages, words, saved, header=False, digits=DIGITS)
 
 
 def tfidf_one_shot(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = corpus.one_shot(spark, _passage_files(spark, folder), _word_file(spark, folder), header=False)
-    return _rounded_vector(vectors)
+    passages, words = _passage_files(spark, folder), _word_file(spark, folder)
+    return corpus.one_shot(spark, passages, words, header=False, digits=DIGITS)
 
 
 def embedding_parse(spark: SparkSession, folder: str) -> DataFrame:
@@ -301,12 +295,10 @@ def passage_stream(spark: SparkSession, folder: str) -> DataFrame:
     corpus.build_idf(spark, passages, words, saved, header=False)
     output, progress = new_folder(spark, "vectors"), new_folder(spark, "progress")
     run = weigh_passage_stream(
-        read_passage_stream(spark, passages), corpus.word_list_with_idf(spark, words, saved), output, progress
+        read_passage_stream(spark, passages), corpus.word_list_with_idf(spark, words, saved), output, progress, DIGITS
     )
     run.awaitTermination()
-    return _rounded_vector(
-        spark.read.schema("passage_id string, vector array<double>").parquet(f"{output}/batch=*")
-    )
+    return spark.read.schema("passage_id string, vector array<double>").parquet(f"{output}/batch=*")
 
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -29,7 +29,7 @@ def build_idf(
 
 
 def first_generation(
-    spark: SparkSession, passages: str, word_list: str, output: str | None = None, header: bool = True
+    spark: SparkSession, passages: str, word_list: str, output: str | None = None, header: bool = True, digits: int | None = None
 ) -> DataFrame:
     """Case-sensitive TF-IDF of a corpus, dense over the words of a list; ``id,v:v:...:v`` if an output is given.
 
@@ -39,7 +39,7 @@ def first_generation(
     rows = stage(read_passages(spark, passages, header=header), "passages")
     words = read_word_list(spark, word_list, whitespace=True)
     idf = idf_of(corpus_frequency(rows, words, lowercase=False))
-    vectors = dense_tfidf(rows, attach_idf(words, idf), lowercase=False, share_first=True)
+    vectors = dense_tfidf(rows, attach_idf(words, idf), lowercase=False, share_first=True, digits=digits)
     if output is not None:
         write_dense_vectors(vectors, output)
     return vectors
@@ -50,11 +50,11 @@ def word_list_with_idf(spark: SparkSession, word_list: str, idf: str) -> DataFra
 
 
 def with_saved_idf(
-    spark: SparkSession, passages: str, word_list: str, idf: str, output: str | None = None, header: bool = True
+    spark: SparkSession, passages: str, word_list: str, idf: str, output: str | None = None, header: bool = True, digits: int | None = None
 ) -> DataFrame:
     """Dense TF-IDF with a saved IDF table. Rows are weighted one by one: equal ids stay separate."""
     rows = read_passages(spark, passages, header=header, unique=False)
-    vectors = dense_tfidf(rows, word_list_with_idf(spark, word_list, idf), unique_ids=False)
+    vectors = dense_tfidf(rows, word_list_with_idf(spark, word_list, idf), unique_ids=False, digits=digits)
     if output is not None:
         append_dense_csv(vectors, output)
     return vectors
@@ -68,6 +68,7 @@ def one_shot(
     header: bool = True,
     zero_df: str = "omit",
     empty: str = "zero",
+    digits: int | None = None,
 ) -> DataFrame:
     """Passage files and a word list to dense TF-IDF, the IDF computed on the way.
 
@@ -76,16 +77,18 @@ def one_shot(
     rows = stage(read_passages(spark, passages, header=header), "passages")
     words = read_word_list(spark, word_list)
     idf = idf_of(corpus_frequency(rows, words), zero_df)
-    vectors = dense_tfidf(rows, attach_idf(words, idf), empty=empty)
+    vectors = dense_tfidf(rows, attach_idf(words, idf), empty=empty, digits=digits)
     if output is not None:
         write_dense_csv(vectors, words, output)
     return vectors
 
 
-def dense_of_tables(passages: DataFrame, words: DataFrame) -> DataFrame:
-    """Dense TF-IDF of a passage table over the words of a second corpus, in ascending order."""
-    listed = stage(index_vocabulary(words), "word-list")
-    return dense_tfidf(passages, attach_idf(listed, idf_of(corpus_frequency(passages, listed))))
+def dense_of_tables(passages: DataFrame, words: DataFrame, digits: int | None = None) -> DataFrame:
+    """Dense TF-IDF of a passage table over a table of different words, in ascending order."""
+    listed = stage(words, "words")
+    idf = idf_of(corpus_frequency(passages, listed, vocabulary_is_staged=True))
+    listed = index_vocabulary(listed)
+    return dense_tfidf(passages, attach_idf(listed, idf), digits=digits)
 
 
 def show_passage(spark: SparkSession, path: str, passage_id: str, header: bool = True) -> DataFrame:

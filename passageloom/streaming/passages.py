@@ -19,12 +19,12 @@ def read_passage_stream(spark: SparkSession, folder: str, files_per_trigger: int
 
 
 def weigh_passage_stream(
-    passages: DataFrame, vocabulary_idf: DataFrame, output: str, checkpoint: str, **trigger
+    passages: DataFrame, vocabulary_idf: DataFrame, output: str, checkpoint: str, digits: int | None = None, **trigger
 ) -> StreamingQuery:
     """Dense TF-IDF of a streaming passage table, into Parquet below ``output``, one folder for each micro-batch."""
 
     def weigh(batch: DataFrame, number: int) -> None:
-        vectors = dense_tfidf(batch, vocabulary_idf, unique_ids=False)
+        vectors = dense_tfidf(batch, vocabulary_idf, unique_ids=False, digits=digits)
         vectors.write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     stream = passages.writeStream.foreachBatch(weigh).option("checkpointLocation", checkpoint)
