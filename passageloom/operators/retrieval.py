@@ -28,6 +28,7 @@ from passageloom.operators.vector_blocks import TILE_CELLS, Block, all_scores, b
 cloudpickle.register_pickle_by_value(vector_blocks)
 
 SLICE_BYTES = 64 * 1024 * 1024
+_POSITION = {"pos"}
 
 
 def _order_fields(passages: DataFrame) -> list[str]:
@@ -63,8 +64,11 @@ def _matrix(table: pa.Table) -> np.ndarray:
 def best_passages(
     queries: DataFrame, passages: DataFrame, with_embedding: bool = False, budget: int = SLICE_BYTES
 ) -> DataFrame:
-    """(query_id, passage_id, score), one row for each query row; with the passage's embedding if asked for."""
-    queries = queries.select("id", "embedding")
+    """(query_id, passage_id, score), one row for each query row; with the passage's embedding if asked for.
+
+    Queries with ``pos`` keep it, so that the answers can be put in the order of the queries.
+    """
+    queries = queries.select("id", "embedding", *_POSITION.intersection(queries.columns))
     ordered, names = _with_order(passages)
 
     known = _up_to(queries, _slice_rows(queries, budget))
@@ -79,26 +83,21 @@ def best_passages(
     return _best_in_turns(queries, ordered, names, with_embedding, budget)
 
 
-def _result_columns(with_embedding: bool) -> list:
-    columns = ["query_id", "best.id AS passage_id", "best.score AS score"]
-    return columns + ["best.embedding AS embedding"] if with_embedding else columns
-
-
 def _best_by_query_slice(known: pa.Table, passages: DataFrame, names: list[str], with_embedding: bool) -> DataFrame:
     """Queries broadcast, passages streamed: each task sends its best for each query, the rest is one small aggregate."""
     spark = passages.sparkSession
-    shared = spark.sparkContext.broadcast((numbers_of(known, ["id"])[0], _matrix(known)))
+    shared = spark.sparkContext.broadcast(_matrix(known))
     schema = T.StructType(
-        [T.StructField("query_no", T.LongType()), T.StructField("query_id", T.LongType()), T.StructField("id", T.LongType())]
+        [T.StructField("query_no", T.LongType()), T.StructField("id", T.LongType())]
         + [T.StructField(n, T.LongType()) for n in names]
         + [T.StructField("score", T.DoubleType())]
         + ([T.StructField("embedding", T.ArrayType(T.DoubleType()))] if with_embedding else [])
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = shared.value
+        matrix = shared.value
         queries = Block(matrix)
-        n = len(ids)
+        n = len(matrix)
         score = np.full(n, -np.inf)
         found = np.zeros(n, dtype=bool)
         winner = np.zeros((len(names) + 1, n), dtype=np.int64)
@@ -129,7 +128,7 @@ def _best_by_query_slice(known: pa.Table, passages: DataFrame, names: list[str],
                 for query, passage in zip(q, p):
                     vectors[query] = embedding[int(passage)].as_py()
         q = np.flatnonzero(found)
-        arrays = [pa.array(q), pa.array(ids[q])] + [pa.array(row[q]) for row in winner] + [pa.array(score[q])]
+        arrays = [pa.array(q)] + [pa.array(row[q]) for row in winner] + [pa.array(score[q])]
         if with_embedding:
             arrays.append(pa.array([vectors[i] for i in q], type=pa.list_(pa.float64())))
         yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
@@ -137,15 +136,22 @@ def _best_by_query_slice(known: pa.Table, passages: DataFrame, names: list[str],
     found = passages.mapInArrow(search, schema)
     # One row without a score for each query keeps the queries for which no task finds anything.
     every = spark.createDataFrame(
-        pa.table({"query_no": np.arange(known.num_rows), "query_id": known.column("id")})
-    ).select("query_no", "query_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields[2:]])
+        known.drop_columns(["embedding"]).append_column("query_no", pa.array(np.arange(known.num_rows)))
+    ).withColumnRenamed("id", "query_id")
+    carried = [c for c in every.columns if c != "query_no"]
     payload = F.struct("id", "score", *(["embedding"] if with_embedding else []))
     order = F.when(F.col("score").isNotNull(), F.struct("score", *names))
-    return (
-        every.unionByName(found)
-        .groupBy("query_no", "query_id")
-        .agg(F.max_by(payload, order).alias("best"))
-        .selectExpr(*_result_columns(with_embedding))
+    answers = (
+        every.unionByName(found, allowMissingColumns=True)
+        .groupBy("query_no")
+        .agg(F.max_by(payload, order).alias("best"), *[F.max(c).alias(c) for c in carried])
+    )
+    return answers.select(
+        "query_id",
+        F.col("best.id").alias("passage_id"),
+        F.col("best.score").alias("score"),
+        *([F.col("best.embedding").alias("embedding")] if with_embedding else []),
+        *[c for c in carried if c != "query_id"],
     )
 
 
@@ -154,10 +160,13 @@ def _best_by_passage_slice(
 ) -> DataFrame:
     """Passages broadcast, queries streamed: each query row is answered where it is, nothing is shuffled."""
     shared = queries.sparkSession.sparkContext.broadcast((numbers_of(few, ["id", *names]), _matrix(few)))
+    carried = [field for field in queries.schema.fields if field.name not in ("id", "embedding")]
     schema = T.StructType(
         [T.StructField("query_id", T.LongType()), T.StructField("passage_id", T.LongType()), T.StructField("score", T.DoubleType())]
         + ([T.StructField("embedding", T.ArrayType(T.DoubleType()))] if with_embedding else [])
+        + carried
     )
+    carried_names = [field.name for field in carried]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns, matrix = shared.value
@@ -174,6 +183,7 @@ def _best_by_passage_slice(
             if with_embedding:
                 vectors = [None if row < 0 else matrix[row] for row in best]
                 arrays.append(pa.array(vectors, type=pa.list_(pa.float64())))
+            arrays.extend(batch.column(name) for name in carried_names)
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return queries.mapInArrow(search, schema)
@@ -190,12 +200,12 @@ def _best_in_turns(
     numbered = stage(queries.withColumn("_no", F.monotonically_increasing_id()), "queries")
     turns = -(-numbered.count() // _slice_rows(numbered, budget))
     numbered = stage(
-        numbered.select("id", "embedding", F.pmod(F.xxhash64("_no"), F.lit(turns)).alias("turn")), "queries-in-turns"
+        numbered.select(*queries.columns, F.pmod(F.xxhash64("_no"), F.lit(turns)).alias("turn")), "queries-in-turns"
     )
     folder = new_folder(spark, "best-passages")
     schema = None
     for turn in range(turns):
-        known = numbered.where(F.col("turn") == turn).select("id", "embedding").toArrow()
+        known = numbered.where(F.col("turn") == turn).select(*queries.columns).toArrow()
         if known.num_rows:
             answers = _best_by_query_slice(known, passages, names, with_embedding)
             answers.write.mode("append").parquet(folder)

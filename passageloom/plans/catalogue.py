@@ -272,7 +272,8 @@ def best_passage_from_files(spark: SparkSession, folder: str) -> DataFrame:
     queries, passages = new_folder(spark, "query-files"), new_folder(spark, "embedding-files")
     write_embeddings(inputs.label_means(spark, folder), queries)
     write_embeddings(inputs.vectors(spark, folder), passages)
-    return _rounded(search.answer_all(spark, queries, passages), "score")
+    answers = search.answer_all(spark, queries, passages)
+    return _rounded(answers.select("query_id", "passage_id", "score"), "score")
 
 
 # Streams

@@ -67,6 +67,7 @@ def write_passages(passages: DataFrame, path: str, mode: str = "errorifexists")
 
 
 def write_answers(answers: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """``(query, passage)`` for each answered query, ascending by query."""
+    """``(query, passage)`` for each answered query, in the order of the queries (by id if they have no position)."""
+    order = ["pos"] if "pos" in answers.columns else ["query_id", "passage_id"]
     line = F.format_string("(%d, %d)", F.col("query_id"), F.col("passage_id"))
-    answers.where(F.col("passage_id").isNotNull()).orderBy("query_id").select(line).write.mode(mode).text(path, lineSep="\n")
+    answers.where(F.col("passage_id").isNotNull()).orderBy(*order).select(line).write.mode(mode).text(path, lineSep="\n")

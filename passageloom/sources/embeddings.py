@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from passageloom.functions.vectors import embedding_of_text_or_null
 from passageloom.operators.staging import spread
-from passageloom.sources.files import read_lines
+from passageloom.sources.files import read_lines, with_file_number
 
 # Fixed value: an id is read from the digits at the start of its field, and what follows them is ignored.
 _LEADING_DIGITS = "^([0-9]+)"
@@ -36,19 +36,19 @@ def parse_embedding_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_embeddings(spark: SparkSession, path: str, on_error: str = "raise") -> DataFrame:
-    """Read an ``id,v:v:...:v`` file with the position of each row.
+    """Read ``id,v:v:...:v`` lines with the position of each row (``pos``: file by name, then place in the file).
 
     The first bad line fails the job; with ``on_error="drop"`` bad lines are left out (see ``rejected_embeddings``).
     """
     if on_error not in ("raise", "drop"):
         raise ValueError(f"on_error must be 'raise' or 'drop', not {on_error!r}")
-    parsed = parse_embedding_lines(read_lines(spark, path))
+    parsed = parse_embedding_lines(with_file_number(read_lines(spark, path)))
     if on_error == "raise":
         # In the filter, so that the check runs whichever columns are used later.
         parsed = parsed.where(F.when(F.col("error").isNull(), F.lit(True)).otherwise(F.raise_error(F.col("error")).cast("boolean")))
     else:
         parsed = parsed.where(F.col("error").isNull())
-    return parsed.select("id", "embedding", F.struct("block", "row").alias("pos"))
+    return parsed.select("id", "embedding", F.struct("file", "block", "row").alias("pos"))
 
 
 def rejected_embeddings(spark: SparkSession, path: str) -> DataFrame:

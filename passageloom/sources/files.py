@@ -28,3 +28,21 @@ def read_lines(spark: SparkSession, path: str | list[str], header: bool = False)
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
+
+
+def with_file_number(lines: DataFrame) -> DataFrame:
+    """Replace ``file`` by the number of the file among all files read, in the order of their names.
+
+    The names are those that the scan itself has listed; they are joined as a broadcast next to the scan.
+    """
+    names = sorted(_one_slash(name) for name in lines.inputFiles())
+    others = [c for c in lines.columns if c != "file"]
+    if len(names) <= 1:
+        return lines.select(F.lit(0).alias("file"), *others)
+    numbers = lines.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "_name string, _number int")
+    named = lines.withColumn("_name", F.regexp_replace("file", "^file:/+", "file:/"))
+    return named.join(F.broadcast(numbers), "_name", "left").select(F.col("_number").alias("file"), *others)
+
+
+def _one_slash(name: str) -> str:
+    return "file:/" + name[5:].lstrip("/") if name.startswith("file:") else name
