@@ -45,14 +45,25 @@ def _with_order(passages: DataFrame) -> tuple[DataFrame, list[str]]:
     return passages.select("id", "embedding", *order), names
 
 
-def _slice_rows(table: DataFrame, budget: int) -> int:
-    """How many rows of this table fill the budget, by the length of its first vector."""
-    first = table.select(F.size("embedding").alias("width")).first()
-    return max(1, budget // (8 * max(1, first["width"] if first else 1)))
+def _width(vectors: pa.Table) -> int:
+    """Length of the longest vector."""
+    return max([1, *(len(v) for v in vectors.column("embedding") if v.is_valid)])
 
 
-def _up_to(table: DataFrame, rows: int) -> pa.Table | None:
-    """The whole table if it has at most ``rows`` rows, else None. Never brings more than one row beyond that."""
+def _whole(table: DataFrame, budget: int, at_most: int | None = None) -> pa.Table | None:
+    """The whole table if it has at most ``at_most`` rows and fills at most ``budget`` bytes, else None.
+
+    A short list comes in one job; for a longer one the first rows tell how many are worth fetching.
+    """
+    probe_rows = max(1, min(1024, budget // 512))
+    probe_rows = probe_rows if at_most is None else min(probe_rows, at_most)
+    fetched = table.limit(probe_rows + 1).toArrow()
+    if fetched.num_rows <= probe_rows:
+        return fetched
+    rows = budget // (8 * _width(fetched))
+    rows = rows if at_most is None else min(rows, at_most)
+    if rows <= probe_rows:
+        return None
     fetched = table.limit(rows + 1).toArrow()
     return fetched if fetched.num_rows <= rows else None
 
@@ -71,13 +82,10 @@ def best_passages(
     queries = queries.select("id", "embedding", *_POSITION.intersection(queries.columns))
     ordered, names = _with_order(passages)
 
-    known = _up_to(queries, _slice_rows(queries, budget))
-    if known is not None:
-        fewer = _up_to(ordered, min(known.num_rows, _slice_rows(ordered, budget)))
-        if fewer is None:
-            return _best_by_query_slice(known, ordered, names, with_embedding)
-    else:
-        fewer = _up_to(ordered, _slice_rows(ordered, budget))
+    known = _whole(queries, budget)
+    fewer = _whole(ordered, budget, None if known is None else known.num_rows)
+    if fewer is None and known is not None:
+        return _best_by_query_slice(known, ordered, names, with_embedding)
     if fewer is not None:
         return _best_by_passage_slice(queries, fewer, names, with_embedding)
     return _best_in_turns(queries, ordered, names, with_embedding, budget)
@@ -198,7 +206,7 @@ def _best_in_turns(
     """
     spark = queries.sparkSession
     numbered = stage(queries.withColumn("_no", F.monotonically_increasing_id()), "queries")
-    turns = -(-numbered.count() // _slice_rows(numbered, budget))
+    turns = -(-numbered.count() * _width(numbered.limit(1024).toArrow()) * 8 // budget)
     numbered = stage(
         numbered.select(*queries.columns, F.pmod(F.xxhash64("_no"), F.lit(turns)).alias("turn")), "queries-in-turns"
     )
@@ -219,7 +227,7 @@ def similarities(queries: DataFrame, passages: DataFrame, budget: int = SLICE_BY
     For a bounded set of queries only: the result has as many rows as both tables multiplied. ``best_passages`` never
     forms them.
     """
-    known = _up_to(queries.select("id", "embedding"), _slice_rows(queries, budget))
+    known = _whole(queries.select("id", "embedding"), budget)
     if known is None:
         raise ValueError("similarities are for a bounded set of queries; use best_passages for more")
     shared = passages.sparkSession.sparkContext.broadcast((numbers_of(known, ["id"])[0], _matrix(known)))

@@ -6,13 +6,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from passageloom.functions import text as T
 from passageloom.functions.weights import term_frequency, tfidf_of_product, tfidf_of_share
 from passageloom.operators.frequency import corpus_frequency, idf_of
-from passageloom.operators.lookup import BROADCAST_BYTES, lookup_join
+from passageloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup_join
 from passageloom.operators.staging import null_row, stage
 from passageloom.operators.terms import term_counts, term_counts_with_end
 
-MAX_DENSE_WORDS = 200_000
+MAX_DENSE_WORDS = 4_000_000
 
 
 def term_frequencies(passages: DataFrame, lowercase: bool = True) -> DataFrame:
@@ -60,21 +61,25 @@ def tfidf_for_vocabulary(
     )
 
 
-def index_vocabulary(words: DataFrame, *order: str, max_words: int = MAX_DENSE_WORDS) -> DataFrame:
+def index_vocabulary(words: DataFrame, *order: str) -> DataFrame:
     """(word_idx, word): number a word list from 0 in the given order (by word if none is given).
 
-    A list that defines a dense vector has to be bounded; a longer one is refused. The numbering runs in one task
-    only because its size has been checked here.
+    The list is sorted by range, written with the place of each row in its partition, and the sizes of the partitions
+    before it are added: no task sees more than its own range.
     """
-    check_dense_size(words, max_words)
-    position = F.row_number().over(Window.orderBy(*(order or ("word",)))) - 1
-    return words.select(position.cast("int").alias("word_idx"), "word")
-
-
-def check_dense_size(words: DataFrame, max_words: int = MAX_DENSE_WORDS) -> int:
-    size = words.limit(max_words + 1).count()
-    _refuse_above(size, max_words)
-    return size
+    order = order or ("word",)
+    ranged = words.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()
+    placed = stage(
+        ranged.select("word", F.shiftright(place, 33).alias("_range"), place.bitwiseAND(F.lit(2**33 - 1)).alias("_place")),
+        "word-places",
+    )
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    # One row for each partition of the list.
+    numbered = placed.join(F.broadcast(offsets), "_range")
+    return numbered.select((F.col("_offset") + F.col("_place")).alias("word_idx"), "word")
 
 
 def _refuse_above(size: int, max_words: int) -> None:
@@ -96,6 +101,7 @@ def dense_tfidf(
     share_first: bool = False,
     digits: int | None = None,
     max_words: int = MAX_DENSE_WORDS,
+    budget: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(passage_id, vector): the weights of every passage in vocabulary order, rounded if ``digits`` is given.
 
@@ -108,31 +114,33 @@ def dense_tfidf(
     if empty not in ("zero", "nan"):
         raise ValueError(f"empty must be 'zero' or 'nan', not {empty!r}")
     background = _background(vocabulary_idf, max_words)
-    size = len(background)
 
     source = passages
     group = ["passage_id"]
     if not unique_ids:
         source = passages.withColumn("_row", F.monotonically_increasing_id())
         group.append("_row")
-    counts = term_counts_with_end(source, lowercase)
     weighted = tfidf_of_share if share_first else tfidf_of_product
     weight = weighted(F.col("tf"), F.col("n_words"), F.col("idf"))
     if digits is not None:
         weight = F.round(weight, digits)
-
-    # The null word joins the null row of the list, which keeps one row for each passage.
-    listed = vocabulary_idf.where(F.col("idf").isNotNull()).unionByName(null_row(vocabulary_idf))
-    hits = counts.join(
-        F.broadcast(listed.withColumnRenamed("word", "_listed")), F.col("word").eqNullSafe(F.col("_listed")), "inner"
-    ).select(
-        *group,
-        "n_words",
-        F.when(
-            F.col("word_idx").isNotNull(),
-            F.struct("word_idx", weight.alias("weight")),
-        ).alias("hit"),
-    )
+    hit = F.struct(F.col("word_idx").cast("int").alias("word_idx"), weight.alias("weight"))
+
+    listed = vocabulary_idf.where(F.col("idf").isNotNull())
+    if fits_broadcast(listed, "word", budget):
+        # The null word joins a null row of the list, which keeps one row for each passage.
+        wanted = listed.unionByName(null_row(vocabulary_idf)).withColumnRenamed("word", "_listed")
+        found = term_counts_with_end(source, lowercase).join(
+            F.broadcast(wanted), F.col("word").eqNullSafe(F.col("_listed")), "inner"
+        )
+        hits = found.select(*group, "n_words", F.when(F.col("word_idx").isNotNull(), hit).alias("hit"))
+    else:
+        if not unique_ids:
+            source = stage(source, "numbered-passages")
+        found = lookup_join(term_counts(source, lowercase), listed, "word", budget=budget)
+        hits = found.select(*group, "n_words", hit.alias("hit"))
+        lengths = source.select(*group, F.size(T.words(F.col("passage"), lowercase)).cast("bigint").alias("n_words"))
+        hits = hits.unionByName(lengths.withColumn("hit", F.lit(None).cast(hits.schema["hit"].dataType)))
     grouped = hits.groupBy(*group).agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_list("hit")).alias("hits"))
     filled = fill_vector(grouped, "hits", background)
     vector = F.col("vector")
@@ -141,14 +149,21 @@ def dense_tfidf(
     return filled.select("passage_id", vector.alias("vector"))
 
 
-def densify(sparse: DataFrame, vocabulary: DataFrame, passages: DataFrame, max_words: int = MAX_DENSE_WORDS) -> DataFrame:
-    """(passage_id, vector) from (passage_id, word, tfidf) for a bounded (word_idx, word) list.
+def densify(
+    sparse: DataFrame,
+    vocabulary: DataFrame,
+    passages: DataFrame,
+    max_words: int = MAX_DENSE_WORDS,
+    budget: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(passage_id, vector) from (passage_id, word, tfidf) for a staged, bounded (word_idx, word) list.
 
     Every passage of ``passages`` gets a vector; words it does not have weigh 0.
     """
-    size = check_dense_size(vocabulary, max_words)
-    hits = sparse.join(F.broadcast(vocabulary), "word").select(
-        "passage_id", F.struct("word_idx", F.col("tfidf").alias("weight")).alias("hit")
+    size = vocabulary.limit(max_words + 1).count()
+    _refuse_above(size, max_words)
+    hits = lookup_join(sparse, vocabulary, "word", budget=budget).select(
+        "passage_id", F.struct(F.col("word_idx").cast("int").alias("word_idx"), F.col("tfidf").alias("weight")).alias("hit")
     )
     every = passages.select("passage_id", F.lit(None).cast(hits.schema["hit"].dataType).alias("hit"))
     grouped = hits.unionByName(every).groupBy("passage_id").agg(F.sort_array(F.collect_list("hit")).alias("hits"))

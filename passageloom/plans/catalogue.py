@@ -142,7 +142,7 @@ def tfidf_dense(spark: SparkSession, folder: str) -> DataFrame:
 def tfidf_densified(spark: SparkSession, folder: str) -> DataFrame:
     """Long weights over the whole vocabulary, then dense over the words of a list."""
     passages = inputs.documents(spark, folder)
-    words = stage(weighting.index_vocabulary(inputs.benchmark_words(spark, folder)), "word-list")
+    words = weighting.index_vocabulary(inputs.benchmark_words(spark, folder))
     return weighting.densify(_rounded(weighting.tfidf_sparse(passages), "tfidf"), words, passages)
 
 

@@ -95,7 +95,7 @@ SELECT passage_id, coalesce(n_words, 0) AS n_words FROM docs LEFT JOIN lengths U
     "vocabulary": _VOCABULARY,
     "vocabulary_union": f"""WITH {_DOC_WORDS}, {_ITEM_WORDS}
 SELECT word FROM doc_words UNION SELECT word FROM item_words""",
-    "vocabulary_indexed": f"WITH {_ITEM_WORDS}, {_LIST} SELECT CAST(word_idx AS INTEGER) AS word_idx, word FROM listed",
+    "vocabulary_indexed": f"WITH {_ITEM_WORDS}, {_LIST} SELECT word_idx, word FROM listed",
     "doc_count": "SELECT count(DISTINCT doc_id) AS n_passages FROM documents",
     "doc_frequency": f"WITH {_DOC_WORDS}, {_DF} SELECT word, df FROM df",
     "doc_frequency_fixed_vocab": f"""WITH {_DOC_WORDS}, {_ITEM_WORDS}, {_DF}

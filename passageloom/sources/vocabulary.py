@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from passageloom.functions import text as T
 from passageloom.operators.dedup import first_file_last_line
 from passageloom.operators.staging import stage
-from passageloom.operators.weighting import MAX_DENSE_WORDS, index_vocabulary
+from passageloom.operators.weighting import index_vocabulary
 from passageloom.sources.files import read_lines
 
 
@@ -17,9 +17,7 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     return read_lines(spark, path).select(F.col("value").alias("word")).distinct()
 
 
-def read_word_list(
-    spark: SparkSession, path: str, whitespace: bool = False, max_words: int = MAX_DENSE_WORDS
-) -> DataFrame:
+def read_word_list(spark: SparkSession, path: str, whitespace: bool = False) -> DataFrame:
     """Staged (word_idx, word) in file order, repeated words kept: the column order of a dense vector.
 
     One word for each line, or with ``whitespace=True`` words separated by any white space.
@@ -31,7 +29,7 @@ def read_word_list(
         ).where(F.col("word").isNotNull())
     else:
         words = lines.select("file", "block", "row", F.lit(0).alias("place"), F.col("value").alias("word"))
-    return stage(index_vocabulary(words, "file", "block", "row", "place", max_words=max_words), "word-list")
+    return index_vocabulary(words, "file", "block", "row", "place")
 
 
 def read_idf(spark: SparkSession, path: str) -> DataFrame:

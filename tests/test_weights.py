@@ -126,11 +126,37 @@ def test_equal_ids_stay_separate_on_request(spark):
 
 
 def test_long_vocabulary_is_refused(spark, g1):
-    with pytest.raises(ValueError, match="at most 2 words"):
-        weighting.index_vocabulary(words_of(spark, "a", "b", "c"), max_words=2)
     listed = weighting.attach_idf(weighting.index_vocabulary(words_of(spark, "a", "b", "c")), frequency.idf_table(g1))
     with pytest.raises(ValueError, match="at most 2 words"):
         weighting.dense_tfidf(g1, listed, max_words=2)
+    with pytest.raises(ValueError, match="at most 2 words"):
+        weighting.densify(weighting.tfidf_sparse(g1), listed, g1, max_words=2)
+
+
+def test_word_list_larger_than_a_broadcast(spark, skewed):
+    """Dense vectors over the whole vocabulary do not depend on the broadcast budget."""
+    passages = skewed.unionByName(spark.createDataFrame([("none", "")], PASSAGES))
+    words = weighting.index_vocabulary(terms.vocabulary(passages))
+    listed = weighting.attach_idf(words, frequency.idf_table(passages))
+    expected = vectors(weighting.dense_tfidf(passages, listed))
+    assert len(expected) == 201 and len(expected["none"]) == 208
+    sparse = weighting.tfidf_sparse(passages)
+    for budget in (1, 2000):
+        assert vectors(weighting.dense_tfidf(passages, listed, budget=budget)) == expected
+        got = vectors(weighting.densify(sparse, words, passages, budget=budget))
+        assert got.keys() == expected.keys() and got["7"] == approx(expected["7"])
+    strict = vectors(weighting.dense_tfidf(passages, listed, budget=1, empty="nan", unique_ids=False))
+    assert math.isnan(strict["none"][0]) and strict["7"] == expected["7"]
+
+
+def test_index_over_many_ranges(spark):
+    words = spark.range(5000).select(F.format_string("w%05d", F.col("id") * 7919 % 5000).alias("word")).repartition(6)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = weighting.index_vocabulary(words).orderBy("word_idx").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert [tuple(r) for r in rows] == [(i, f"w{i:05d}") for i in range(5000)]
 
 
 def test_missing_idf(spark, g1):
