@@ -15,9 +15,9 @@ _REQUEST = r"\A\s*-?[0-9]+\z"
 
 
 def first_query_of_id(queries: DataFrame) -> DataFrame:
-    """(id, embedding): of several queries with one id, the first in input order (by ``pos``, if there is one)."""
+    """(id, embedding): of several queries with one id the first by ``pos``, or the smallest vector without ``pos``."""
     if "pos" not in queries.columns:
-        return queries.select("id", "embedding").dropDuplicates(["id"])
+        return queries.groupBy("id").agg(F.min("embedding").alias("embedding"))
     return first_row(queries.select("id", "embedding", "pos"), "id", F.col("pos")).select("id", "embedding")
 
 

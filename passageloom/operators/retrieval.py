@@ -28,6 +28,7 @@ from passageloom.operators.vector_blocks import TILE_CELLS, Block, all_scores, b
 cloudpickle.register_pickle_by_value(vector_blocks)
 
 SLICE_BYTES = 64 * 1024 * 1024
+MANY_QUERIES = 1000
 _POSITION = {"pos"}
 
 
@@ -94,6 +95,9 @@ def best_passages(
 def _best_by_query_slice(known: pa.Table, passages: DataFrame, names: list[str], with_embedding: bool) -> DataFrame:
     """Queries broadcast, passages streamed: each task sends its best for each query, the rest is one small aggregate."""
     spark = passages.sparkSession
+    if known.num_rows >= MANY_QUERIES:
+        # Every task answers every query: fewer, longer tasks leave less to aggregate. A no-op for fewer splits.
+        passages = passages.coalesce(8 * spark.sparkContext.defaultParallelism)
     shared = spark.sparkContext.broadcast(_matrix(known))
     schema = T.StructType(
         [T.StructField("query_no", T.LongType()), T.StructField("id", T.LongType())]

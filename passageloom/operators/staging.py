@@ -45,10 +45,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a scan that has fewer splits than the session has task slots.
 
     A file of few row groups otherwise keeps one task busy and the others idle. Larger scans, which have enough splits,
-    and very small ones stay as they are.
+    very small ones, and tables that come out of a shuffle stay as they are.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if _estimated_bytes(df) < SMALL_SCAN_BYTES or df.rdd.getNumPartitions() >= slots:
+    if _estimated_bytes(df) < SMALL_SCAN_BYTES or _has_shuffle(df) or df.rdd.getNumPartitions() >= slots:
         return df
     return df.repartition(slots, *keys)
 
@@ -58,6 +58,10 @@ def _estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def _has_shuffle(df: DataFrame) -> bool:
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def null_row(df: DataFrame) -> DataFrame:
     """One row with the columns of ``df``, all null."""
     nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in df.schema.fields]

@@ -37,9 +37,9 @@ def read_passages(
 
 
 def passages_of_table(table: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """A table with unique ids as passages, commas read as blanks as in the text files."""
+    """A table with unique ids as passages, commas read as blanks as in the text files and null as an empty text."""
     rows = table.select(
-        F.col(id_column).cast("string").alias("passage_id"), F.col(text_column).alias("passage")
+        F.col(id_column).cast("string").alias("passage_id"), F.coalesce(text_column, F.lit("")).alias("passage")
     )
     return spread(rows, "passage_id").select("passage_id", T.commas_to_blanks(F.col("passage")).alias("passage"))
 

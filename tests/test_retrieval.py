@@ -137,6 +137,16 @@ def test_extreme_norms_are_scored_directly(spark):
     assert sorted((r[0], r[1], r[2]) for r in got.collect()) == sorted(brute_force(queries, passages))
 
 
+def test_null_and_empty_vectors_have_no_score(spark):
+    queries = spark.createDataFrame([(1, None), (2, []), (3, [1.0])], SCHEMA)
+    passages = spark.createDataFrame([(10, None), (11, []), (12, [2.0, 1.0])], SCHEMA)
+    for few in (queries, queries.where("id <> 2")):
+        got = dict(answers(best_passages(few, passages)))
+        assert got == {r["id"]: (12 if r["id"] == 3 else None) for r in few.collect()}
+    scores = similarities(queries, passages).where("score IS NOT NULL").collect()
+    assert [(r["query_id"], r["passage_id"]) for r in scores] == [(3, 12)]
+
+
 def test_winner_with_its_embedding(spark):
     queries = spark.createDataFrame([(7, [1.0, 0.0]), (8, [0.0, 0.0])], SCHEMA)
     for parts in (1, 3):
