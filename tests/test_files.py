@@ -2,9 +2,8 @@ import math
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
-from passageloom.operators import frequency, terms, weighting
+from passageloom.operators import terms
 from passageloom.operators.staging import stage
 from passageloom.plans import corpus, search
 from passageloom.sinks import files as sinks
