@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from passageloom.llm.contamination import OP2_SQL, op2_benchmark_decontamination
 from passageloom.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from passageloom.llm.packing import op9_best_fit_packing
+from passageloom.llm.quality import op7_quality_classifier
 from passageloom.llm.sharding import op5_jump_sharding
 from passageloom.llm.simhash import op6_simhash_near_dedup
 from passageloom.llm.token_files import op10_token_counts
@@ -17,11 +18,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op5_jump_sharding": op5_jump_sharding,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
 }
 SQL: dict[str, str] = {
     "op2_benchmark_decontamination": OP2_SQL,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_exact_dedup": OP8_SQL,
 }
