@@ -13,8 +13,10 @@ from passageloom.llm.quality import op7_quality_classifier
 from passageloom.llm.sharding import op5_jump_sharding
 from passageloom.llm.simhash import op6_simhash_near_dedup
 from passageloom.llm.token_files import op10_token_counts
+from passageloom.llm.toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op5_jump_sharding": op5_jump_sharding,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
