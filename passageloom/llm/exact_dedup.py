@@ -42,7 +42,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            columns = [pa.concat_arrays([a, b]) for a, b in zip(held.columns, batch.columns)]
+            batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
         digest = np.frombuffer(b"".join(batch.column("digest").to_pylist()), dtype=np.uint64).reshape(-1, 4)
         numbers = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("size", "check")]
         first = np.ones(batch.num_rows, dtype=bool)
@@ -51,7 +52,9 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first[1:] |= values[1:] != values[:-1]
         starts = np.flatnonzero(first)
         sums = np.add.reduceat(batch.column("n_rows").to_numpy(zero_copy_only=False), starts)
-        merged = batch.take(pa.array(starts)).set_column(batch.schema.get_field_index("n_rows"), "n_rows", pa.array(sums))
+        first_rows = batch.take(pa.array(starts))
+        columns = [pa.array(sums, pa.int64()) if name == "n_rows" else first_rows.column(name) for name in batch.schema.names]
+        merged = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
         held = merged.slice(len(starts) - 1)
         if len(starts) > 1:
             yield merged.slice(0, len(starts) - 1)
