@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from passageloom.llm.contamination import OP2_SQL, op2_benchmark_decontamination
 from passageloom.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from passageloom.llm.licenses import OP3_SQL, op3_license_scan
 from passageloom.llm.packing import op9_best_fit_packing
 from passageloom.llm.quality import op7_quality_classifier
 from passageloom.llm.sharding import op5_jump_sharding
@@ -18,6 +19,7 @@ from passageloom.llm.toxicity import op1_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_license_scan": op3_license_scan,
     "op5_jump_sharding": op5_jump_sharding,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
@@ -28,5 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op2_benchmark_decontamination": OP2_SQL,
     "op7_quality_classifier": op7_quality_classifier,
+    "op3_license_scan": OP3_SQL,
     "op8_exact_dedup": OP8_SQL,
 }
