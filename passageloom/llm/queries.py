@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from passageloom.llm.contamination import OP2_SQL, op2_benchmark_decontamination
 from passageloom.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from passageloom.llm.extraction import op4_html_extraction
 from passageloom.llm.licenses import OP3_SQL, op3_license_scan
 from passageloom.llm.packing import op9_best_fit_packing
 from passageloom.llm.quality import op7_quality_classifier
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_license_scan": op3_license_scan,
+    "op4_html_extraction": op4_html_extraction,
     "op5_jump_sharding": op5_jump_sharding,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
