@@ -142,7 +142,7 @@ def _near(one: np.ndarray, many: np.ndarray, bits: int) -> np.ndarray:
 def forest(values: np.ndarray, bits: int) -> list[tuple[int, int]]:
     """Links of a spanning forest of the values that lie within ``bits`` of each other."""
     links: list[tuple[int, int]] = []
-    left = values
+    left = values.view(np.uint64)  # bits of signed numbers would be counted by their absolute value
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
@@ -151,7 +151,8 @@ def forest(values: np.ndarray, bits: int) -> list[tuple[int, int]]:
             if near.any():
                 found = left[near]
                 left = left[~near]
-                links += [(int(value), int(other)) for other in found]
+                one = int(value.view(np.int64))
+                links += [(one, other) for other in found.view(np.int64).tolist()]
                 queue += list(found)
     return links
 
