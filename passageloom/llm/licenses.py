@@ -100,7 +100,18 @@ def license_spans(hits: DataFrame) -> DataFrame:
         .withColumn("coverage", F.bit_count("runs") / F.col("t_runs"))
         .where((F.col("coverage") >= COVERAGE) & (2 * (F.col("last") - F.col("first") + RUN_WORDS) <= 3 * F.col("t_words")))
     )
-    return exact.unionByName(merged.select("k1", "k2", "label", "base", "first", "last", "coverage"))
+    # Related licenses share wording: of spans that overlap, those with the most runs stay.
+    row = Window.partitionBy("k1", "k2")
+    until = F.max("last").over(row.orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
+    place = F.sum("new").over(row.orderBy("first", "last").rowsBetween(Window.unboundedPreceding, 0))
+    spans = (
+        merged.withColumn("votes", F.bit_count("runs"))
+        .withColumn("new", F.coalesce((F.col("first") >= until + RUN_WORDS).cast("int"), F.lit(0)))
+        .withColumn("place", place)
+        .withColumn("most", F.max("votes").over(Window.partitionBy("k1", "k2", "place")))
+        .where("votes = most")
+    )
+    return exact.unionByName(spans.select("k1", "k2", "label", "base", "first", "last", "coverage"))
 
 
 def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -161,12 +172,20 @@ doc_words AS (
 ), islands AS (
   SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY d) AS island FROM marked
 ), merged AS (
-  SELECT doc_id, label, base, t_words, min(first) AS first, max(last) AS last, bit_count(bit_or(runs)) / t_runs AS coverage
+  SELECT doc_id, label, base, t_words, min(first) AS first, max(last) AS last, bit_count(bit_or(runs)) AS votes, bit_count(bit_or(runs)) / t_runs AS coverage
   FROM islands GROUP BY doc_id, template, label, base, t_words, t_runs, island
+), spans AS (
+  SELECT *, max(last) OVER (PARTITION BY doc_id ORDER BY first, last ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS until
+  FROM merged WHERE coverage >= {COVERAGE} AND 2 * (last - first + {RUN_WORDS}) <= 3 * t_words
+), places AS (
+  SELECT *, sum(CASE WHEN first >= until + {RUN_WORDS} THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY first, last ROWS UNBOUNDED PRECEDING) AS place
+  FROM spans
+), best AS (
+  SELECT *, max(votes) OVER (PARTITION BY doc_id, place) AS most FROM places
 ), found AS (
   SELECT doc_id, label, base, first, CAST(1.0 AS DOUBLE) AS coverage FROM by_diagonal WHERE base AND bit_count(runs) = t_runs
   UNION ALL
-  SELECT doc_id, label, base, first, coverage FROM merged WHERE coverage >= {COVERAGE} AND 2 * (last - first + {RUN_WORDS}) <= 3 * t_words
+  SELECT doc_id, label, base, first, coverage FROM best WHERE votes = most
 ), by_row AS (
   SELECT doc_id, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(coverage) AS score
