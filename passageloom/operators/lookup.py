@@ -76,12 +76,24 @@ def lookup_join(
     volume = counts.agg(F.sum(F.col("n") * row).alias("volume")).first()["volume"] or 0.0
     frequent = counts.where(F.col("n") > F.lit(volume / max(budget, 1))).select(key)
 
-    known = table.join(F.broadcast(frequent), key, "left_semi")
-    frequent_rows = frequent.join(F.broadcast(known), key, how)
-    hot = facts.join(F.broadcast(frequent_rows), key, "inner")
-    rest = facts.where(F.col(key).isNotNull()).join(F.broadcast(frequent), key, "left_anti")
-    joined = hot.unionByName(rest.join(table, key, how))
-    if how == "left":
-        payload = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields if f.name != key]
-        joined = joined.unionByName(facts.where(F.col(key).isNull()).select("*", *payload))
-    return joined
+    # One evaluation of the facts: the broadcast leaves a payload on the frequent rows. These then have no key any more,
+    # and a salt in its place, so they match nothing in the shuffled join and are spread over its tasks.
+    known = table.join(F.broadcast(frequent), key, "left_semi").withColumn("_is_known", F.lit(True))
+    payload = [c for c in table.columns if c != key]
+    near = frequent.join(F.broadcast(known), key, "left").select(
+        F.col(key).alias("_frequent"), F.struct(*payload).alias("_near"), F.col("_is_known")
+    )
+    marked = facts.join(F.broadcast(near), F.col(key) == F.col("_frequent"), "left")
+    settled = F.col("_frequent").isNotNull() | F.col(key).isNull()
+    marked = marked.withColumns(
+        {
+            "_rare": F.when(~settled, F.col(key)),
+            "_salt": F.when(settled, 1 + F.pmod(F.xxhash64(*facts.columns), F.lit(2**31 - 1))).otherwise(F.lit(0)),
+        }
+    )
+    far = table.select(F.col(key).alias("_rare_key"), F.struct(*payload).alias("_far"), F.lit(0).cast("bigint").alias("_zero"))
+    both = marked.join(far, (F.col("_rare") == F.col("_rare_key")) & (F.col("_salt") == F.col("_zero")), "left")
+    joined = both.select(*facts.columns, F.coalesce("_near", "_far").alias("_payload"), (F.col("_rare_key").isNotNull() | F.coalesce("_is_known", F.lit(False))).alias("_hit"))
+    if how == "inner":
+        joined = joined.where("_hit")
+    return joined.select(*facts.columns, *[F.col(f"_payload.{c}").alias(c) for c in payload])

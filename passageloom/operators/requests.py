@@ -27,6 +27,7 @@ def answer_requests(
     passages: DataFrame,
     slice_bytes: int = SLICE_BYTES,
     budget: int = BROADCAST_BYTES,
+    passage_sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Answer each ``request`` (text): add ``query_id``, ``status`` and ``passage_id``.
 
@@ -41,8 +42,8 @@ def answer_requests(
     if fits_broadcast(wanted, "id", budget):
         asked = first_query_of_id(queries.join(F.broadcast(wanted), "id", "left_semi"))
     else:
-        asked = first_query_of_id(queries).join(wanted, "id", "left_semi")
-    answers = best_passages(stage(asked, "requested-queries"), passages, budget=slice_bytes)
+        asked = first_query_of_id(queries.join(wanted, "id", "left_semi"))
+    answers = best_passages(stage(asked, "requested-queries"), passages, budget=slice_bytes, passage_sizes=passage_sizes)
     answers = stage(answers.select("query_id", "passage_id", F.lit(True).alias("_found")), "answers")
     status = F.when(~valid, "invalid").when(F.col("_found").isNull(), "not_found").otherwise("ok")
     return lookup_join(parsed, answers, "query_id", "left", budget=budget).select(

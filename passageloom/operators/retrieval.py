@@ -4,9 +4,10 @@ Both tables have (id, embedding) and may have ``pos``, a struct of numbers that
 that are not a number are no scores; equal scores go to the passage that comes last by ``pos``, or to the larger id.
 Every query row is answered, with a null passage when no passage has a score.
 
-Neither a cross join nor a table of pairs is formed. One side is cut into slices of at most ``budget`` bytes, each is
-broadcast once as a matrix, and the other side streams past it in Arrow batches without a shuffle; only the best of
-each task and query goes on. The side with fewer rows is the one that is broadcast.
+No table of pairs is formed. The rows and the longest vector of each side are measured by one aggregate. The side with
+fewer rows is broadcast as a matrix if that takes at most ``budget`` bytes, and the other side streams past it in Arrow
+batches without a shuffle; only the best of each task and query goes on. If neither side fits, blocks of both meet in
+tasks of their own. All three ways give the same answers, and a winner's vector is looked up afterwards.
 """
 
 from __future__ import annotations
@@ -21,8 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passageloom.operators import vector_blocks
-from passageloom.operators.staging import new_folder, stage
-from passageloom.operators.vector_blocks import TILE_CELLS, Block, all_scores, best_of, matrix_of, numbers_of, widened
+from passageloom.operators.lookup import fits_broadcast, lookup_join
+from passageloom.operators.staging import stage
+from passageloom.operators.vector_blocks import (
+    TILE_CELLS, Block, all_scores, best_of, matrix_of, numbers_of, small_batches, widened,
+)
 
 # Tasks get the helper with the job, so executors need nothing installed.
 cloudpickle.register_pickle_by_value(vector_blocks)
@@ -39,34 +43,26 @@ def _order_fields(passages: DataFrame) -> list[str]:
 
 
 def _with_order(passages: DataFrame) -> tuple[DataFrame, list[str]]:
-    """(id, embedding, order0, ...): the numbers that decide between equal scores, ending with the id."""
+    """(id, embedding, order0, ...): the numbers that decide between equal scores: position, id, hash of the vector.
+
+    Together they name a row: rows that agree in all of them are the same.
+    """
     fields = _order_fields(passages)
-    names = [f"order{i}" for i in range(len(fields) + 1)]
-    order = [F.col(f).cast("bigint").alias(n) for f, n in zip([*fields, "id"], names)]
+    names = [f"order{i}" for i in range(len(fields) + 2)]
+    numbers = [*(F.col(f).cast("bigint") for f in [*fields, "id"]), F.xxhash64("embedding")]
+    order = [number.alias(n) for number, n in zip(numbers, names)]
     return passages.select("id", "embedding", *order), names
 
 
-def _width(vectors: pa.Table) -> int:
-    """Length of the longest vector."""
-    return max([1, *(len(v) for v in vectors.column("embedding") if v.is_valid)])
+def vector_sizes(table: DataFrame) -> tuple[int, int]:
+    """Rows and longest vector, from one aggregate whose tasks send two numbers each."""
+    found = table.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("embedding")).alias("widest")).first()
+    return found["rows"], max(1, found["widest"] or 1)
 
 
-def _whole(table: DataFrame, budget: int, at_most: int | None = None) -> pa.Table | None:
-    """The whole table if it has at most ``at_most`` rows and fills at most ``budget`` bytes, else None.
-
-    A short list comes in one job; for a longer one the first rows tell how many are worth fetching.
-    """
-    probe_rows = max(1, min(1024, budget // 512))
-    probe_rows = probe_rows if at_most is None else min(probe_rows, at_most)
-    fetched = table.limit(probe_rows + 1).toArrow()
-    if fetched.num_rows <= probe_rows:
-        return fetched
-    rows = budget // (8 * _width(fetched))
-    rows = rows if at_most is None else min(rows, at_most)
-    if rows <= probe_rows:
-        return None
-    fetched = table.limit(rows + 1).toArrow()
-    return fetched if fetched.num_rows <= rows else None
+def _bytes(sizes: tuple[int, int]) -> int:
+    """Of the table as a matrix, in which every row is as long as the longest."""
+    return 8 * sizes[0] * sizes[1]
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
@@ -74,75 +70,111 @@ def _matrix(table: pa.Table) -> np.ndarray:
 
 
 def best_passages(
-    queries: DataFrame, passages: DataFrame, with_embedding: bool = False, budget: int = SLICE_BYTES
+    queries: DataFrame,
+    passages: DataFrame,
+    with_embedding: bool = False,
+    budget: int = SLICE_BYTES,
+    passage_sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """(query_id, passage_id, score), one row for each query row; with the passage's embedding if asked for.
 
-    Queries with ``pos`` keep it, so that the answers can be put in the order of the queries.
+    Queries with ``pos`` keep it, so that the answers can be put in the order of the queries. ``passage_sizes`` spares
+    the pass that measures the passages (``vector_sizes``), for a table that is searched again and again.
     """
     queries = queries.select("id", "embedding", *_POSITION.intersection(queries.columns))
     ordered, names = _with_order(passages)
 
-    known = _whole(queries, budget)
-    fewer = _whole(ordered, budget, None if known is None else known.num_rows)
-    if fewer is None and known is not None:
-        return _best_by_query_slice(known, ordered, names, with_embedding)
-    if fewer is not None:
-        return _best_by_passage_slice(queries, fewer, names, with_embedding)
-    return _best_in_turns(queries, ordered, names, with_embedding, budget)
+    query_sizes = vector_sizes(queries)
+    passage_sizes = passage_sizes or vector_sizes(passages)
+    few_queries, few_passages = _bytes(query_sizes) <= budget, _bytes(passage_sizes) <= budget
+    if few_passages and not (few_queries and query_sizes[0] < passage_sizes[0]):
+        answers = _best_by_passage_slice(queries, ordered.toArrow(), names)
+    elif few_queries:
+        answers = _best_by_query_slice(queries.toArrow(), ordered, names)
+    else:
+        answers = _best_by_blocks(queries, ordered, names, budget)
+    if with_embedding:
+        answers = _attach_embedding(answers, ordered, names, budget)
+    return answers.drop("order")
+
+
+def _attach_embedding(answers: DataFrame, passages: DataFrame, names: list[str], budget: int) -> DataFrame:
+    """Add the winners' own vectors: only rows that won are looked up, however the winners were found."""
+    answers = stage(answers.withColumn("_key", F.concat_ws(":", *[f"order.{n}" for n in names])), "answers")
+    keyed = passages.select(F.concat_ws(":", *names).alias("_key"), "embedding")
+    wanted = stage(answers.where("passage_id IS NOT NULL").select("_key").distinct(), "winners")
+    won = keyed.join(F.broadcast(wanted) if fits_broadcast(wanted, "_key", budget) else wanted, "_key", "left_semi")
+    vectors = stage(won.groupBy("_key").agg(F.first("embedding").alias("embedding")), "winning-vectors")
+    return lookup_join(answers, vectors, "_key", "left", budget=budget).drop("_key")
+
+
+def _winner_fields(names: list[str]) -> list[T.StructField]:
+    return [T.StructField(n, T.LongType()) for n in ["id", *names]] + [T.StructField("score", T.DoubleType())]
+
+
+class _Best:
+    """The best passage of each of n queries so far, with the numbers that decide between equal scores."""
+
+    def __init__(self, n: int, names: list[str]):
+        self.score = np.full(n, -np.inf)
+        self.found = np.zeros(n, dtype=bool)
+        self.winner = np.zeros((len(names) + 1, n), dtype=np.int64)
+
+    def take(self, q: np.ndarray, columns: np.ndarray, value: np.ndarray) -> None:
+        """``columns`` (id and order) and ``value`` of one passage for each of the queries ``q``, each at most once."""
+        better = ~self.found[q] | (value > self.score[q])
+        undecided = self.found[q] & (value == self.score[q])
+        for row in range(1, len(columns)):
+            better |= undecided & (columns[row] > self.winner[row][q])
+            undecided &= columns[row] == self.winner[row][q]
+        q = q[better]
+        self.found[q], self.score[q] = True, value[better]
+        self.winner[:, q] = columns[:, better]
+
+
+def _answers(found: DataFrame, every: DataFrame, names: list[str]) -> DataFrame:
+    """The best row of each query; ``every`` has (query_no, query_id, ...) once for each query, found or not."""
+    carried = [c for c in every.columns if c != "query_no"]
+    payload = F.struct("id", "score", F.struct(*names).alias("order"))
+    order = F.when(F.col("score").isNotNull(), F.struct("score", *names))
+    best = (
+        every.unionByName(found, allowMissingColumns=True)
+        .groupBy("query_no")
+        .agg(F.max_by(payload, order).alias("best"), *[F.max(c).alias(c) for c in carried])
+    )
+    return best.select(
+        "query_id",
+        F.col("best.id").alias("passage_id"),
+        F.col("best.score").alias("score"),
+        F.col("best.order").alias("order"),
+        *[c for c in carried if c != "query_id"],
+    )
 
 
-def _best_by_query_slice(known: pa.Table, passages: DataFrame, names: list[str], with_embedding: bool) -> DataFrame:
+def _best_by_query_slice(known: pa.Table, passages: DataFrame, names: list[str]) -> DataFrame:
     """Queries broadcast, passages streamed: each task sends its best for each query, the rest is one small aggregate."""
     spark = passages.sparkSession
     if known.num_rows >= MANY_QUERIES:
         # Every task answers every query: fewer, longer tasks leave less to aggregate. A no-op for fewer splits.
         passages = passages.coalesce(8 * spark.sparkContext.defaultParallelism)
     shared = spark.sparkContext.broadcast(_matrix(known))
-    schema = T.StructType(
-        [T.StructField("query_no", T.LongType()), T.StructField("id", T.LongType())]
-        + [T.StructField(n, T.LongType()) for n in names]
-        + [T.StructField("score", T.DoubleType())]
-        + ([T.StructField("embedding", T.ArrayType(T.DoubleType()))] if with_embedding else [])
-    )
+    schema = T.StructType([T.StructField("query_no", T.LongType()), *_winner_fields(names)])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = shared.value
         queries = Block(matrix)
-        n = len(matrix)
-        score = np.full(n, -np.inf)
-        found = np.zeros(n, dtype=bool)
-        winner = np.zeros((len(names) + 1, n), dtype=np.int64)
-        vectors: list = [None] * n
-        for batch in batches:
+        best = _Best(len(matrix), names)
+        for batch in small_batches(batches):
             columns = numbers_of(batch, ["id", *names])
-            embedding = batch.column("embedding")
-            block = matrix_of(embedding)
+            block = matrix_of(batch.column("embedding"))
             width = max(block.shape[1], queries.matrix.shape[1])
             if width > queries.matrix.shape[1]:
                 queries = Block(widened(matrix, width))
-            best, value = best_of(queries, Block(widened(block, width), columns[1:]))
-            q = np.flatnonzero(best >= 0)
-            p = best[q]
-            better = ~found[q] | (value[q] > score[q])
-            equal = found[q] & (value[q] == score[q])
-            if equal.any():
-                later = np.zeros(len(q), dtype=bool)
-                undecided = equal.copy()
-                for row in range(1, len(names) + 1):
-                    later |= undecided & (columns[row][p] > winner[row][q])
-                    undecided &= columns[row][p] == winner[row][q]
-                better |= later
-            q, p = q[better], p[better]
-            found[q], score[q] = True, value[q]
-            winner[:, q] = columns[:, p]
-            if with_embedding:
-                for query, passage in zip(q, p):
-                    vectors[query] = embedding[int(passage)].as_py()
-        q = np.flatnonzero(found)
-        arrays = [pa.array(q)] + [pa.array(row[q]) for row in winner] + [pa.array(score[q])]
-        if with_embedding:
-            arrays.append(pa.array([vectors[i] for i in q], type=pa.list_(pa.float64())))
+            row, value = best_of(queries, Block(widened(block, width), columns[1:]))
+            q = np.flatnonzero(row >= 0)
+            best.take(q, columns[:, row[q]], value[q])
+        q = np.flatnonzero(best.found)
+        arrays = [pa.array(q), *[pa.array(numbers[q]) for numbers in best.winner], pa.array(best.score[q])]
         yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     found = passages.mapInArrow(search, schema)
@@ -150,96 +182,93 @@ def _best_by_query_slice(known: pa.Table, passages: DataFrame, names: list[str],
     every = spark.createDataFrame(
         known.drop_columns(["embedding"]).append_column("query_no", pa.array(np.arange(known.num_rows)))
     ).withColumnRenamed("id", "query_id")
-    carried = [c for c in every.columns if c != "query_no"]
-    payload = F.struct("id", "score", *(["embedding"] if with_embedding else []))
-    order = F.when(F.col("score").isNotNull(), F.struct("score", *names))
-    answers = (
-        every.unionByName(found, allowMissingColumns=True)
-        .groupBy("query_no")
-        .agg(F.max_by(payload, order).alias("best"), *[F.max(c).alias(c) for c in carried])
-    )
-    return answers.select(
-        "query_id",
-        F.col("best.id").alias("passage_id"),
-        F.col("best.score").alias("score"),
-        *([F.col("best.embedding").alias("embedding")] if with_embedding else []),
-        *[c for c in carried if c != "query_id"],
-    )
+    return _answers(found, every, names)
 
 
-def _best_by_passage_slice(
-    queries: DataFrame, few: pa.Table, names: list[str], with_embedding: bool
-) -> DataFrame:
+def _best_by_passage_slice(queries: DataFrame, few: pa.Table, names: list[str]) -> DataFrame:
     """Passages broadcast, queries streamed: each query row is answered where it is, nothing is shuffled."""
     shared = queries.sparkSession.sparkContext.broadcast((numbers_of(few, ["id", *names]), _matrix(few)))
     carried = [field for field in queries.schema.fields if field.name not in ("id", "embedding")]
+    order = T.StructType([T.StructField(n, T.LongType()) for n in names])
     schema = T.StructType(
-        [T.StructField("query_id", T.LongType()), T.StructField("passage_id", T.LongType()), T.StructField("score", T.DoubleType())]
-        + ([T.StructField("embedding", T.ArrayType(T.DoubleType()))] if with_embedding else [])
-        + carried
+        [
+            T.StructField("query_id", T.LongType()),
+            T.StructField("passage_id", T.LongType()),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("order", order),
+            *carried,
+        ]
     )
     carried_names = [field.name for field in carried]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns, matrix = shared.value
         passages = Block(matrix, columns[1:])
-        for batch in batches:
+        for batch in small_batches(batches):
             block = matrix_of(batch.column("embedding"))
             width = max(block.shape[1], passages.matrix.shape[1])
             if width > passages.matrix.shape[1]:
                 passages = Block(widened(matrix, width), columns[1:])
             best, value = best_of(Block(widened(block, width)), passages)
             none = best < 0
-            ids = columns[0][best] if len(columns[0]) else np.zeros(len(best), dtype=np.int64)
-            arrays = [batch.column("id"), pa.array(ids, mask=none), pa.array(value, mask=none)]
-            if with_embedding:
-                vectors = [None if row < 0 else matrix[row] for row in best]
-                arrays.append(pa.array(vectors, type=pa.list_(pa.float64())))
+            rows = columns[:, best] if columns.shape[1] else np.zeros((len(columns), len(best)), dtype=np.int64)
+            ranks = pa.StructArray.from_arrays([pa.array(row) for row in rows[1:]], names=names)
+            arrays = [batch.column("id"), pa.array(rows[0], mask=none), pa.array(value, mask=none), ranks]
             arrays.extend(batch.column(name) for name in carried_names)
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return queries.mapInArrow(search, schema)
 
 
-def _best_in_turns(
-    queries: DataFrame, passages: DataFrame, names: list[str], with_embedding: bool, budget: int
-) -> DataFrame:
-    """Neither side fits one slice: the queries take turns, one slice and one pass over the passages at a time.
+def _best_by_blocks(queries: DataFrame, passages: DataFrame, names: list[str], budget: int) -> DataFrame:
+    """Neither side fits a broadcast: blocks of queries meet blocks of passages, each pair of blocks in a task of its own.
 
-    The answers of each turn are written out, so that only one slice is held at any time.
+    Rows are dealt by their number, so blocks are even whatever the rows hold, and a task has two blocks of about
+    ``budget`` bytes in memory. It sends its best for each query; one aggregate with a partial step decides. Nothing
+    passes through the driver but the measures of the two tables.
     """
-    spark = queries.sparkSession
-    numbered = stage(queries.withColumn("_no", F.monotonically_increasing_id()), "queries")
-    turns = -(-numbered.count() * _width(numbered.limit(1024).toArrow()) * 8 // budget)
-    numbered = stage(
-        numbered.select(*queries.columns, F.pmod(F.xxhash64("_no"), F.lit(turns)).alias("turn")), "queries-in-turns"
-    )
-    folder = new_folder(spark, "best-passages")
-    schema = None
-    for turn in range(turns):
-        known = numbered.where(F.col("turn") == turn).select(*queries.columns).toArrow()
-        if known.num_rows:
-            answers = _best_by_query_slice(known, passages, names, with_embedding)
-            answers.write.mode("append").parquet(folder)
-            schema = answers.schema
-    return spark.read.schema(schema).parquet(folder)
-
-
-def similarities(queries: DataFrame, passages: DataFrame, budget: int = SLICE_BYTES) -> DataFrame:
+
+    def staged(rows: DataFrame, number: str, name: str) -> tuple[DataFrame, int]:
+        rows = stage(rows.withColumn(number, F.monotonically_increasing_id()), name)
+        return rows, -(-_bytes(vector_sizes(rows)) // budget)
+
+    def dealt(rows: DataFrame, number: str, own: str, count: int, other: str, others: int) -> DataFrame:
+        block = F.pmod(F.xxhash64(number), F.lit(count)).cast("int").alias(own)
+        return rows.select("*", block, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
+
+    numbered, query_blocks = staged(queries, "query_no", "queries")
+    stored, passage_blocks = staged(passages, "_no", "passages")
+    asked = dealt(numbered.select("query_no", "embedding"), "query_no", "_q", query_blocks, "_p", passage_blocks)
+    stored = dealt(stored, "_no", "_p", passage_blocks, "_q", query_blocks)
+    schema = T.StructType([T.StructField("query_no", T.LongType()), *_winner_fields(names)])
+
+    def search(asked: pa.Table, stored: pa.Table) -> pa.Table:
+        query_no, columns = numbers_of(asked, ["query_no"])[0], numbers_of(stored, ["id", *names])
+        one, many = _matrix(asked), _matrix(stored)
+        width = max(one.shape[1], many.shape[1])
+        row, value = best_of(Block(widened(one, width)), Block(widened(many, width), columns[1:]))
+        q = np.flatnonzero(row >= 0)
+        arrays = [query_no[q], *columns[:, row[q]], value[q]]
+        return pa.Table.from_arrays([pa.array(a) for a in arrays], names=schema.names)
+
+    found = asked.groupBy("_q", "_p").cogroup(stored.groupBy("_q", "_p")).applyInArrow(search, schema)
+    carried = [c for c in queries.columns if c not in ("id", "embedding")]
+    return _answers(found, numbered.select("query_no", F.col("id").alias("query_id"), *carried), names)
+
+
+def similarities(queries: DataFrame, passages: DataFrame) -> DataFrame:
     """(query_id, passage_id, score) of every query with every passage; null where there is no score.
 
-    For a bounded set of queries only: the result has as many rows as both tables multiplied. ``best_passages`` never
-    forms them.
+    For a stated, short list of queries: the result has as many rows as both tables multiplied, and the queries are
+    broadcast as they are. ``best_passages`` forms no such rows and takes any number of queries.
     """
-    known = _whole(queries.select("id", "embedding"), budget)
-    if known is None:
-        raise ValueError("similarities are for a bounded set of queries; use best_passages for more")
+    known = queries.select("id", "embedding").toArrow()
     shared = passages.sparkSession.sparkContext.broadcast((numbers_of(known, ["id"])[0], _matrix(known)))
     schema = "query_id bigint, passage_id bigint, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = shared.value
-        for batch in batches:
+        for batch in small_batches(batches):
             passage_ids = numbers_of(batch, ["id"])[0]
             block = matrix_of(batch.column("embedding"))
             width = max(block.shape[1], matrix.shape[1])

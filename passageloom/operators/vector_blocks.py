@@ -8,14 +8,27 @@ scores are decided by the order of the passages alone.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
 TILE_CELLS = 2_000_000
+#: Bytes of vectors that are turned into a matrix at once.
+BATCH_BYTES = 8 * 1024 * 1024
 # Norms in this range can be divided out without overflow or underflow; other rows are always scored directly.
 _SAFE_NORMS = (1e-140, 1e140)
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that a matrix as wide as their longest vector takes ``limit`` bytes, one row at least."""
+    for batch in batches:
+        lengths = np.diff(batch.column("embedding").offsets.to_numpy())
+        rows = max(1, limit // (8 * max(1, int(lengths.max(initial=1)))))
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def matrix_of(column: pa.Array) -> np.ndarray:
     """A list column as rows of doubles, shorter vectors filled with zeros, a null vector as NaN."""
     lengths = np.diff(column.offsets.to_numpy())

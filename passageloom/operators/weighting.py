@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +12,6 @@ from passageloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup
 from passageloom.operators.staging import null_row, stage
 from passageloom.operators.terms import term_counts, term_counts_with_end
 
-MAX_DENSE_WORDS = 4_000_000
-
 
 def term_frequencies(passages: DataFrame, lowercase: bool = True) -> DataFrame:
     """(passage_id, word, tf) with tf the share of the passage's words."""
@@ -82,11 +79,6 @@ def index_vocabulary(words: DataFrame, *order: str) -> DataFrame:
     return numbered.select((F.col("_offset") + F.col("_place")).alias("word_idx"), "word")
 
 
-def _refuse_above(size: int, max_words: int) -> None:
-    if size > max_words:
-        raise ValueError(f"a dense vector takes at most {max_words} words; use the long form for a larger vocabulary")
-
-
 def attach_idf(vocabulary: DataFrame, idf: DataFrame) -> DataFrame:
     """Staged (word_idx, word, idf), idf null where the IDF table has no such word."""
     return stage(vocabulary.join(idf.select("word", "idf"), "word", "left").select("word_idx", "word", "idf"), "vocabulary-idf")
@@ -100,7 +92,6 @@ def dense_tfidf(
     empty: str = "zero",
     share_first: bool = False,
     digits: int | None = None,
-    max_words: int = MAX_DENSE_WORDS,
     budget: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(passage_id, vector): the weights of every passage in vocabulary order, rounded if ``digits`` is given.
@@ -113,7 +104,7 @@ def dense_tfidf(
     """
     if empty not in ("zero", "nan"):
         raise ValueError(f"empty must be 'zero' or 'nan', not {empty!r}")
-    background = _background(vocabulary_idf, max_words)
+    size, infinite = _background(vocabulary_idf)
 
     source = passages
     group = ["passage_id"]
@@ -142,7 +133,7 @@ def dense_tfidf(
         lengths = source.select(*group, F.size(T.words(F.col("passage"), lowercase)).cast("bigint").alias("n_words"))
         hits = hits.unionByName(lengths.withColumn("hit", F.lit(None).cast(hits.schema["hit"].dataType)))
     grouped = hits.groupBy(*group).agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_list("hit")).alias("hits"))
-    filled = fill_vector(grouped, "hits", background)
+    filled = fill_vector(grouped, "hits", size, infinite)
     vector = F.col("vector")
     if empty == "nan":
         vector = F.when(F.col("n_words") == 0, F.transform(vector, lambda x: F.lit(float("nan")))).otherwise(vector)
@@ -153,55 +144,57 @@ def densify(
     sparse: DataFrame,
     vocabulary: DataFrame,
     passages: DataFrame,
-    max_words: int = MAX_DENSE_WORDS,
     budget: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(passage_id, vector) from (passage_id, word, tfidf) for a staged, bounded (word_idx, word) list.
+    """(passage_id, vector) from (passage_id, word, tfidf) for a staged (word_idx, word) list.
 
     Every passage of ``passages`` gets a vector; words it does not have weigh 0.
     """
-    size = vocabulary.limit(max_words + 1).count()
-    _refuse_above(size, max_words)
+    size = vocabulary.count()
     hits = lookup_join(sparse, vocabulary, "word", budget=budget).select(
         "passage_id", F.struct(F.col("word_idx").cast("int").alias("word_idx"), F.col("tfidf").alias("weight")).alias("hit")
     )
     every = passages.select("passage_id", F.lit(None).cast(hits.schema["hit"].dataType).alias("hit"))
     grouped = hits.unionByName(every).groupBy("passage_id").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
-    return fill_vector(grouped, "hits", np.zeros(size)).select("passage_id", "vector")
+    return fill_vector(grouped, "hits", size).select("passage_id", "vector")
 
 
-def _background(vocabulary_idf: DataFrame, max_words: int) -> np.ndarray:
-    """What an absent word weighs, by index: NaN where idf is Infinity, else 0."""
-    infinite = F.when(F.col("idf") == F.lit(float("inf")), F.col("word_idx"))
-    bounded = vocabulary_idf.limit(max_words + 1)
-    found = bounded.agg(F.count("*").alias("size"), F.collect_list(infinite).alias("infinite")).first()
-    _refuse_above(found["size"], max_words)
-    values = np.zeros(found["size"])
-    values[np.asarray(found["infinite"], dtype=np.int64)] = np.nan
-    return values
+def _background(vocabulary_idf: DataFrame) -> tuple[int, DataFrame | None]:
+    """The number of words, and the indexes of those that weigh NaN where they are absent (idf is Infinity), if any.
+
+    The indexes are one row (infinite), at most as long as each row of the result.
+    """
+    is_infinite = F.col("idf") == F.lit(float("inf"))
+    found = vocabulary_idf.agg(F.count("*").alias("size"), F.count_if(is_infinite).alias("infinite")).first()
+    if not found["infinite"]:
+        return found["size"], None
+    indexes = vocabulary_idf.where(is_infinite).agg(F.collect_list(F.col("word_idx").cast("int")).alias("infinite"))
+    return found["size"], stage(indexes, "infinite")
 
 
-def fill_vector(grouped: DataFrame, hits: str, background: np.ndarray) -> DataFrame:
-    """Add ``vector``: the hits (sorted by word_idx) at their places, the background between them.
+def fill_vector(grouped: DataFrame, hits: str, size: int, infinite: DataFrame | None = None) -> DataFrame:
+    """Add ``vector``: the hits (sorted by word_idx) at their places, 0 between them, NaN at ``infinite`` places without one.
 
     Built from the gaps between one hit and the next, so the work is the length of the vector plus the hits.
     """
-    if np.isnan(background).any():
-        values = F.lit(background)
 
-        def gap(start: Column, length: Column) -> Column:
-            return F.slice(values, start + 1, length)
-
-    else:
-
-        def gap(start: Column, length: Column) -> Column:
-            return F.array_repeat(F.lit(0.0), length)
+    def gap(start: Column, length: Column) -> Column:
+        return F.array_repeat(F.lit(0.0), length)
 
+    if infinite is not None:
+        # One row, which every row takes along.
+        one = F.broadcast(infinite.select(F.lit(1).alias("_one"), "infinite"))
+        grouped = grouped.withColumn("_one", F.lit(1)).join(one, "_one", "left").drop("_one")
+        placed = F.transform(F.col(hits), lambda hit: hit["word_idx"])
+        nan = F.transform(
+            F.array_except("infinite", placed), lambda i: F.struct(i.alias("word_idx"), F.lit(float("nan")).alias("weight"))
+        )
+        grouped = grouped.withColumn(hits, F.sort_array(F.concat(F.col(hits), nan))).drop("infinite")
     keep = [c for c in grouped.columns if c != hits]
     bounded = grouped.select(
         *keep,
         F.col(hits).alias("_hits"),
-        F.array_append(F.transform(F.col(hits), lambda hit: hit["word_idx"]), F.lit(len(background))).alias("_next"),
+        F.array_append(F.transform(F.col(hits), lambda hit: hit["word_idx"]), F.lit(size)).alias("_next"),
     )
     head = F.array(gap(F.lit(0), F.get(F.col("_next"), F.lit(0))))
     pieces = F.transform(

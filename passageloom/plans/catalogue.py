@@ -199,7 +199,7 @@ def best_passage_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 def passages_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Turns as lines, roles as files, conversations as ids."""
-    turns = spread(inputs.table(spark, folder, "conversations"), "conv_id").select(
+    turns = spread(inputs.table(spark, folder, "conversations")).select(
         F.col("conv_id").cast("string").alias("passage_id"), F.col("text").alias("passage"), "role", "turn"
     )
     return first_file_last_line(turns, "passage_id", F.col("role"), [F.col("turn")]).select("passage_id", "passage")

@@ -42,7 +42,7 @@ def read_embeddings(spark: SparkSession, path: str, on_error: str = "raise") ->
     """
     if on_error not in ("raise", "drop"):
         raise ValueError(f"on_error must be 'raise' or 'drop', not {on_error!r}")
-    parsed = parse_embedding_lines(with_file_number(read_lines(spark, path)))
+    parsed = parse_embedding_lines(with_file_number(spark, read_lines(spark, path), path))
     if on_error == "raise":
         # In the filter, so that the check runs whichever columns are used later.
         parsed = parsed.where(F.when(F.col("error").isNull(), F.lit(True)).otherwise(F.raise_error(F.col("error")).cast("boolean")))

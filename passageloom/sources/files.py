@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: a character that Unicode keeps out of interchanged text, so no line is ever split at it.
-_NEVER_IN_TEXT = "\uffff"
+from passageloom.operators.lookup import lookup_join
+from passageloom.operators.weighting import index_vocabulary
 
 
-def read_lines(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
-    """(value, file, block, row): every line with the file it is in and its place there.
-
-    Lines end at a line feed only. ``block`` is where the split starts in the file and ``row`` grows within a split,
-    so (block, row) orders the lines of a file however it is split. ``header=True`` skips the first line of each file
-    (and blank lines): a one-column CSV read does so also for a file that is read in several splits.
-    """
-    if header:
-        lines = spark.read.csv(
-            path, schema="value string", header=True, sep=_NEVER_IN_TEXT, quote="", lineSep="\n", enforceSchema=True
-        )
-    else:
-        lines = spark.read.text(path, lineSep="\n")
+def with_position(lines: DataFrame) -> DataFrame:
+    """(value, file, block, row) of a text scan, batch or stream."""
     return lines.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
@@ -30,19 +23,47 @@ def read_lines(spark: SparkSession, path: str | list[str], header: bool = False)
     )
 
 
-def with_file_number(lines: DataFrame) -> DataFrame:
-    """Replace ``file`` by the number of the file among all files read, in the order of their names.
+def read_lines(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
+    """(value, file, block, row): every line with the file it is in and its place there.
 
-    The names are those that the scan itself has listed; they are joined as a broadcast next to the scan.
+    Lines end at a line feed only. ``block`` is where the split starts in the file and ``row`` grows within a split,
+    so (block, row) orders the lines of a file however it is split. ``header=True`` skips the first line of each file.
     """
-    names = sorted(_one_slash(name) for name in lines.inputFiles())
-    others = [c for c in lines.columns if c != "file"]
-    if len(names) <= 1:
-        return lines.select(F.lit(0).alias("file"), *others)
-    numbers = lines.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "_name string, _number int")
-    named = lines.withColumn("_name", F.regexp_replace("file", "^file:/+", "file:/"))
-    return named.join(F.broadcast(numbers), "_name", "left").select(F.col("_number").alias("file"), *others)
+    lines = with_position(spark.read.text(path, lineSep="\n"))
+    return skip_first_lines(lines) if header else lines
 
 
-def _one_slash(name: str) -> str:
-    return "file:/" + name[5:].lstrip("/") if name.startswith("file:") else name
+def skip_first_lines(lines: DataFrame) -> DataFrame:
+    """Drop the first line of each file and nothing else.
+
+    The rows of a split follow each other in its task, so a file's first line is where a run of rows with its name and
+    the block 0 begins.
+    """
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            block = batch.column("block").to_numpy()
+            file = batch.column("file").dictionary_encode()
+            code = file.indices.to_numpy()
+            begins = np.ones(len(block), dtype=bool)
+            begins[1:] = (block[1:] != block[:-1]) | (code[1:] != code[:-1])
+            begins[0] = before != (file.dictionary[int(code[0])].as_py(), int(block[0]))
+            before = (file.dictionary[int(code[-1])].as_py(), int(block[-1]))
+            yield batch.filter(pa.array(~(begins & (block == 0))))
+
+    return lines.mapInArrow(rest, "value string, file string, block bigint, row bigint")
+
+
+def with_file_number(spark: SparkSession, lines: DataFrame, path: str | list[str]) -> DataFrame:
+    """Replace ``file`` by the number of the file among all files of ``path``, in the order of their names.
+
+    The names come from a listing that opens no file. They are numbered by range and attached by the lookup join, so
+    neither their number nor a large file matters.
+    """
+    names = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("word"))
+    numbers = index_vocabulary(names.distinct()).select(F.col("word").alias("file"), F.col("word_idx").alias("_number"))
+    others = [c for c in lines.columns if c != "file"]
+    return lookup_join(lines, numbers, "file", "left").select(F.col("_number").alias("file"), *others)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passageloom.functions import text as T
-from passageloom.operators.dedup import first_file_last_line
 from passageloom.operators.staging import stage
 from passageloom.operators.weighting import index_vocabulary
 from passageloom.sources.files import read_lines
@@ -33,7 +32,7 @@ def read_word_list(spark: SparkSession, path: str, whitespace: bool = False) ->
 
 
 def read_idf(spark: SparkSession, path: str) -> DataFrame:
-    """Staged (word, idf) from a CSV file with a header; the last row of a word wins."""
+    """Staged (word, idf) from a CSV file with a header; the last row of a word wins, files in the order of their names."""
     rows = spark.read.csv(path, schema="word string, idf double", header=True, escape='"', lineSep="\n", mode="FAILFAST")
     placed = rows.select(
         "word",
@@ -42,5 +41,5 @@ def read_idf(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    unique = first_file_last_line(placed, "word", F.lit(""), [F.col("block"), F.col("row")])
+    unique = placed.groupBy("word").agg(F.max_by("idf", F.struct("file", "block", "row")).alias("idf"))
     return stage(unique.select("word", "idf"), "idf")

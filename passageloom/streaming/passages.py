@@ -8,11 +8,19 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from passageloom.functions import text as T
 from passageloom.operators.weighting import dense_tfidf
+from passageloom.sources.files import skip_first_lines, with_position
 
 
-def read_passage_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    """(passage_id, passage) of the ``id,text`` lines of every file that appears in a folder."""
+def read_passage_stream(
+    spark: SparkSession, folder: str, files_per_trigger: int = 1000, header: bool = False
+) -> DataFrame:
+    """(passage_id, passage) of the ``id,text`` lines of every file that appears in a folder.
+
+    ``header=True`` skips the first line of each file.
+    """
     lines = spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", files_per_trigger).text(folder)
+    if header:
+        lines = skip_first_lines(with_position(lines))
     return lines.select(
         T.key_before_comma(F.col("value")).alias("passage_id"), T.text_after_comma(F.col("value")).alias("passage")
     )

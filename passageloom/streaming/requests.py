@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
 from passageloom.operators.requests import answer_requests
+from passageloom.operators.retrieval import vector_sizes
 
 
 def answer_request_stream(
@@ -17,8 +18,10 @@ def answer_request_stream(
 ) -> StreamingQuery:
     """Answer a streaming table of ``request`` against static embeddings, into Parquet below ``output``."""
 
+    sizes = vector_sizes(passages)  # the table is static: measured once, not for each micro-batch
+
     def answer(batch: DataFrame, number: int) -> None:
-        answer_requests(batch, queries, passages).write.mode("overwrite").parquet(f"{output}/batch={number}")
+        answer_requests(batch, queries, passages, passage_sizes=sizes).write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     stream = requests.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint)
     return stream.trigger(**(trigger or {"availableNow": True})).start()

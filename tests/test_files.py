@@ -7,6 +7,7 @@ from passageloom.operators import terms
 from passageloom.operators.staging import stage
 from passageloom.plans import corpus, search
 from passageloom.sinks import files as sinks
+from passageloom.sources.files import read_lines
 from passageloom.sources import embeddings as E
 from passageloom.sources import passages as P
 from passageloom.sources import vocabulary as V
@@ -43,15 +44,34 @@ def folder(tmp_path):
 
 def test_passage_lines(spark, folder):
     got = passages_of(P.read_passages(spark, folder))
-    assert got == {"1": "z", "2": "b c\r", "nocomma": "", "3": "d"}
+    assert got == {"1": "z", "": "", "2": "b c\r", "nocomma": "", "3": "d"}
     got = passages_of(P.read_passages(spark, folder, header=False))
     assert got == {"id": "passage", "1": "z", "": "", "2": "b c\r", "nocomma": "", "3": "d"}
     assert "" not in passages_of(P.read_passages(spark, folder, header=False, keep_blank=False))
-    assert P.read_passages(spark, folder, unique=False).count() == 6
+    assert P.read_passages(spark, folder, unique=False).count() == 7
     words = terms.passage_words(P.read_passages(spark, folder)).where("passage_id = '2'")
     assert [r["word"] for r in words.collect()] == ["b", "c"]
 
 
+def test_header_skip_loses_nothing_else(spark, tmp_path):
+    """Blank lines, odd characters and long files in many splits; only the first line of each file goes."""
+    odd = ["1,left\uffffright", "", "2,nul\x00inside", '3,"quoted, not', "#4,comment", " ", "5,last"]
+    for name in "abc":
+        write(tmp_path / f"in/{name}.csv", "id,passage\n" + "\n".join([*odd, *(f"{name}{i},text {i}" for i in range(2000))]) + "\n")
+    write(tmp_path / "in/d.csv", "only a header\n")
+    write(tmp_path / "in/e.csv", "")
+    expected = sorted(3 * odd + [f"{name}{i},text {i}" for name in "abc" for i in range(2000)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1000", "1000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            lines = read_lines(spark, str(tmp_path / "in"), header=True)
+            assert sorted(r["value"] for r in lines.collect()) == expected
+        assert lines.rdd.getNumPartitions() < 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_one_file_and_one_passage(spark, folder):
     assert passages_of(P.read_passages(spark, f"{folder}/b.csv")) == {"1": "other", "3": "d"}
     assert corpus.show_passage(spark, f"{folder}/a.csv", "1").first()["passage"] == "z"
@@ -165,24 +185,24 @@ def test_equal_scores_in_several_files(spark, tmp_path):
 
 
 def test_whole_jobs(spark, tmp_path):
-    passages = write(tmp_path / "in/a.csv", "id,passage\n1,good boy\n2,good girl\n3,Boy,girl good\n")
-    words = write(tmp_path / "words.txt", "boy\ngirl\ngood\nzebra\n")
+    passages = write(tmp_path / "in/a.csv", "id,passage\n1,red fox\n2,red hen red\n3,Fox,owl hen red\n")
+    words = write(tmp_path / "words.txt", "fox\nhen\nred\nzebra\n")
     log = math.log2(3 / 2)
-    expected = {"1": [log / 2, 0, 0, 0], "2": [0, log / 2, 0, 0], "3": [log / 3, log / 3, 0, 0]}
+    expected = {"1": [log / 2, 0, 0, 0], "2": [0, log / 3, 0, 0], "3": [log / 4, log / 4, 0, 0]}
 
     def check(df, expected=expected):
         got = {r["passage_id"]: r["vector"] for r in df.collect()}
         assert got == {k: pytest.approx(v, abs=1e-12, nan_ok=True) for k, v in expected.items()}
 
     check(corpus.one_shot(spark, passages, words, str(tmp_path / "one")))
-    assert lines_of(tmp_path / "one")[0] == "passageId,boy,girl,good,zebra" and len(lines_of(tmp_path / "one")) == 4
+    assert lines_of(tmp_path / "one")[0] == "passageId,fox,hen,red,zebra" and len(lines_of(tmp_path / "one")) == 4
     corpus.build_idf(spark, passages, words, str(tmp_path / "idf"))
     check(corpus.with_saved_idf(spark, passages, words, str(tmp_path / "idf"), str(tmp_path / "two")))
     assert len(lines_of(tmp_path / "two")) == 3
     strict = {k: v[:3] + [math.nan] for k, v in expected.items()}
     check(corpus.one_shot(spark, passages, words, zero_df="ieee"), strict)
-    # Without lower case, "Boy" is another word than "boy", but still counts for the length.
-    cased = {"1": [math.log2(3) / 2, 0, 0, 0], "2": [0, log / 2, 0, 0], "3": [0, log / 3, 0, 0]}
+    # Without lower case, "Fox" is another word than "fox", but still counts for the length.
+    cased = {"1": [math.log2(3) / 2, 0, 0, 0], "2": [0, log / 3, 0, 0], "3": [0, log / 4, 0, 0]}
     check(corpus.first_generation(spark, passages, words, str(tmp_path / "three")), cased)
     assert len(lines_of(tmp_path / "three")) == 3
     # The header counts as a passage when it is not skipped.

@@ -82,7 +82,7 @@ def test_repeated_query_ids_are_answered_row_by_row(spark):
     assert answers(best_passages(queries, with_position(spark, G6))) == [(7, 1), (7, 3), (7, 3)]
 
 
-@pytest.mark.parametrize("shape", ["few queries", "few passages", "both in slices"])
+@pytest.mark.parametrize("shape", ["few queries", "few passages", "both in blocks"])
 def test_every_strategy_equals_the_definition(spark, shape):
     rng = np.random.default_rng(5)
     # Small whole numbers: many exact ties, equal vectors, multiples, zero vectors, and ragged lengths.
@@ -93,7 +93,7 @@ def test_every_strategy_equals_the_definition(spark, shape):
     got = best_passages(
         spark.createDataFrame(queries, SCHEMA).repartition(3),
         with_position(spark, passages).repartition(4),
-        budget=retrieval.SLICE_BYTES if shape != "both in slices" else 8 * 4 * 20,
+        budget=retrieval.SLICE_BYTES if shape != "both in blocks" else 8 * 4 * 20,
     )
     expected = sorted(brute_force(queries, passages))
     assert sorted((r["query_id"], r["passage_id"], r["score"]) for r in got.collect()) == expected

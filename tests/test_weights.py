@@ -1,4 +1,5 @@
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from passageloom.operators.staging import stage
 from passageloom.plans.corpus import dense_of_tables
 
 PASSAGES = "passage_id string, passage string"
-G1 = [("1", "good boy"), ("2", "good girl"), ("3", "boy girl good")]
-LOG = math.log2(3 / 2)
+# log2(3 / df): red is in all three passages, fox and hen in two, owl in one.
+G1 = [("1", "red fox"), ("2", "red hen red"), ("3", "fox owl hen red")]
+TWO, ONE = math.log2(3 / 2), math.log2(3)
 
 
 @pytest.fixture
@@ -36,19 +38,21 @@ def vectors(df):
 
 
 def test_idf_and_weights_of_three_passages(g1):
-    assert as_dict(frequency.document_frequency(g1), "word", value="df") == {("good",): 3, ("boy",): 2, ("girl",): 2}
-    assert as_dict(frequency.idf_table(g1), "word", value="idf") == approx({("good",): 0.0, ("boy",): LOG, ("girl",): LOG})
+    df = {("red",): 3, ("fox",): 2, ("hen",): 2, ("owl",): 1}
+    assert as_dict(frequency.document_frequency(g1), "word", value="df") == df
+    idf = {("red",): 0.0, ("fox",): TWO, ("hen",): TWO, ("owl",): ONE}
+    assert as_dict(frequency.idf_table(g1), "word", value="idf") == approx(idf)
     assert as_dict(weighting.tfidf_sparse(g1), "passage_id", "word", value="tfidf") == approx(
         {
-            ("1", "good"): 0.0, ("1", "boy"): LOG / 2, ("2", "good"): 0.0, ("2", "girl"): LOG / 2,
-            ("3", "good"): 0.0, ("3", "boy"): LOG / 3, ("3", "girl"): LOG / 3,
+            ("1", "red"): 0.0, ("1", "fox"): TWO / 2, ("2", "red"): 0.0, ("2", "hen"): TWO / 3,
+            ("3", "red"): 0.0, ("3", "fox"): TWO / 4, ("3", "hen"): TWO / 4, ("3", "owl"): ONE / 4,
         }
     )
 
 
 def test_dense_vectors_in_vocabulary_order(spark, g1):
-    expected = {"1": [LOG / 2, 0, 0], "2": [0, LOG / 2, 0], "3": [LOG / 3, LOG / 3, 0]}
-    words = words_of(spark, "boy", "girl", "good")
+    expected = {"1": [TWO / 2, 0, 0], "2": [0, TWO / 3, 0], "3": [TWO / 4, TWO / 4, 0]}
+    words = words_of(spark, "fox", "hen", "red")
     got = vectors(dense_of_tables(g1, words))
     assert {k: approx(v) for k, v in expected.items()} == got
     got = vectors(weighting.densify(weighting.tfidf_sparse(g1), weighting.index_vocabulary(words), g1))
@@ -56,21 +60,21 @@ def test_dense_vectors_in_vocabulary_order(spark, g1):
 
 
 def test_word_in_no_passage(spark, g1):
-    words = words_of(spark, "boy", "zebra")
-    assert as_dict(frequency.document_frequency_for(g1, words), "word", value="df") == {("boy",): 2, ("zebra",): 0}
-    assert as_dict(frequency.idf_table(g1, words), "word", value="idf") == approx({("boy",): LOG})
+    words = words_of(spark, "fox", "zebra")
+    assert as_dict(frequency.document_frequency_for(g1, words), "word", value="df") == {("fox",): 2, ("zebra",): 0}
+    assert as_dict(frequency.idf_table(g1, words), "word", value="idf") == approx({("fox",): TWO})
     strict = frequency.idf_table(g1, words, zero_df="ieee")
-    assert as_dict(strict, "word", value="idf") == approx({("boy",): LOG, ("zebra",): math.inf})
+    assert as_dict(strict, "word", value="idf") == approx({("fox",): TWO, ("zebra",): math.inf})
     listed = weighting.attach_idf(weighting.index_vocabulary(words), strict)
     got = vectors(weighting.dense_tfidf(g1, listed))
-    assert got == {"1": approx([LOG / 2, math.nan]), "2": approx([0.0, math.nan]), "3": approx([LOG / 3, math.nan])}
+    assert got == {"1": approx([TWO / 2, math.nan]), "2": approx([0.0, math.nan]), "3": approx([TWO / 4, math.nan])}
     assert vectors(dense_of_tables(g1, words))["2"] == [0.0, 0.0]
 
 
 def test_passage_without_words(spark):
     passages = spark.createDataFrame([*G1, ("4", ""), ("5", " \t ")], PASSAGES)
     assert as_dict(terms.passage_lengths(passages), "passage_id", value="n_words")[("5",)] == 0
-    words = words_of(spark, "boy")
+    words = words_of(spark, "fox")
     idf = frequency.idf_table(passages, words)
     assert idf.first()["idf"] == pytest.approx(math.log2(5 / 2))
     listed = weighting.attach_idf(weighting.index_vocabulary(words), idf)
@@ -113,9 +117,9 @@ def test_repeated_words_and_order(spark):
 
 
 def test_word_list_order_with_a_repeated_word(spark, g1):
-    listed = spark.createDataFrame([(0, "girl"), (1, "boy"), (2, "girl"), (3, "nil")], "word_idx int, word string")
+    listed = spark.createDataFrame([(0, "hen"), (1, "fox"), (2, "hen"), (3, "nil")], "word_idx int, word string")
     got = vectors(weighting.dense_tfidf(g1, weighting.attach_idf(listed, frequency.idf_table(g1))))
-    assert got["2"] == approx([LOG / 2, 0, LOG / 2, 0]) and got["3"] == approx([LOG / 3, LOG / 3, LOG / 3, 0])
+    assert got["2"] == approx([TWO / 3, 0, TWO / 3, 0]) and got["3"] == approx([TWO / 4, TWO / 4, TWO / 4, 0])
 
 
 def test_equal_ids_stay_separate_on_request(spark):
@@ -125,12 +129,19 @@ def test_equal_ids_stay_separate_on_request(spark):
     assert sorted(r["vector"] for r in got) == [[0.5, 1.0], [1.0, 0.0], [1.0, 0.0]]
 
 
-def test_long_vocabulary_is_refused(spark, g1):
-    listed = weighting.attach_idf(weighting.index_vocabulary(words_of(spark, "a", "b", "c")), frequency.idf_table(g1))
-    with pytest.raises(ValueError, match="at most 2 words"):
-        weighting.dense_tfidf(g1, listed, max_words=2)
-    with pytest.raises(ValueError, match="at most 2 words"):
-        weighting.densify(weighting.tfidf_sparse(g1), listed, g1, max_words=2)
+def test_long_list_of_words_without_idf(spark, g1):
+    """A vector may be long, and most of it NaN: nothing of it goes into the plan."""
+    n = 100_000
+    words = spark.range(n).select(F.concat(F.lit("w"), F.col("id")).alias("word")).union(words_of(spark, "fox"))
+    idf = frequency.idf_table(g1, words, zero_df="ieee")
+    listed = weighting.attach_idf(weighting.index_vocabulary(words), idf)
+    start = time.perf_counter()
+    dense = weighting.dense_tfidf(g1, listed)
+    dense._jdf.queryExecution().executedPlan().toString()
+    assert time.perf_counter() - start < 20
+    got = vectors(dense)
+    assert all(len(v) == n + 1 and sum(map(math.isnan, v)) == n for v in got.values())
+    assert {k: v[0] for k, v in got.items()} == approx({"1": TWO / 2, "2": 0.0, "3": TWO / 4})
 
 
 def test_word_list_larger_than_a_broadcast(spark, skewed):
@@ -161,10 +172,10 @@ def test_index_over_many_ranges(spark):
 
 def test_missing_idf(spark, g1):
     table = stage(frequency.idf_table(g1), "idf")
-    other = spark.createDataFrame([("9", "boy zebra")], PASSAGES)
+    other = spark.createDataFrame([("9", "fox zebra")], PASSAGES)
     for budget in (1 << 20, 1):
         got = weighting.tfidf_with_table(terms.term_counts(other), table, missing_idf=1.0, budget=budget)
-        assert as_dict(got, "word", value="tfidf") == approx({("boy",): LOG / 2, ("zebra",): 0.5})
+        assert as_dict(got, "word", value="tfidf") == approx({("fox",): TWO / 2, ("zebra",): 0.5})
 
 
 def test_batches_add_up(spark, g1):
@@ -174,13 +185,13 @@ def test_batches_add_up(spark, g1):
 
 
 def test_vocabulary_larger_than_a_broadcast(spark, g1):
-    words = words_of(spark, "boy", "zebra")
+    words = words_of(spark, "fox", "zebra")
     for budget in (1 << 20, 1):
         small = frequency.document_frequency_for(g1, words, budget=budget)
-        assert as_dict(small, "word", value="df") == {("boy",): 2, ("zebra",): 0}
+        assert as_dict(small, "word", value="df") == {("fox",): 2, ("zebra",): 0}
         found = frequency.corpus_frequency(g1, words, budget=budget)
         assert found.n_passages == 3
-        assert as_dict(found.table, "word", value="df") == {("boy",): 2, ("zebra",): 0}
+        assert as_dict(found.table, "word", value="df") == {("fox",): 2, ("zebra",): 0}
 
 
 @pytest.fixture(scope="module")
@@ -212,13 +223,13 @@ def test_lookup_join_equals_a_plain_join(spark, how, budget):
 
 
 def test_frequent_rows_stay_out_of_the_shuffle(spark, skewed):
-    """Beyond the budget only the hot words are broadcast, within the bound."""
+    """Beyond the budget only the hot words are broadcast, and the words are still taken apart once."""
     found = frequency.corpus_frequency(skewed)
     counts = found.table.select("word", F.col("df").alias("n"))
     plan = lookup_join(
         terms.term_counts(skewed), stage(frequency.idf_of(found), "idf"), "word", counts=counts, budget=1000
     )._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in plan and "LeftAnti" in plan and "strategy=broadcast" in plan
+    assert "Union" not in plan and plan.count("Generate") == 1 and "strategy=broadcast" in plan and "_salt" in plan
 
 
 def test_sparse_equals_the_non_zeros_of_dense(spark, skewed):
