@@ -60,6 +60,13 @@ def vector_sizes(table: DataFrame) -> tuple[int, int]:
     return found["rows"], max(1, found["widest"] or 1)
 
 
+def _require_equal_lengths(queries: DataFrame, passages: DataFrame) -> None:
+    lengths = queries.select(F.size("embedding").alias("n")).unionAll(passages.select(F.size("embedding")))
+    found = lengths.where("n >= 0").agg(F.min("n").alias("least"), F.max("n").alias("most")).first()
+    if found["least"] != found["most"]:
+        raise ValueError(f"vectors have {found['least']} to {found['most']} numbers")
+
+
 def _bytes(sizes: tuple[int, int]) -> int:
     """Of the table as a matrix, in which every row is as long as the longest."""
     return 8 * sizes[0] * sizes[1]
@@ -75,14 +82,19 @@ def best_passages(
     with_embedding: bool = False,
     budget: int = SLICE_BYTES,
     passage_sizes: tuple[int, int] | None = None,
+    equal_lengths: bool = False,
 ) -> DataFrame:
     """(query_id, passage_id, score), one row for each query row; with the passage's embedding if asked for.
 
+    Vectors of unequal length are compared over the shorter one; ``equal_lengths=True`` raises if there are any.
+
     Queries with ``pos`` keep it, so that the answers can be put in the order of the queries. ``passage_sizes`` spares
     the pass that measures the passages (``vector_sizes``), for a table that is searched again and again.
     """
     queries = queries.select("id", "embedding", *_POSITION.intersection(queries.columns))
     ordered, names = _with_order(passages)
+    if equal_lengths:
+        _require_equal_lengths(queries, passages)
 
     query_sizes = vector_sizes(queries)
     passage_sizes = passage_sizes or vector_sizes(passages)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passageloom.functions import vectors as V
@@ -15,9 +15,12 @@ from passageloom.operators.requests import answer_requests
 from passageloom.operators.retrieval import best_passages, similarities
 from passageloom.operators.staging import new_folder, spread, stage
 from passageloom.plans import corpus, inputs, search
-from passageloom.sinks.files import write_embeddings, write_passages, write_vocabulary
+from passageloom.sinks.files import (
+    append_dense_csv, write_answers, write_dense_csv, write_dense_vectors, write_embeddings, write_passages, write_vocabulary,
+)
 from passageloom.sources.embeddings import parse_embedding_lines, read_embeddings
-from passageloom.sources.passages import lookup_passages, read_passages
+from passageloom.sources.files import read_lines
+from passageloom.sources.passages import lookup_passages, passage_texts, read_passages
 from passageloom.streaming.passages import read_passage_stream, weigh_passage_stream
 from passageloom.streaming.requests import answer_request_stream
 
@@ -139,6 +142,32 @@ def tfidf_dense(spark: SparkSession, folder: str) -> DataFrame:
     return corpus.dense_of_tables(inputs.documents(spark, folder), words, digits=DIGITS)
 
 
+def tfidf_sparse_beyond_a_broadcast(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``tfidf_sparse``, with a budget that the IDF table exceeds: only frequent words are broadcast."""
+    return _rounded(weighting.tfidf_sparse(inputs.documents(spark, folder), budget=200_000), "tfidf")
+
+
+def _nan_as_null(vectors: DataFrame) -> DataFrame:
+    return vectors.select("passage_id", F.transform("vector", lambda x: F.when(~F.isnan(x), x)).alias("vector"))
+
+
+def tfidf_dense_ieee(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of the list that no document has weigh NaN, shown as null."""
+    passages = inputs.documents(spark, folder)
+    words = weighting.index_vocabulary(inputs.benchmark_words(spark, folder))
+    idf = frequency.idf_table(passages, words.select("word"), zero_df="ieee")
+    return _nan_as_null(weighting.dense_tfidf(passages, weighting.attach_idf(words, idf), digits=DIGITS))
+
+
+def tfidf_dense_empty_nan(spark: SparkSession, folder: str) -> DataFrame:
+    """The items as passages without words beside the documents: their vectors are NaN, shown as null."""
+    items = inputs.benchmark(spark, folder).select(F.concat(F.lit("item"), "passage_id").alias("passage_id"), F.lit(" ").alias("passage"))
+    passages = inputs.documents(spark, folder).unionByName(items)
+    words = weighting.index_vocabulary(inputs.benchmark_words(spark, folder))
+    idf = frequency.idf_table(inputs.documents(spark, folder), words.select("word"))
+    return _nan_as_null(weighting.dense_tfidf(passages, weighting.attach_idf(words, idf), empty="nan", digits=DIGITS))
+
+
 def tfidf_densified(spark: SparkSession, folder: str) -> DataFrame:
     """Long weights over the whole vocabulary, then dense over the words of a list."""
     passages = inputs.documents(spark, folder)
@@ -188,6 +217,20 @@ def best_passage_row(spark: SparkSession, folder: str) -> DataFrame:
     return best.select("query_id", "passage_id", F.transform("embedding", lambda x: F.round(x, DIGITS)).alias("embedding"))
 
 
+def _rows_of_best(best: DataFrame) -> DataFrame:
+    return best.select("query_id", "passage_id", F.transform("embedding", lambda x: F.round(x, DIGITS)).alias("embedding"))
+
+
+def best_passage_row_many_queries(spark: SparkSession, folder: str) -> DataFrame:
+    return _rows_of_best(best_passages(inputs.vectors(spark, folder), inputs.label_means(spark, folder), with_embedding=True))
+
+
+def best_passage_all_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector plus the mean of its label against every vector, in blocks: neither side fits the small budget."""
+    best = best_passages(inputs.shifted_vectors(spark, folder), inputs.vectors(spark, folder), budget=100_000)
+    return _rounded(best, "score")
+
+
 def best_passage_requests(spark: SparkSession, folder: str) -> DataFrame:
     return answer_requests(
         inputs.requests(spark, folder), inputs.label_means(spark, folder), inputs.vectors(spark, folder)
@@ -229,6 +272,94 @@ def passages_from_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_passages(spark, _passage_files(spark, folder), header=False)
 
 
+def passages_from_files_with_header(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with a header each, blank lines, and ids repeated within a file and in a later one."""
+    text = F.replace(F.col("passage"), F.lit("\n"), F.lit(" "))
+    line = F.concat("passage_id", F.lit(","), text, F.lit("\uffff"))
+    copies = F.array(
+        F.struct(F.lit(0).alias("later"), F.lit(1).alias("place"), F.concat("passage_id", F.lit(",old")).alias("line")),
+        F.struct(F.lit(0).alias("later"), F.lit(2).alias("place"), line.alias("line")),
+        F.struct(F.lit(0).alias("later"), F.lit(3).alias("place"), F.lit("").alias("line")),
+        F.struct(F.lit(1).alias("later"), F.lit(1).alias("place"), F.concat("passage_id", F.lit(",later")).alias("line")),
+    )
+    rows = inputs.documents(spark, folder).select(F.pmod(F.crc32("passage_id"), F.lit(3)).alias("first"), F.inline(copies))
+    lines = rows.select((F.col("first") + F.col("later")).alias("part"), "place", "line")
+    return read_passages(spark, _files_with_header(spark, lines))
+
+
+def _files_with_header(spark: SparkSession, lines: DataFrame) -> str:
+    """One file for each part (0 to 3) of (part, place, line), its header before the other lines."""
+    header = spark.range(4).select(F.col("id").alias("part"), F.lit(0).alias("place"), F.lit("id,passage").alias("line"))
+    path = new_folder(spark, "header-files")
+    ordered = header.unionByName(lines).repartition("part").sortWithinPartitions("part", "place")
+    ordered.select("part", "line").write.partitionBy("part").text(path, lineSep="\n")
+    return f"{path}/part=*"
+
+
+def passages_from_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """Two folders at once, whose ids overlap: the first file by name wins."""
+    path = new_folder(spark, "two-folders")
+    write_passages(inputs.documents(spark, folder), f"{path}/a")
+    write_passages(inputs.benchmark(spark, folder), f"{path}/b")
+    return read_passages(spark, [f"{path}/a", f"{path}/b"], header=False)
+
+
+def passage_shown(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus.show_passage(spark, _passage_files(spark, folder), "1", header=False)
+
+
+def passage_text_column(spark: SparkSession, folder: str) -> DataFrame:
+    return passage_texts(inputs.documents(spark, folder))
+
+
+def _lines_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """(place, line) of all lines of a folder, in the order of files and lines."""
+    lines = read_lines(spark, path).select("file", "block", "row", F.col("value").alias("word"))
+    return weighting.index_vocabulary(lines, "file", "block", "row").select(F.col("word_idx").alias("place"), F.col("word").alias("line"))
+
+
+def _numbers(fields: Column) -> Column:
+    return F.transform(F.slice(fields, 2, F.greatest(F.size(fields) - 1, F.lit(1))), lambda x: x.cast("double"))
+
+
+def dense_csv_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of a dense CSV in their places: the header first, then the passages by id."""
+    words = weighting.index_vocabulary(inputs.benchmark_words(spark, folder))
+    path = new_folder(spark, "dense-csv")
+    write_dense_csv(tfidf_dense(spark, folder), words, path)
+    fields = F.split("line", ",")
+    first = F.col("place") == 0
+    return _lines_in_order(spark, path).select(
+        "place",
+        F.get(fields, F.lit(0)).alias("passage_id"),
+        F.when(first, F.array_join(fields, ",")).alias("header"),
+        F.when(~first, _numbers(fields)).alias("vector"),
+    )
+
+
+def dense_csv_appended(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches of lines added to one folder."""
+    path = new_folder(spark, "dense-csv")
+    vectors = stage(tfidf_dense(spark, folder), "vectors")
+    append_dense_csv(vectors, path)
+    append_dense_csv(vectors, path)
+    fields = F.split("value", ",")
+    return spark.read.text(path).select(F.get(fields, F.lit(0)).alias("passage_id"), _numbers(fields).alias("vector"))
+
+
+def dense_vector_lines(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "dense-vectors")
+    write_dense_vectors(tfidf_dense(spark, folder), path)
+    fields = F.split("line", "[,:]")
+    return _lines_in_order(spark, path).select("place", F.get(fields, F.lit(0)).alias("passage_id"), _numbers(fields).alias("vector"))
+
+
+def answer_lines(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "answers")
+    write_answers(best_passages(inputs.label_means(spark, folder), inputs.vectors(spark, folder)), path)
+    return _lines_in_order(spark, path)
+
+
 def vocabulary_from_files(spark: SparkSession, folder: str) -> DataFrame:
     return corpus.build_vocabulary(
         spark, _passage_files(spark, folder), new_folder(spark, "vocabulary-file"), header=False
@@ -302,6 +433,19 @@ def passage_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("passage_id string, vector array<double>").parquet(f"{output}/batch=*")
 
 
+def passage_stream_with_header(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.replace(F.col("passage"), F.lit("\n"), F.lit(" "))
+    lines = inputs.documents(spark, folder).select(
+        F.pmod(F.crc32("passage_id"), F.lit(4)).alias("part"), F.lit(1).alias("place"), F.concat("passage_id", F.lit(","), text).alias("line")
+    )
+    passages, words, saved = _passage_files(spark, folder), _word_file(spark, folder), new_folder(spark, "idf-file")
+    corpus.build_idf(spark, passages, words, saved, header=False)
+    output, progress = new_folder(spark, "vectors"), new_folder(spark, "progress")
+    stream = read_passage_stream(spark, _files_with_header(spark, lines), header=True)
+    weigh_passage_stream(stream, corpus.word_list_with_idf(spark, words, saved), output, progress, DIGITS).awaitTermination()
+    return spark.read.schema("passage_id string, vector array<double>").parquet(f"{output}/batch=*")
+
+
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     job.__name__: job
     for job in (
@@ -315,6 +459,10 @@ JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         passages_from_files, vocabulary_from_files, idf_from_files,
         tfidf_first_generation, tfidf_saved_idf, tfidf_one_shot,
         embedding_parse, embeddings_from_files, best_passage_from_files,
-        request_stream, passage_stream,
+        request_stream, passage_stream, passage_stream_with_header,
+        tfidf_sparse_beyond_a_broadcast, tfidf_dense_ieee, tfidf_dense_empty_nan,
+        best_passage_row_many_queries, best_passage_all_vectors,
+        passages_from_files_with_header, passages_from_folders, passage_shown, passage_text_column,
+        dense_csv_lines, dense_csv_appended, dense_vector_lines, answer_lines,
     )
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passageloom.operators.staging import spread
+from passageloom.operators.lookup import lookup_join
+from passageloom.operators.staging import spread, stage
 from passageloom.operators.terms import vocabulary
 from passageloom.sources.embeddings import embeddings_of_table
 from passageloom.sources.passages import passages_of_table
@@ -41,6 +42,16 @@ def label_means(spark: SparkSession, folder: str) -> DataFrame:
     return ordered.select(F.col("label").cast("bigint").alias("id"), F.transform("xs", lambda e: e["x"]).alias("embedding"))
 
 
+def shifted_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """(id, embedding): each vector plus the mean of its label. As many query vectors as rows, none equal to a row."""
+    means = stage(label_means(spark, folder).select(F.col("id").alias("label"), F.col("embedding").alias("mean")), "means")
+    rows = table(spark, folder, "embeddings").select(
+        "vec_id", F.col("label").cast("bigint").alias("label"), F.col("embedding").cast("array<double>").alias("embedding")
+    )
+    moved = F.zip_with("embedding", "mean", lambda x, y: x + y)
+    return lookup_join(rows, means, "label").select(F.col("vec_id").cast("bigint").alias("id"), moved.alias("embedding"))
+
+
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """(request): one id and one word from each turn of a conversation; known ids, unknown ids and no ids."""
     turns = spread(table(spark, folder, "conversations").select("conv_id", "role"))

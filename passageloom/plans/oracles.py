@@ -38,6 +38,15 @@ FROM docs CROSS JOIN listed LEFT JOIN hits ON hits.passage_id = docs.passage_id
 GROUP BY docs.passage_id"""
 
 
+def _dense_rows() -> str:
+    """dense: (passage_id, vector) of the documents over the list, by the product form."""
+    return f"""hits AS (SELECT passage_id, word, CAST(tf AS DOUBLE) * idf / n_words AS w
+FROM tf JOIN lengths USING (passage_id) JOIN idf USING (word)),
+dense AS (SELECT docs.passage_id, list(round(coalesce(hits.w, 0.0), 6) ORDER BY listed.word_idx) AS vector
+FROM docs CROSS JOIN listed LEFT JOIN hits ON hits.passage_id = docs.passage_id AND hits.word = listed.word
+GROUP BY docs.passage_id)"""
+
+
 _SHARE_FIRST = "CAST(tf AS DOUBLE) / n_words * idf"
 _PRODUCT_FIRST = "CAST(tf AS DOUBLE) * idf / n_words"
 
@@ -81,7 +90,46 @@ _LINES = """lines AS (
   UNION ALL SELECT concat(role, ',', turn) FROM conversations
   UNION ALL SELECT concat(conv_id, ',', text) FROM conversations)"""
 
+_DENSE_ROWS = f"WITH {_DOC_WORDS}, {_ITEM_WORDS}, {_WEIGHTS}, {_LIST}, {_dense_rows()}"
+_ONE_LINE = "replace(passage, chr(10), ' ')"
+
 SQL: dict[str, str] = {
+    "tfidf_sparse_beyond_a_broadcast": f"WITH {_DOC_WORDS}, {_WEIGHTS} {_SPARSE}",
+    "tfidf_dense_ieee": f"""WITH {_DOC_WORDS}, {_ITEM_WORDS}, {_WEIGHTS}, {_LIST}, hits AS (
+  SELECT passage_id, word, {_PRODUCT_FIRST} AS w FROM tf JOIN lengths USING (passage_id) JOIN idf USING (word))
+SELECT docs.passage_id,
+  list(CASE WHEN df.word IS NULL THEN NULL ELSE round(coalesce(hits.w, 0.0), 6) END ORDER BY listed.word_idx) AS vector
+FROM docs CROSS JOIN listed LEFT JOIN df ON df.word = listed.word
+  LEFT JOIN hits ON hits.passage_id = docs.passage_id AND hits.word = listed.word
+GROUP BY docs.passage_id""",
+    "tfidf_dense_empty_nan": f"""{_DENSE_ROWS} SELECT passage_id, vector FROM dense UNION ALL
+SELECT 'item' || passage_id, (SELECT list(CAST(NULL AS DOUBLE)) FROM listed) FROM items""",
+    "passages_from_files_with_header": f"""WITH {_DOCUMENTS}
+SELECT passage_id, {_ONE_LINE} || chr(65535) AS passage FROM docs UNION ALL SELECT '', ''""",
+    "passages_from_folders": f"""WITH {_DOCUMENTS}, {_BENCHMARK}
+SELECT passage_id, {_ONE_LINE} AS passage FROM docs UNION ALL
+SELECT passage_id, {_ONE_LINE} FROM items WHERE passage_id NOT IN (SELECT passage_id FROM docs)""",
+    "passage_shown": f"WITH {_DOCUMENTS} SELECT passage_id, {_ONE_LINE} AS passage FROM docs WHERE passage_id = '1'",
+    "passage_text_column": f"WITH {_DOCUMENTS} SELECT passage FROM docs",
+    "dense_csv_lines": f"""{_DENSE_ROWS}
+SELECT 0 AS place, 'passageId' AS passage_id, 'passageId,' || string_agg(word, ',' ORDER BY word_idx) AS header,
+  CAST(NULL AS DOUBLE[]) AS vector FROM listed
+UNION ALL SELECT row_number() OVER (ORDER BY passage_id), passage_id, NULL, vector FROM dense""",
+    "dense_csv_appended": f"{_DENSE_ROWS} SELECT passage_id, vector FROM dense UNION ALL SELECT passage_id, vector FROM dense",
+    "dense_vector_lines": f"""{_DENSE_ROWS}
+SELECT row_number() OVER (ORDER BY passage_id) - 1 AS place, passage_id, vector FROM dense""",
+    "answer_lines": f"""WITH {_best('means', 'vectors')}
+SELECT row_number() OVER (ORDER BY query_id) - 1 AS place, '(' || query_id || ', ' || passage_id || ')' AS line
+FROM best WHERE place = 1""",
+    "best_passage_row_many_queries": f"""WITH {_best('vectors', 'means')}
+SELECT query_id, passage_id, list_transform(v, lambda x: round(x, 6)) AS embedding FROM best WHERE place = 1""",
+    "best_passage_all_vectors": f"""WITH {_VECTORS}, {_MEANS}, moved AS (
+  SELECT vectors.id, list_transform(list_zip(vectors.v, means.v), lambda p: p[1] + p[2]) AS v
+  FROM vectors JOIN means ON means.id = vectors.label),
+scores AS (SELECT q.id AS query_id, p.id AS passage_id, list_cosine_similarity(q.v, p.v) AS score FROM moved q CROSS JOIN vectors p),
+best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, passage_id DESC) AS place FROM scores)
+SELECT query_id, passage_id, round(score, 6) AS score FROM best WHERE place = 1""",
+    "passage_stream_with_header": _DENSE_PRODUCT,
     "passage_words": f"""WITH {_DOCUMENTS}, lists AS (
   SELECT passage_id, list_filter({_SPLIT.format(text='lower(passage)')}, lambda w: w <> '') AS ws FROM docs)
 SELECT passage_id, unnest(generate_series(0, len(ws) - 1)) AS position, unnest(ws) AS word FROM lists""",

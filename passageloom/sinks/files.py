@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from passageloom.functions.vectors import text_of_embedding
 
+# The column names and the line of an answer, as the readers of these files expect them.
+IDF_WORD, IDF_VALUE = "Key", "Value"
+DENSE_ID = "passageId"
+ANSWER_LINE = "(%d, %d)"
+
 
 def write_vocabulary(vocabulary: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One word for each line, ascending."""
@@ -15,7 +20,7 @@ def write_vocabulary(vocabulary: DataFrame, path: str, mode: str = "errorifexist
 
 def write_idf(idf: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV with the header ``Key,Value``, ascending by word."""
-    idf.select(F.col("word").alias("Key"), F.col("idf").alias("Value")).orderBy("Key").write.mode(mode).csv(
+    idf.select(F.col("word").alias(IDF_WORD), F.col("idf").alias(IDF_VALUE)).orderBy(IDF_WORD).write.mode(mode).csv(
         path, header=True, escape='"', lineSep="\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
 
@@ -29,13 +34,14 @@ def dense_lines(vectors: DataFrame) -> DataFrame:
 def write_dense_csv(vectors: DataFrame, vocabulary: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Header ``passageId,<word>,...`` on a line of its own, then ``id,v,v,...`` ascending by id.
 
-    The files of the folder hold the lines in this order, the header first.
+    The files of the folder hold the lines in this order, the header first. The header is one line by its format, about
+    as long as every line after it; it is the only thing that one task puts together.
     """
     named = vocabulary.agg(F.sort_array(F.collect_list(F.struct("word_idx", "word"))).alias("w"))
     header = named.select(
         F.lit(0).alias("part"),
         F.lit("").alias("passage_id"),
-        F.concat_ws(",", F.lit("passageId"), F.transform("w", lambda x: x["word"])).alias("line"),
+        F.concat_ws(",", F.lit(DENSE_ID), F.transform("w", lambda x: x["word"])).alias("line"),
     )
     rows = dense_lines(vectors).select(F.lit(1).alias("part"), "passage_id", "line")
     header.unionByName(rows).orderBy("part", "passage_id").select("line").write.mode(mode).text(path, lineSep="\n")
@@ -69,5 +75,5 @@ def write_passages(passages: DataFrame, path: str, mode: str = "errorifexists")
 def write_answers(answers: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """``(query, passage)`` for each answered query, in the order of the queries (by id if they have no position)."""
     order = ["pos"] if "pos" in answers.columns else ["query_id", "passage_id"]
-    line = F.format_string("(%d, %d)", F.col("query_id"), F.col("passage_id"))
+    line = F.format_string(ANSWER_LINE, F.col("query_id"), F.col("passage_id"))
     answers.where(F.col("passage_id").isNotNull()).orderBy(*order).select(line).write.mode(mode).text(path, lineSep="\n")

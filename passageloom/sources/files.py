@@ -6,20 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passageloom.operators.lookup import lookup_join
 from passageloom.operators.weighting import index_vocabulary
 
 
-def with_position(lines: DataFrame) -> DataFrame:
-    """(value, file, block, row) of a text scan, batch or stream."""
+def with_split(lines: DataFrame, *more: Column) -> DataFrame:
+    """(value, file, block): each line of a text scan, batch or stream, with its file and the start of its split."""
     return lines.select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), *more
     )
 
 
@@ -29,7 +26,7 @@ def read_lines(spark: SparkSession, path: str | list[str], header: bool = False)
     Lines end at a line feed only. ``block`` is where the split starts in the file and ``row`` grows within a split,
     so (block, row) orders the lines of a file however it is split. ``header=True`` skips the first line of each file.
     """
-    lines = with_position(spark.read.text(path, lineSep="\n"))
+    lines = with_split(spark.read.text(path, lineSep="\n"), F.monotonically_increasing_id().alias("row"))
     return skip_first_lines(lines) if header else lines
 
 
@@ -54,7 +51,7 @@ def skip_first_lines(lines: DataFrame) -> DataFrame:
             before = (file.dictionary[int(code[-1])].as_py(), int(block[-1]))
             yield batch.filter(pa.array(~(begins & (block == 0))))
 
-    return lines.mapInArrow(rest, "value string, file string, block bigint, row bigint")
+    return lines.mapInArrow(rest, lines.schema)
 
 
 def with_file_number(spark: SparkSession, lines: DataFrame, path: str | list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from passageloom.functions import text as T
 from passageloom.operators.weighting import dense_tfidf
-from passageloom.sources.files import skip_first_lines, with_position
+from passageloom.sources.files import skip_first_lines, with_split
 
 
 def read_passage_stream(
@@ -20,7 +20,7 @@ def read_passage_stream(
     """
     lines = spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", files_per_trigger).text(folder)
     if header:
-        lines = skip_first_lines(with_position(lines))
+        lines = skip_first_lines(with_split(lines))
     return lines.select(
         T.key_before_comma(F.col("value")).alias("passage_id"), T.text_after_comma(F.col("value")).alias("passage")
     )

@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from passageloom.plans.catalogue import JOBS
+from passageloom.plans.oracles import SQL
 from tests.oracle_check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -22,7 +24,8 @@ def connection():
 
 
 def test_every_job_has_sql_that_runs(connection):
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert JOBS.keys() == SQL.keys()
+    assert JOBS.keys() <= entry.queries().keys() and SQL.keys() <= entry.oracle_sql().keys() <= entry.queries().keys()
     for sql in entry.oracle_sql().values():
         connection.execute(f"EXPLAIN {sql}")
 

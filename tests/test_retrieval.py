@@ -189,3 +189,15 @@ def test_cosine_columns(spark):
     assert tuple(got[0]) == (3.0, math.sqrt(5), cosine(*rows[0]), cosine(*rows[0]))
     assert tuple(got[1]) == (0.0, 0.0, None, 0.0)
     assert tuple(got[2]) == (0.0, 0.0, None, None)
+
+
+@pytest.mark.parametrize("budget", [retrieval.SLICE_BYTES, 8 * 2 * 3])
+@pytest.mark.parametrize("repeats", [1, 9])
+def test_winners_keep_their_own_vector(spark, budget, repeats):
+    """A winner shorter than the others comes back as it is, whichever way it was found."""
+    queries = spark.createDataFrame([(7 + i, [1.0, 0.0]) for i in range(repeats)], SCHEMA)
+    passages = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0]), (3, [0.0, 2.0]), (4, [-1.0, 0.0])], SCHEMA)
+    got = best_passages(queries, passages, with_embedding=True, budget=budget).collect()
+    assert [(r["passage_id"], r["embedding"]) for r in got] == [(2, [1.0])] * repeats
+    with pytest.raises(ValueError, match="1 to 2 numbers"):
+        best_passages(queries, passages, equal_lengths=True)
