@@ -25,7 +25,7 @@ from passageloom.operators import vector_blocks
 from passageloom.operators.lookup import fits_broadcast, lookup_join
 from passageloom.operators.staging import stage
 from passageloom.operators.vector_blocks import (
-    TILE_CELLS, Block, all_scores, best_of, matrix_of, numbers_of, small_batches, widened,
+    TILE_CELLS, BestSoFar, Block, all_scores, best_of, matrix_of, numbers_of, small_batches, widened,
 )
 
 # Tasks get the helper with the job, so executors need nothing installed.
@@ -124,26 +124,6 @@ def _winner_fields(names: list[str]) -> list[T.StructField]:
     return [T.StructField(n, T.LongType()) for n in ["id", *names]] + [T.StructField("score", T.DoubleType())]
 
 
-class _Best:
-    """The best passage of each of n queries so far, with the numbers that decide between equal scores."""
-
-    def __init__(self, n: int, names: list[str]):
-        self.score = np.full(n, -np.inf)
-        self.found = np.zeros(n, dtype=bool)
-        self.winner = np.zeros((len(names) + 1, n), dtype=np.int64)
-
-    def take(self, q: np.ndarray, columns: np.ndarray, value: np.ndarray) -> None:
-        """``columns`` (id and order) and ``value`` of one passage for each of the queries ``q``, each at most once."""
-        better = ~self.found[q] | (value > self.score[q])
-        undecided = self.found[q] & (value == self.score[q])
-        for row in range(1, len(columns)):
-            better |= undecided & (columns[row] > self.winner[row][q])
-            undecided &= columns[row] == self.winner[row][q]
-        q = q[better]
-        self.found[q], self.score[q] = True, value[better]
-        self.winner[:, q] = columns[:, better]
-
-
 def _answers(found: DataFrame, every: DataFrame, names: list[str]) -> DataFrame:
     """The best row of each query; ``every`` has (query_no, query_id, ...) once for each query, found or not."""
     carried = [c for c in every.columns if c != "query_no"]
@@ -175,7 +155,7 @@ def _best_by_query_slice(known: pa.Table, passages: DataFrame, names: list[str])
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = shared.value
         queries = Block(matrix)
-        best = _Best(len(matrix), names)
+        best = BestSoFar(len(matrix), len(names))
         for batch in small_batches(batches):
             columns = numbers_of(batch, ["id", *names])
             block = matrix_of(batch.column("embedding"))
@@ -256,7 +236,7 @@ def _best_by_blocks(queries: DataFrame, passages: DataFrame, names: list[str], b
 
     def search(asked: pa.Table, stored: pa.Table) -> pa.Table:
         query_no, columns = numbers_of(asked, ["query_no"])[0], numbers_of(stored, ["id", *names])
-        one, many = _matrix(asked), _matrix(stored)
+        one, many = (matrix_of(table.column("embedding").combine_chunks()) for table in (asked, stored))
         width = max(one.shape[1], many.shape[1])
         row, value = best_of(Block(widened(one, width)), Block(widened(many, width), columns[1:]))
         q = np.flatnonzero(row >= 0)

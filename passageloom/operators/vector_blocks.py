@@ -93,6 +93,26 @@ class Block:
         return part
 
 
+class BestSoFar:
+    """The best passage of each of n queries so far, with the numbers that decide between equal scores."""
+
+    def __init__(self, n: int, orders: int):
+        self.score = np.full(n, -np.inf)
+        self.found = np.zeros(n, dtype=bool)
+        self.winner = np.zeros((orders + 1, n), dtype=np.int64)
+
+    def take(self, q: np.ndarray, columns: np.ndarray, value: np.ndarray) -> None:
+        """``columns`` (id and order) and ``value`` of one passage for each of the queries ``q``, each at most once."""
+        better = ~self.found[q] | (value > self.score[q])
+        undecided = self.found[q] & (value == self.score[q])
+        for row in range(1, len(columns)):
+            better |= undecided & (columns[row] > self.winner[row][q])
+            undecided &= columns[row] == self.winner[row][q]
+        q = q[better]
+        self.found[q], self.score[q] = True, value[better]
+        self.winner[:, q] = columns[:, better]
+
+
 def _ranks(order: np.ndarray) -> np.ndarray:
     """Ranks of rows sorted by the columns of ``order``, first column first."""
     ranks = np.empty(order.shape[1], dtype=np.int64)
