@@ -135,7 +135,8 @@ def label_model(counts: dict[int, int], rounds: int = 100) -> tuple[dict[int, fl
     all are silent is held for good. The classes are taken as equally likely, since a prior learnt from the same votes
     would let the larger class swallow the other. Starts from: any vote for bad makes a document bad. Accuracies are
     smoothed by PRIOR_VOTES votes that are right 9 times in 10, and kept from 0.6 to 0.995; a vote for good stays at 0.9
-    or less, for it sees the absence of one kind of junk only.
+    or less, for it sees the absence of one kind of junk only. Most junk shows to one heuristic only, so votes alone do not
+    tell such a heuristic from a noisy one: thresholds have to be set so that a vote for bad is mostly right.
     """
     keys = np.array(sorted(counts), dtype=np.int64)
     weight = np.array([counts[k] for k in keys.tolist()], dtype=float)
