@@ -23,6 +23,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from passageloom.operators.staging import stage
+
 RUN_WORDS = 3
 NEIGHBOUR = 2
 COVERAGE = 0.6
@@ -88,6 +90,8 @@ def license_spans(hits: DataFrame) -> DataFrame:
     by_diagonal = hits.groupBy(*key, (F.col("i") - F.col("j")).alias("d")).agg(
         F.min("i").alias("first"), F.max("i").alias("last"), F.bit_or("bit").alias("runs")
     )
+    # Both kinds are read from the votes, which are few; the texts are taken apart once for them.
+    by_diagonal = stage(by_diagonal, "diagonals")
     exact = by_diagonal.where("base AND bit_count(runs) = t_runs").select("k1", "k2", "label", "base", F.col("first").alias("first"), "last", F.lit(1.0).alias("coverage"))
     along = Window.partitionBy(*key).orderBy("d")
     apart = F.coalesce((F.col("d") - F.lag("d").over(along) > NEIGHBOUR).cast("int"), F.lit(0))
