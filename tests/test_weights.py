@@ -92,9 +92,9 @@ def test_empty_corpus_and_empty_word_list(spark, g1):
 
 
 def test_case(spark):
-    passages = spark.createDataFrame([("1", "Good good")], PASSAGES)
-    assert as_dict(terms.term_counts(passages), "word", value="tf") == {("good",): 2}
-    assert as_dict(terms.term_counts(passages, lowercase=False), "word", value="tf") == {("Good",): 1, ("good",): 1}
+    passages = spark.createDataFrame([("1", "Red red")], PASSAGES)
+    assert as_dict(terms.term_counts(passages), "word", value="tf") == {("red",): 2}
+    assert as_dict(terms.term_counts(passages, lowercase=False), "word", value="tf") == {("Red",): 1, ("red",): 1}
 
 
 def test_lower_case_and_white_space_character_by_character(spark):
