@@ -31,7 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 SQL: dict[str, str] = {
     "op2_benchmark_decontamination": OP2_SQL,
-    "op7_quality_classifier": op7_quality_classifier,
     "op3_license_scan": OP3_SQL,
     "op8_exact_dedup": OP8_SQL,
 }
