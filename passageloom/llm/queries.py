@@ -12,6 +12,7 @@ from passageloom.llm.extraction import op4_html_extraction
 from passageloom.llm.licenses import OP3_SQL, op3_license_scan
 from passageloom.llm.packing import op9_best_fit_packing
 from passageloom.llm.quality import op7_quality_classifier
+from passageloom.llm.repair import op12_conversation_repair
 from passageloom.llm.sharding import op5_jump_sharding
 from passageloom.llm.simhash import op6_simhash_near_dedup
 from passageloom.llm.token_files import op10_token_counts
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 SQL: dict[str, str] = {
     "op2_benchmark_decontamination": OP2_SQL,
