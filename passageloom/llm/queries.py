@@ -11,6 +11,7 @@ from passageloom.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from passageloom.llm.extraction import op4_html_extraction
 from passageloom.llm.licenses import OP3_SQL, op3_license_scan
 from passageloom.llm.packing import op9_best_fit_packing
+from passageloom.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from passageloom.llm.quality import op7_quality_classifier
 from passageloom.llm.repair import op12_conversation_repair
 from passageloom.llm.sharding import op5_jump_sharding
@@ -30,9 +31,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 SQL: dict[str, str] = {
     "op2_benchmark_decontamination": OP2_SQL,
     "op3_license_scan": OP3_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
