@@ -11,6 +11,7 @@ from passageloom.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from passageloom.llm.extraction import op4_html_extraction
 from passageloom.llm.licenses import OP3_SQL, op3_license_scan
 from passageloom.llm.packing import op9_best_fit_packing
+from passageloom.llm.pii import op11_pii
 from passageloom.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from passageloom.llm.quality import op7_quality_classifier
 from passageloom.llm.repair import op12_conversation_repair
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_pii": op11_pii,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_prefix_trie": op13_prefix_trie,
 }
