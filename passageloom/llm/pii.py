@@ -303,6 +303,9 @@ def sanitise(docs: DataFrame, text: str = "text", threshold: float = DISCLOSURE)
 
 
 def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def n_of(kind: int) -> Column:
+        return F.size(F.filter("base", lambda span: span["kind"] == kind))
+
     found = find_personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS[:4])]
+    counts = [n_of(i).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS[:4])]
     return found.select("doc_id", *counts, F.sha2(rendered(F.col("base")), 256).alias("base_sha256"), rendered(F.col("spans")).alias("spans"))
