@@ -38,8 +38,9 @@ from passageloom.operators.staging import stage
 CONTEXT_WORDS = 6
 #: Share of an entity's information that a word may tell.
 DISCLOSURE = 0.8
-#: Bits of the filter of words that tasks count.
+#: Bits of the filter of words that tasks count, and words that a task holds while it adds them up.
 FILTER_BITS = 26
+HELD_TERMS = 1 << 18
 
 # The kinds in their order, and the patterns of the contract, cut so that each is read forwards once.
 KINDS = ["email", "ip", "card", "phone", "generalise", "remove"]
@@ -192,9 +193,18 @@ def documents_with(docs: DataFrame, text: str, terms: DataFrame) -> tuple[DataFr
     """Staged (term, n_t): the documents that have each term; and how many documents have a number and a word at all."""
     sent = docs.sparkSession.sparkContext.broadcast(word_filter(terms))
 
+    def counted(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        terms, place = np.unique(np.concatenate([t for t, _ in held]), return_inverse=True)
+        return terms, np.bincount(place, np.concatenate([n for _, n in held]), len(terms)).astype(np.int64)
+
+    def rows(terms: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(sizes), pa.nulls(len(terms), pa.bool_())], names=["term", "n", "number"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Counts of a task are added up before they leave it, as far as HELD_TERMS goes.
+        held = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))]
+        classes = np.zeros(2, dtype=np.int64)
         for batch in batches:
-            classes = np.zeros(2, dtype=np.int64)
             for part, joined, starts, ends, of_text in word_chunks(batch.column(0).to_pylist(), ALNUM):
                 if not len(starts):
                     continue
@@ -208,14 +218,19 @@ def documents_with(docs: DataFrame, text: str, terms: DataFrame) -> tuple[DataFr
                 value, text_no = values[some][order], of_text[some][order]
                 fresh = np.ones(len(value), dtype=bool)
                 fresh[1:] = (value[1:] != value[:-1]) | (text_no[1:] != text_no[:-1])
-                found, sizes = np.unique(value[fresh], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(sizes, pa.int64()), pa.nulls(len(found), pa.bool_())], names=["term", "n", "number"])
-            yield pa.RecordBatch.from_arrays([pa.nulls(2, pa.int64()), pa.array(classes), pa.array([False, True])], names=["term", "n", "number"])
+                held.append(np.unique(value[fresh], return_counts=True))
+                if sum(len(t) for t, _ in held) > HELD_TERMS:
+                    held = [counted(held)]
+                    if 2 * len(held[0][0]) > HELD_TERMS:
+                        yield rows(*held.pop())
+        if held:
+            yield rows(*counted(held))
+        yield pa.RecordBatch.from_arrays([pa.nulls(2, pa.int64()), pa.array(classes), pa.array([False, True])], names=["term", "n", "number"])
 
-    counted = docs.select(text).mapInArrow(count, "term long, n long, number boolean")
-    counted = stage(counted.groupBy("term", "number").agg(F.sum("n").alias("n_t")), "pii-terms")
-    classes = {row["number"]: row["n_t"] for row in counted.where("number IS NOT NULL").collect()}
-    return counted.where("number IS NULL").select("term", "n_t"), classes
+    found = docs.select(text).mapInArrow(count, "term long, n long, number boolean")
+    totals = stage(found.groupBy("term", "number").agg(F.sum("n").alias("n_t")), "pii-terms")
+    classes = {row["number"]: row["n_t"] for row in totals.where("number IS NOT NULL").collect()}
+    return totals.where("number IS NULL").select("term", "n_t"), classes
 
 
 def told(n: int, n_ct: Column, n_c: Column, n_t: Column) -> Column:
@@ -231,8 +246,14 @@ def disclosing(found: DataFrame, docs: DataFrame, text: str, threshold: float =
     beside = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_ct"), F.min("context").alias("a"), F.max("last").alias("b"), F.max("number").alias("number"))
     beside = stage(beside.where("a != b").drop("a", "b"), "pii-pairs")
     mentioned = stage(found.select(F.explode(F.array_distinct(F.transform("pairs", lambda p: p["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c")), "pii-entities")
+    # A word is in no fewer documents than those in which it is beside some entity: pairs that would not disclose even
+    # then need no count over the corpus.
+    seen = found.select(F.explode(F.array_distinct(F.transform("pairs", lambda p: p["term"]))).alias("term"))
+    seen = stage(seen.groupBy("term").agg(F.count(F.lit(1)).alias("n_seen")), "pii-seen")
+    beside = lookup_join(lookup_join(beside, mentioned, "entity"), seen, "term")
+    beside = stage(beside.where(told(total, F.col("n_ct"), F.col("n_c"), F.col("n_seen")) >= threshold).drop("n_seen"), "pii-candidates")
     n_t, classes = documents_with(docs, text, beside.select("term").distinct())
-    known = lookup_join(lookup_join(beside, mentioned, "entity"), n_t, "term")
+    known = lookup_join(beside, n_t, "term")
     given = known.where(told(total, F.col("n_ct"), F.col("n_c"), F.col("n_t")) >= threshold)
     # What the class of a word tells: the documents in which the entity stands beside any word of the class.
     by_class = found.select(F.explode(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["entity"].alias("entity"), p["number"].alias("number"))))).alias("p"))
