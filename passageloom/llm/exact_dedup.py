@@ -11,7 +11,8 @@ Texts count as equal when SHA-256, length and a second 64-bit hash of the normal
 
 Defined cases: null counts as empty, so null and empty texts are copies of each other; of equal texts the smallest
 doc_id stays, a null doc_id only where all are null, and of rows that repeat the id as well exactly one stays; an empty
-table gives no rows; extra columns are kept by ``drop_exact_copies`` and ignored by ``exact_groups``.
+table gives no rows; extra columns, whatever their names, are kept by ``drop_exact_copies`` and ignored by ``exact_groups``. A
+row is known by its place in its file, which does not depend on how a scan is split.
 """
 
 from __future__ import annotations
@@ -23,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from passageloom.llm.numbering import with_places, without_rows
+from passageloom.operators.lookup import lookup_join
 from passageloom.operators.staging import stage
 
 #: Runs merged at once by a task, and so the base of the places.
 FAN = 8
 KEY = ["digest", "size", "check"]
-ORDER = [*KEY, "no_id", "doc_id", "row"]
+ORDER = [*KEY, "no_id", "doc_id", "file", "row"]
 
 
 def normalised(text: Column) -> Column:
@@ -80,15 +83,16 @@ def tree_merge(rows: DataFrame, places: int) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """row (its number in the scan), doc_id, digest, keep_id, group_size, kept of every row."""
+    """file, row (the place of the row), doc_id, digest, keep_id, group_size, kept of every row."""
+    return _groups(*with_places(docs), doc_id, text)
+
+
+def _groups(docs: DataFrame, file: str, row: str, doc_id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     body = normalised(F.col(text))
     rows = stage(
-        docs.select(
-            F.monotonically_increasing_id().alias("row"),
-            F.col(doc_id).alias("doc_id"),
-            body.alias("body"),
-        ).select(
+        docs.select(F.col(file).alias("file"), F.col(row).alias("row"), F.col(doc_id).alias("doc_id"), body.alias("body")).select(
+            "file",
             "row",
             "doc_id",
             F.col("doc_id").isNull().alias("no_id"),
@@ -102,28 +106,27 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     while places < int(spark.conf.get("spark.sql.shuffle.partitions")):
         places *= FAN
     entries = tree_merge(rows.withColumn("n_rows", F.lit(1).cast("long")), places).where("n_rows > 1")
-    groups = entries.select(*KEY, F.col("doc_id").alias("first_id"), F.col("row").alias("first_row"), "n_rows")
-    return rows.join(groups, KEY, "left").select(
+    key = F.concat(F.hex("digest"), F.hex("size"), F.lit(":"), F.hex("check")).alias("key")
+    groups = entries.select(key, F.col("doc_id").alias("first_id"), F.col("file").alias("first_file"), F.col("row").alias("first_row"), "n_rows")
+    # Only texts that repeat are looked up; one that very many rows share is no hot key of this join.
+    found = lookup_join(rows.select("*", key), stage(groups, "copies"), "key", "left")
+    first = (F.col("file") == F.col("first_file")) & (F.col("row") == F.col("first_row"))
+    return found.select(
+        "file",
         "row",
         "doc_id",
         "digest",
         F.when(F.col("n_rows").isNull(), F.col("doc_id")).otherwise(F.col("first_id")).alias("keep_id"),
         F.coalesce("n_rows", F.lit(1)).cast("long").alias("group_size"),
-        (F.col("n_rows").isNull() | (F.col("row") == F.col("first_row"))).alias("kept"),
+        (F.col("n_rows").isNull() | first).alias("kept"),
     )
 
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """``docs`` if it comes straight from files, whose rows keep their numbers when read again, else a staged copy."""
-    plan = docs._jdf.queryExecution().executedPlan().toString()
-    return stage(docs, "documents") if "Exchange" in plan or "FileScan" not in plan else docs
-
-
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns. Rows, not ids, are dropped."""
-    docs = scanned(docs)
-    dropped = exact_groups(docs, doc_id, text).where("NOT kept").select(F.col("row").alias("__row"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(dropped, "__row", "left_anti").drop("__row")
+    """The rows that stay, with all their columns. Rows, not ids, are dropped; the documents are not shuffled."""
+    placed, file, row = with_places(docs)
+    dropped = _groups(placed, file, row, doc_id, text).where("NOT kept")
+    return without_rows(placed, file, row, dropped)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

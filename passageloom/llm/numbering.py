@@ -1,16 +1,58 @@
-"""Gapless numbers for the rows of a bounded number of groups, however large one group is."""
+"""Numbers, places and names of rows that hold however often and however split a table is read.
+
+Defined cases: an empty table has no numbers; equal rows get numbers and places of their own; ``numbered`` takes no null
+group; names of helper columns are drawn from those that the caller's table leaves free.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from passageloom.operators.lookup import fits_broadcast
 from passageloom.operators.staging import stage
 
 #: Rows numbered together at most (on average); smaller where the session has few rows for each shuffle partition.
 BUCKET_ROWS = 1_000_000
 
 
+def free_names(columns: list[str], count: int) -> list[str]:
+    """Column names that none of ``columns`` bears, whatever their case."""
+    taken = {c.lower() for c in columns}
+    return [n for i in range(len(taken) + count) if (n := f"__{i}") not in taken][:count]
+
+
+def _plain_scan(docs: DataFrame) -> bool:
+    """Whether the plan is one Parquet scan with nothing but deterministic projections and filters above it."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias") and plan.deterministic():
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation" and "FileScan parquet" in docs._jdf.queryExecution().executedPlan().toString()
+
+
+def with_places(docs: DataFrame, name: str = "documents") -> tuple[DataFrame, str, str]:
+    """``docs`` with two columns that name each row for good (a hash of its file, its place there), and their names.
+
+    Places in a file do not depend on how a scan is split, so two scans agree when executors come or go in between. A
+    table that is no plain Parquet scan is written first.
+    """
+    if not _plain_scan(docs):
+        docs = stage(docs, name)
+    file, row = free_names(docs.columns, 2)
+    return docs.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)), file, row
+
+
+def without_rows(docs: DataFrame, file: str, row: str, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (see ``with_places``) whose place is not among ``dropped`` (file, row), without their places.
+
+    The list of dropped rows is staged and broadcast as far as it fits; beyond that the places, which no key can crowd, are
+    joined by a shuffle.
+    """
+    gone = stage(dropped.select(F.col("file").alias(file), F.col("row").alias(row)), "dropped")
+    hint = F.broadcast(gone) if fits_broadcast(gone, row) else gone
+    return docs.join(hint, [file, row], "left_anti").drop(file, row)
+
+
 def row_salt() -> Column:
     """A number for each row, to be written with a staged table so that later reads agree on it."""
     return F.xxhash64(F.monotonically_increasing_id())

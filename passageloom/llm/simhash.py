@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from passageloom.llm.byte_words import LOWER
 from passageloom.llm.components import components
-from passageloom.llm.exact_dedup import scanned
+from passageloom.llm.numbering import with_places, without_rows
+from passageloom.operators.lookup import lookup_join
 from passageloom.operators.staging import stage
 
 SHINGLE_WORDS = 4
@@ -250,30 +251,42 @@ def links_of(distinct: DataFrame, bits: int = MAX_BITS, block_size: int = BLOCK)
     dealt = keyed.repartition(partitions, "key").sortWithinPartitions("key", "fingerprint")
     found = stage(dealt.mapInArrow(_linker(bits, block_size), LINKS), "near")
     blocks = found.where("members IS NOT NULL")
-    one, two = (blocks.select("key", F.col("block").alias(f"block{i}"), F.col("members").alias(f"members{i}")) for i in (1, 2))
-    wide = one.join(two, "key").where("block1 < block2").select("members1", "members2")
+    counts = stage(blocks.groupBy("key").agg(F.count(F.lit(1)).alias("blocks")), "blocks")
+    # Each pair of blocks of a key is a key of its own, so the pairs of one key spread over the tasks.
+    numbered = lookup_join(blocks.select("key", "block", "members"), counts, "key")
+    later = F.when(F.col("block") + 1 < F.col("blocks"), F.sequence(F.col("block").cast("long") + 1, F.col("blocks") - 1))
+    earlier = F.when(F.col("block") > 0, F.sequence(F.lit(0).cast("long"), F.col("block").cast("long") - 1))
+    one = numbered.select("key", F.col("block").cast("long").alias("block1"), F.explode(later).alias("block2"), F.col("members").alias("members1"))
+    two = numbered.select("key", F.explode(earlier).alias("block1"), F.col("block").cast("long").alias("block2"), F.col("members").alias("members2"))
+    wide = one.join(two, ["key", "block1", "block2"]).select("members1", "members2")
     return found.where("members IS NULL").union(wide.mapInArrow(across, LINKS)).select("a", "b")
 
 
 def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """row (its number in the scan), doc_id, fingerprint, component_id, kept of every row."""
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = stage(fingerprints(numbered, words), "fingerprints")
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    """file, row (the place of the row), doc_id, fingerprint, component_id, kept of every row."""
+    return _groups(*with_places(docs), words, bits, doc_id, text)
+
+
+def _groups(docs: DataFrame, file: str, row: str, words: int, bits: int, doc_id: str, text: str) -> DataFrame:
+    placed = docs.select(F.col(file).alias("file"), F.col(row).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = stage(fingerprints(placed, words), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row")
     distinct = stage(rows.groupBy("fingerprint").agg(F.min(first).alias("first")), "distinct")
     roots = components(links_of(distinct, bits), "components")
     joined = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    named = joined.select("fingerprint", "root", "first")
-    firsts = named.groupBy("root").agg(F.min("first").alias("first"))
-    groups = named.drop("first").join(firsts, "root").select("fingerprint", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("first_row"))
-    return rows.join(groups, "fingerprint", "left").select("row", "doc_id", "fingerprint", "component_id", (F.col("row") == F.col("first_row")).alias("kept"))
+    named = stage(joined.select("fingerprint", "root", "first"), "named")
+    # Only components of several fingerprints and fingerprints of several rows can be large; neither is a hot key here.
+    firsts = stage(named.groupBy("root").agg(F.min("first").alias("least")).select("root", "least.*").withColumnsRenamed({"doc_id": "component_id", "file": "first_file", "row": "first_row"}).drop("no_id"), "firsts")
+    groups = stage(lookup_join(named.select("fingerprint", "root"), firsts, "root").drop("root"), "near-groups")
+    kept = (F.col("file") == F.col("first_file")) & (F.col("row") == F.col("first_row"))
+    return lookup_join(rows, groups, "fingerprint").select("file", "row", "doc_id", "fingerprint", "component_id", kept.alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component, with all its columns."""
-    docs = scanned(docs)
-    dropped = near_groups(docs, words, bits, doc_id, text).where("NOT kept").select(F.col("row").alias("__row"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(dropped, "__row", "left_anti").drop("__row")
+    """One row of each component, with all its columns. The documents are not shuffled."""
+    placed, file, row = with_places(docs)
+    dropped = _groups(placed, file, row, words, bits, doc_id, text).where("NOT kept")
+    return without_rows(placed, file, row, dropped)
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from passageloom.llm.components import components
 from passageloom.llm.contamination import contaminated, drop_contaminated, remove_spans, scan_benchmark
 from passageloom.llm.exact_dedup import drop_exact_copies, exact_groups
+from passageloom.llm.numbering import with_places, without_rows
+from passageloom.llm.pii import sanitise
+from passageloom.llm.quality import keep_good
 from passageloom.llm.simhash import drop_near_copies, fingerprint, forest, golay_keys, links_of, near_groups
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -55,6 +58,37 @@ def test_dropping_exact_copies_keeps_columns(awkward, awkward_rows, nothing):
     assert drop_exact_copies(nothing).count() == 0
 
 
+def test_rows_keep_their_places_when_scans_are_split_anew(spark, tmp_path):
+    """Executors that come or go change the splits of a scan; the rows dropped must be the same ones."""
+    rng = random.Random(8)
+    rows = [(i, f"text {rng.randrange(300)} " + "w " * rng.randrange(3)) for i in range(3000)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "d"))
+    normal = {i: re.sub(r"[\x20\x09-\x0D]+", " ", t) for i, t in rows}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        placed, file, row = with_places(spark.read.parquet(str(tmp_path / "d")))
+        dropped = exact_groups(spark.read.parquet(str(tmp_path / "d"))).where("NOT kept").persist()
+        dropped.count()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+        again, file, row = with_places(spark.read.parquet(str(tmp_path / "d")))
+        kept = [r.doc_id for r in without_rows(again, file, row, dropped).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(kept) == sorted({t: min(i for i, u in normal.items() if u == t) for t in normal.values()}.values())
+
+
+def test_columns_of_all_inner_names_are_kept(spark):
+    names = ["__0", "__1", "__2", "row", "file", "key", "digest", "fingerprint", "__bad", "__hit", "__row", "__items", "__n_words", "kept", "root", "n_rows", "window", "base", "pairs"]
+    rows = [(i, f"text number {i % 7} and some more words", *[str(i % 7)] * len(names)) for i in range(21)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    benchmark = spark.createDataFrame([(1, "nothing of this")], "item_id long, text string")
+    for kept in (drop_exact_copies(docs), drop_near_copies(docs), keep_good(docs), drop_contaminated(docs, benchmark), remove_spans(docs, benchmark), sanitise(docs)):
+        assert kept.columns == docs.columns
+        assert all(r["__row"] == r["__0"] == str(r.doc_id % 7) for r in kept.collect())
+    assert drop_exact_copies(docs).count() == 7 and drop_near_copies(docs).count() <= 7 and drop_contaminated(docs, benchmark).count() == 21
+
+
 def plain_fingerprint(text):
     found = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
     shingles = [" ".join(found[i : i + 4]) for i in range(max(1, len(found) - 3))] if found else []
@@ -134,8 +168,8 @@ def brute_hits(text, items):
     return len(found), sorted(hit), sorted(names)
 
 
-@pytest.mark.parametrize("slice_bytes", [1 << 24, 2000])
-def test_contamination(spark, slice_bytes):
+@pytest.mark.parametrize("budget", [1 << 24, 2000])
+def test_contamination(spark, budget):
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(30)] + ["été", "1st"]
     items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([3, 13, 20, 30])))) for i in range(12)]
@@ -150,7 +184,7 @@ def test_contamination(spark, slice_bytes):
     docs += [(100, None, None, None), (101, "", "x", 2), (None, items[2][1], "x", 3), (5, docs[5][1], "x", 1), (102, "solo " * 3 + "w " * 30_000, "x", 0)]
     frame = spark.createDataFrame(docs, "doc_id long, text string, n_words string, hit long").repartition(2)
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    rows = scan_benchmark(frame, benchmark, slice_bytes=slice_bytes).withColumn("bad", contaminated()).collect()
+    rows = scan_benchmark(frame, benchmark, budget=budget).withColumn("bad", contaminated()).collect()
     assert Counter((r.doc_id, r["__n_words"], tuple(r["__hit"]), tuple(r["__items"])) for r in rows) == Counter(
         (d[0], n, tuple(h), tuple(k)) for d in docs for n, h, k in [brute_hits(d[1], items)]
     )
