@@ -23,11 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from passageloom.llm.byte_words import CHUNK_BYTES, NOT_SPACE, hashes, in_chunks, word_bounds
+from passageloom.llm.byte_words import NOT_SPACE, hashes, in_chunks, word_bounds
+from passageloom.llm.numbering import free_names
 from passageloom.operators.staging import stage
 
 TRAINING_ROWS = 4096
 HASHED = 1024
+#: What a row adds to the bytes of a chunk, so that short rows do not fill the memory with features.
+ROW_BYTES = 4096
 #: Votes of the smoothing prior of each accuracy.
 PRIOR_VOTES = 50
 #: A document goes when the scorer holds it for bad with at least this probability.
@@ -163,7 +166,7 @@ def features(texts: list[str | None], measured: np.ndarray) -> np.ndarray:
     """Shares of the hashed trigrams of byte classes, and one of BINS marks for each measure."""
     out = np.zeros((len(texts), HASHED + len(HEURISTICS) * BINS), dtype=np.float32)
     encoded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    for part in in_chunks([len(e) for e in encoded]):
+    for part in in_chunks([len(e) + ROW_BYTES for e in encoded]):
         chunk = encoded[part]
         data = CLASS[np.frombuffer(b"\n".join([*chunk, b""]), dtype=np.uint8)]
         if len(data) < 3:
@@ -200,7 +203,7 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 15) ->
 
 
 def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", training_rows: int = TRAINING_ROWS) -> DataFrame:
-    """The documents with __posterior (of the vote pattern) and __bad (the scorer's probability of being bad)."""
+    """The documents with two more columns: the posterior of the vote pattern, the scorer's probability of being bad."""
     source = docs.select(F.xxhash64(doc_id, text).alias("pick"), F.col(text).alias("text"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,24 +220,26 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", training
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            measured = measures(texts)
-            x, y = features(texts, measured), [posterior[k] for k in patterns(measured).tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(y, pa.float64()), pa.array([row.tobytes() for row in x], pa.binary())], names=["y", "x"])
+            every = batch.column("text").to_pylist()
+            for part in in_chunks([len(t or "") + ROW_BYTES for t in every]):
+                texts = every[part]
+                measured = measures(texts)
+                x, y = features(texts, measured), [posterior[k] for k in patterns(measured).tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(y, pa.float64()), pa.array([row.tobytes() for row in x], pa.binary())], names=["y", "x"])
 
     picked = source.where(F.shiftrightunsigned("pick", 2) < share)
     sample = stage(picked.mapInArrow(learn, "y double, x binary"), "sample").limit(2 * training_rows).toArrow()
     width = HASHED + len(HEURISTICS) * BINS
     x = np.frombuffer(b"".join(sample.column("x").to_pylist()), dtype=np.float32).reshape(-1, width)
     weights, constant = fit(x, sample.column("y").to_numpy()) if len(posterior) > 1 and len(x) else (np.zeros(width), -5.0)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__posterior", T.DoubleType()), T.StructField("__bad", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.DoubleType()) for n in free_names(docs.columns, 2)]])
     at = docs.columns.index(text)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(at).to_pylist()
             bad, labels = [], []
-            for part in in_chunks([len(t or "") for t in texts], CHUNK_BYTES):
+            for part in in_chunks([len(t or "") + ROW_BYTES for t in texts]):
                 measured = measures(texts[part])
                 margin = features(texts[part], measured) @ weights + constant
                 bad.append(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
@@ -247,10 +252,11 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", training
 
 def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that the scorer does not reject, with all their columns."""
-    return scored(docs, doc_id, text).where(F.col("__bad") < REJECT_AT).select(*docs.columns)
+    found = scored(docs, doc_id, text)
+    return found.where(F.col(found.columns[-1]) < REJECT_AT).drop(*found.columns[-2:])
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = scored(docs)
-    return found.select("doc_id", F.col("__posterior").alias("bad_posterior"), F.col("__bad").alias("bad_score"), (F.col("__bad") < REJECT_AT).alias("kept"))
+    found = scored(docs).toDF("doc_id", "text", "bad_posterior", "bad_score")
+    return found.select("doc_id", "bad_posterior", "bad_score", (F.col("bad_score") < REJECT_AT).alias("kept"))
