@@ -1,7 +1,9 @@
 """Licenses, toxicity, quality, page text, and the pipeline."""
 
 import os
+import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from passageloom.llm import queries, toxicity
 from passageloom.llm.exact_dedup import drop_exact_copies
-from passageloom.llm.extraction import blocks_of, extract_text, run_shares, unique_text
+from passageloom.llm.extraction import OPEN_SHARE, OPEN_TEXTS, RUN_TOKENS, blocks_of, extract_text, suffix_runs, texts_by_run
 from passageloom.llm.licenses import BASE_PHRASES, scan_licenses
 from passageloom.llm.quality import HEURISTICS, label_model, patterns, scored, votes
 from tests.llm.test_copies import LOWER, brute_hits, plain_fingerprint, union_find
@@ -101,7 +103,7 @@ def test_label_model_weighs_the_heuristics():
 def test_quality_of_awkward_rows(awkward, awkward_rows, nothing):
     rows = scored(awkward).collect()
     assert Counter(r.doc_id for r in rows) == Counter(d[0] for d in awkward_rows)
-    assert all(0 <= r["__bad"] <= 1 for r in rows)
+    assert all(0 <= r[-1] <= 1 for r in rows)
     assert scored(nothing).count() == 0
 
 
@@ -126,41 +128,98 @@ def test_blocks():
     assert blocks_of("<p>a<!-- <p>no --><p>b<!-- open <p>no") == (["a", "b"], False)
 
 
-def test_run_shares_against_brute_force():
+def test_suffix_runs_against_brute_force():
     rng = np.random.default_rng(2)
-    for _ in range(30):
-        streams = [[[str(t) for t in rng.integers(0, 3, rng.integers(1, 14))] for _ in range(rng.integers(0, 3))] for _ in range(5)]
+    for _ in range(60):
+        streams = [[[str(t) for t in rng.integers(0, 3, rng.integers(1, 14))] for _ in range(rng.integers(0, 4))] for _ in range(6)]
         run = int(rng.integers(2, 6))
-        pages_of = {}
-        for page, blocks in enumerate(streams):
-            for block in blocks:
-                for i in range(len(block) - run + 1):
-                    pages_of.setdefault(tuple(block[i : i + run]), set()).add(page)
-                if len(block) < run:
-                    pages_of.setdefault(tuple(block), set()).add(page)
-        for blocks, shares in zip(streams, run_shares(streams, run)):
-            for block, share in zip(blocks, shares):
-                for at in range(len(block)):
-                    size = min(run, len(block))
-                    runs = [tuple(block[i : i + size]) for i in range(max(0, at - size + 1), min(at, len(block) - size) + 1)]
-                    assert share[at] == max(len(pages_of[r]) for r in runs)
-
-
-def test_repeated_runs_go_and_unique_ones_stay():
-    line = "sign up today for our weekly letter and more offers"
-    pages = [([line, " ".join(f"word{i}of{j}" for j in range(12))], False) for i in range(12)]
-    assert unique_text(pages) == [blocks[1] for blocks, _ in pages]
-    inside = [([line, f"story {i}"], True) for i in range(12)]
-    assert unique_text(inside) == [f"story {i}" for i in range(12)]
-    some = [([line] * (i < 4) + [f"story {i}"], True) for i in range(12)]
-    assert unique_text(some)[0] == f"{line}\n\nstory 0"
+        texts_of, expected = {}, []
+        for text, blocks in enumerate(streams):
+            for no, block in enumerate(blocks):
+                for i in range(max(1, len(block) - run + 1)):
+                    texts_of.setdefault(tuple(block[i : i + run]), set()).add(text)
+                    expected.append((text, no, i, tuple(block[i : i + run])))
+        text, block, place, runs = suffix_runs(streams, run)
+        named = {}
+        got = list(zip(text.tolist(), block.tolist(), place.tolist(), runs.tolist()))
+        assert [g[:3] for g in got] == [e[:3] for e in expected]
+        for g, e in zip(got, expected):
+            assert named.setdefault(g[3], e[3]) == e[3]
+        assert len(named) == len(texts_of)
+        one, counts = texts_by_run(text, runs)
+        assert {expected[i][3]: n for i, n in zip(one.tolist(), counts.tolist())} == {r: len(t) for r, t in texts_of.items()}
+
+
+def plain_extraction(pages):
+    """(url, html) to text: all runs of all different texts of a host in one dictionary."""
+    hosts = {}
+    for url, html in pages:
+        blocks, article = blocks_of(html)
+        if not article and blocks:
+            hosts.setdefault(url.split("/")[2], set()).add(tuple(blocks))
+    runs = {}
+    for host, texts in hosts.items():
+        found = runs.setdefault(host, {})
+        for text in texts:
+            for b in text:
+                words = b.split(" ")
+                for i in range(max(1, len(words) - RUN_TOKENS + 1)):
+                    found.setdefault(tuple(words[i : i + RUN_TOKENS]), set()).add(text)
+    out = []
+    for url, html in pages:
+        blocks, article = blocks_of(html)
+        host, kept = url.split("/")[2], []
+        for b in blocks:
+            words, covered = b.split(" "), set()
+            for i in range(max(1, len(words) - RUN_TOKENS + 1)):
+                if not article and len(runs[host][tuple(words[i : i + RUN_TOKENS])]) >= max(OPEN_TEXTS, OPEN_SHARE * len(hosts[host])):
+                    covered |= set(range(i, min(len(words), i + RUN_TOKENS)))
+            if len(covered) < len(words):
+                kept.append(b)
+        out.append((url, "\n\n".join(kept)))
+    return Counter(out)
+
+
+@pytest.mark.parametrize(("bin_bytes", "tasks"), [(1 << 22, 1), (700, 5), (60, 3)])
+def test_what_a_host_repeats(spark, bin_bytes, tasks):
+    rng = random.Random(4)
+    line = "sign up today for our weekly letter and many more offers"
+    clause = "as the ministry said on Tuesday in a short note"
+
+    def story(i):
+        return f"Story {i}: " + " ".join(rng.choice("abcdefghij") + str(rng.randint(0, 99)) for _ in range(20)) + "."
+
+    pages = []
+    for i in range(40):
+        body = [line, "Home", story(i), f"{story(i)} {clause} {story(i)}" if i % 4 == 0 else story(i)]
+        pages.append((f"http://open.org/{i}", "".join(f"<p>{b}</p>" for b in body)))
+    # Copies of whole pages and mirrored articles stay, inside an article element or not.
+    pages += [("http://mirror.org/a", f"<article><p>{line}</p><p>{story(99)}</p></article>")] * 12
+    pages += [(f"http://mirror.org/{i}", f"<article><p>{story(i)}</p></article>") for i in range(5)]
+    pages += [("http://two.org/a", f"<p>{line}</p><p>{story(1)}</p>")] * 2 + [(f"http://two.org/{i}", f"<p>{story(i)}</p>") for i in range(3)]
+    pages += [("http://copy.org/", f"<div>{story(7)}</div><div>{line}</div>")] * 12
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string").repartition(tasks)
+    got = Counter((r.url, r.text) for r in extract_text(frame, bin_bytes).collect())
+    assert got == plain_extraction(pages)
+    texts = {url: text for url, text in got}
+    assert line not in texts["http://open.org/3"] and clause in texts["http://open.org/4"]
+    assert all(line in texts[u] and "Story" in texts[u] for u in ("http://mirror.org/a", "http://two.org/a", "http://copy.org/"))
+
+
+def test_very_long_html_takes_one_pass():
+    for piece in ("<a b='", '<a b="', "<", "<a ", "<a b=\"'>", "<!--", "<b>", "</i><b>", "<p>", "<script>", "&", "<a href='x\"> ", "<div class='", "a=", "<a " + " " * 50):
+        start = time.time()
+        blocks_of(piece * (300_000 // len(piece)))
+        assert time.time() - start < 3, piece
+    assert blocks_of("<article><p>one</p><a href='never closed>two</a><p>three</p></article>") == (["one", "two", "three"], True)
+    assert blocks_of("<article><a title='a > b'>kept</a> <a title=it's>too</a></article>") == (["kept too"], True)
 
 
 def test_extraction(spark):
     page = "<article><p>{}</p></article>"
-    rows = [(i, f"https://Host{i % 3}.org/a?{i}", page.format(f"text {i}"), "x") for i in range(30)]
-    rows += [(100, None, page.format("no url"), None), (101, "not a url", None, ""), (None, "http://host1.org", "", ""), (102, "http://h/", page.format("w " * 100_000), ""), rows[4], rows[4]]
-    frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    rows = [(i, f"https://Host{i % 3}.org/a?{i}", page.format(f"text {i}"), "x", 1) for i in range(30)]
+    rows += [(100, None, page.format("no url"), None, 1), (101, "not a url", None, "", 1), (None, "http://host1.org", "", "", 1), (102, "http://h/", page.format("w " * 100_000), "", 1), rows[4], rows[4]]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, blocks string, key long")
     got = Counter((r.page_id, r.url, r.text) for r in extract_text(frame, bin_bytes=100).collect())
     assert got == Counter((r[0], r[1], " ".join(re.sub("<[^>]*>", "", r[2] or "").split())) for r in rows)
     assert extract_text(frame.limit(0)).count() == 0
