@@ -1,15 +1,15 @@
 """Benchmark decontamination: windows of 13 words of the benchmark, looked up in every window of the documents.
 
-The distinct windows are a hash set in each task. It is sent in slices of bounded size, whatever the benchmark weighs:
-documents pass one slice after the other, and the hits add up. A hash hit counts only if the words are the same.
+Up to BROADCAST_BYTES the distinct windows are a hash set that every task has. A larger benchmark is joined: a filter of its
+window hashes, of one size whatever it holds, goes to the tasks; the documents are read once and give the windows that
+pass it, which are looked up by their words. A hash hit counts only if the words are the same, either way.
 
 A document word inside any occurrence of a window is hit. Words are lower-cased (A-Z) runs of digits, letters and
 characters outside ASCII.
 
 Defined cases: a null or empty text has no words and is never contaminated; an item of fewer than 13 words is one window
 of its own length, an item without words none; items of a null id are named by the empty string; items that repeat count
-once by id; an empty table on either side leaves all documents clean; extra columns are kept, and the columns added
-within carry two leading underscores.
+once by id; an empty table on either side leaves all documents clean; extra columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,13 +24,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passageloom.llm.byte_words import ALNUM, LOWER, hashes, window_hashes, word_bounds, word_chunks
+from passageloom.llm.hash_filter import hash_filter, passes
+from passageloom.llm.numbering import with_places
+from passageloom.operators.lookup import lookup_join
 from passageloom.operators.staging import stage
 
 WINDOW_WORDS = 13
 # Fixed value: a document is contaminated when at least one word in 20 is hit.
 HIT_SHARE = 20
-#: Bytes of windows (words, names and hashes) that are broadcast at once.
-SLICE_BYTES = 16 * 1024 * 1024
+#: Bytes of windows (words, names and hashes) that are broadcast.
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def benchmark_windows(benchmark: DataFrame, words: int = WINDOW_WORDS, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -53,87 +56,130 @@ def benchmark_windows(benchmark: DataFrame, words: int = WINDOW_WORDS, item_id:
     return benchmark.select(F.col(item_id).cast("string"), F.col(text)).mapInArrow(cut, "item string, n int, window binary").distinct()
 
 
-def _hit_words(texts: list, slice_rows: list[tuple[str, int, bytes]]) -> Iterator[tuple[int, np.ndarray, set[str], int]]:
-    """For each text: number of words, numbers of the hit words, items found, in order of the texts."""
+def _window_set(rows: list[tuple[str, int, bytes]]) -> tuple[dict[bytes, list[str]], dict[int, np.ndarray]]:
+    """Items by window, and the sorted hashes of the windows of each size."""
     known: dict[bytes, list[str]] = {}
-    for item, _, window in slice_rows:
+    for item, _, window in rows:
         known.setdefault(window, []).append(item)
-    by_size: dict[int, np.ndarray] = {}
-    for size in sorted({n for _, n, _ in slice_rows}):
-        windows = [w for w in known if w.count(b" ") + 1 == size]
-        data = np.frombuffer(b" ".join(windows), dtype=np.uint8)
-        starts, ends = word_bounds(data, ALNUM)
-        by_size[size] = np.unique(window_hashes(hashes(data, starts, ends), size)[::size])
+    return known, {size: np.sort(_window_hashes([w for w in known if w.count(b" ") + 1 == size], size)) for size in {n for _, n, _ in rows}}
+
+
+def _window_hashes(windows: list[bytes], size: int) -> np.ndarray:
+    """Hashes of windows of one size, in their order."""
+    data = np.frombuffer(b" ".join(windows), dtype=np.uint8)
+    starts, ends = word_bounds(data, ALNUM)
+    return window_hashes(hashes(data, starts, ends), size)[::size]
+
+
+def _windows_of(texts: list, sizes: list[int], wanted) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
+    """For each text the number of its words and (place, size, words) of its windows whose hashes are ``wanted(size, hashes)``."""
     for part, joined, starts, ends, of_text in word_chunks(texts, ALNUM):
         count = part.stop - part.start
         words = np.bincount(of_text, minlength=count)
         first = np.cumsum(words) - words
-        hit: dict[int, list[np.ndarray]] = {}
-        items: dict[int, set[str]] = {}
+        found: dict[int, list[tuple[int, int, bytes]]] = {}
         values = hashes(np.frombuffer(joined, dtype=np.uint8), starts, ends) if len(starts) else np.zeros(0, dtype=np.uint64)
-        for size, wanted in by_size.items():
+        for size in sizes:
             window = window_hashes(values, size)
             if not len(window):
                 continue
-            at = np.minimum(np.searchsorted(wanted, window), len(wanted) - 1)
-            maybe = np.flatnonzero((wanted[at] == window) & (of_text[: len(window)] == of_text[size - 1 :]))
+            maybe = np.flatnonzero(wanted(size, window) & (of_text[: len(window)] == of_text[size - 1 :]))
             for i in maybe.tolist():
                 phrase = b" ".join(joined[a:b] for a, b in zip(starts[i : i + size].tolist(), ends[i : i + size].tolist()))
-                if phrase in known:
-                    t = int(of_text[i])
-                    hit.setdefault(t, []).append(np.arange(i - first[t], i - first[t] + size))
-                    items.setdefault(t, set()).update(known[phrase])
+                t = int(of_text[i])
+                found.setdefault(t, []).append((i - int(first[t]), size, phrase))
         for t in range(count):
-            yield int(words[t]), np.unique(np.concatenate(hit[t])) if t in hit else np.zeros(0, dtype=np.int64), items.get(t, set())
+            yield int(words[t]), found.get(t, [])
 
 
-def scan_benchmark(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WORDS, text: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """The documents with __n_words, __hit (numbers of the hit words) and __items (names of the items found)."""
-    spark = docs.sparkSession
+def _added(columns: list[str]) -> list[str]:
+    """Names for the number of words, the hit words and the items, which no column bears."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in ("__n_words", "__hit", "__items"):
+        while name in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
+def scan_benchmark(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WORDS, text: str = "text", budget: int = BROADCAST_BYTES) -> DataFrame:
+    """The documents with three more columns: number of words, numbers of the hit words, names of the items found."""
     windows = stage(benchmark_windows(benchmark, words), "windows")
     weight = windows.agg(F.sum(F.octet_length("window") + F.octet_length("item") + 64)).first()[0] or 0
-    slices = max(1, -(-2 * weight // slice_bytes))
-    bounded = windows.withColumn("__slice", F.pmod(F.xxhash64("item", "window"), F.lit(slices)))
-    own = docs.columns
-    added = [T.StructField("__n_words", T.LongType()), T.StructField("__hit", T.ArrayType(T.LongType())), T.StructField("__items", T.ArrayType(T.StringType()))]
-    schema = T.StructType(docs.schema.fields + added)
-    nothing = [F.lit(0).cast("long"), F.array().cast("array<long>"), F.array().cast("array<string>")]
-    found = docs.select("*", *[c.alias(f.name) for c, f in zip(nothing, added)])
-
-    def look(sent):
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = batch.column(own.index(text)).to_pylist()
-                before_hit, before_items = batch.column("__hit").to_pylist(), batch.column("__items").to_pylist()
-                n_words, hits, items = [], [], []
-                for (n, hit, names), old_hit, old_items in zip(_hit_words(texts, sent.value), before_hit, before_items):
-                    n_words.append(n)
-                    hits.append(np.union1d(hit, old_hit).astype(np.int64) if old_hit else hit)
-                    items.append(sorted(names | set(old_items)))
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[: len(own)], pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                    names=schema.names,
-                )
-
-        return scan
-
-    for number in range(slices):
-        rows = bounded.where(F.col("__slice") == number).select("item", "n", "window").toArrow().to_pylist()
-        sent = spark.sparkContext.broadcast([(r["item"], r["n"], bytes(r["window"])) for r in rows])
-        if number:
-            found = stage(found, "scanned")
-        found = found.mapInArrow(look(sent), schema)
-    return found
-
-
-def contaminated():
-    n_hit = F.size("__hit").cast("long")
-    return (n_hit > 0) & (HIT_SHARE * n_hit >= F.col("__n_words"))
+    return (_scan_with_set if 2 * weight <= budget else _scan_with_join)(docs, windows, text)
+
+
+def _scan_with_set(docs: DataFrame, windows: DataFrame, text: str) -> DataFrame:
+    rows = windows.toArrow().to_pylist()  # bounded by the budget
+    sent = docs.sparkSession.sparkContext.broadcast([(r["item"], r["n"], bytes(r["window"])) for r in rows])
+    kinds = [T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(T.StringType())]
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, k) for n, k in zip(_added(docs.columns), kinds)]])
+    at = docs.columns.index(text)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, by_size = _window_set(sent.value)
+
+        def wanted(size: int, window: np.ndarray) -> np.ndarray:
+            place = np.minimum(np.searchsorted(by_size[size], window), len(by_size[size]) - 1)
+            return by_size[size][place] == window
+
+        for batch in batches:
+            n_words, hits, items = [], [], []
+            for n, found in _windows_of(batch.column(at).to_pylist(), sorted(by_size), wanted):
+                real = [(i, size, known[phrase]) for i, size, phrase in found if phrase in known]
+                n_words.append(n)
+                hits.append(sorted({w for i, size, _ in real for w in range(i, i + size)}))
+                items.append(sorted({name for _, _, names in real for name in names}))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=schema.names)
+
+    return docs.mapInArrow(scan, schema)
+
+
+def _scan_with_join(docs: DataFrame, windows: DataFrame, text: str) -> DataFrame:
+    spark = docs.sparkSession
+
+    def hash_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by_size: dict[int, list[bytes]] = {}
+            for size, window in zip(batch.column("n").to_pylist(), batch.column("window").to_pylist()):
+                by_size.setdefault(size, []).append(window)
+            for size, some in by_size.items():
+                yield pa.RecordBatch.from_arrays([pa.array(_window_hashes(some, size).view(np.int64))], names=["hash"])
+
+    sent = spark.sparkContext.broadcast(hash_filter(windows.mapInArrow(hash_windows, "hash long"), "hash"))
+    sizes = sorted(r["n"] for r in windows.select("n").distinct().collect())  # at most one for each length up to a window's
+    placed, file, row = with_places(docs)
+    fields = [("n_words", pa.int64()), ("windows", pa.list_(pa.struct([("at", pa.int64()), ("size", pa.int32()), ("phrase", pa.binary())])))]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = list(_windows_of(batch.column("text").to_pylist(), sizes, lambda size, window: passes(sent.value, window)))
+            columns = [[n for n, _ in found], [[{"at": i, "size": s, "phrase": p} for i, s, p in w] for _, w in found]]
+            yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("row"), *[pa.array(c, k) for c, (_, k) in zip(columns, fields)]], names=["file", "row", "n_words", "windows"])
+
+    source = placed.select(F.col(file).alias("file"), F.col(row).alias("row"), F.col(text).alias("text"))
+    found = stage(source.mapInArrow(scan, "file long, row long, n_words long, windows array<struct<at:long,size:int,phrase:binary>>"), "scanned")
+    names = stage(windows.groupBy(F.col("window").alias("phrase")).agg(F.collect_set("item").alias("items")), "window-items")
+    hits = lookup_join(found.select("file", "row", F.inline("windows")), names, "phrase")
+    hits = hits.select("file", "row", F.sequence("at", F.col("at") + F.col("size") - 1).alias("words"), "items")
+    hits = hits.groupBy("file", "row").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("words")))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+    )
+    counted = found.select("file", "row", "n_words").join(hits, ["file", "row"], "left")
+    n_words, hit, items = _added(docs.columns)
+    counted = stage(counted.select(F.col("file").alias(file), F.col("row").alias(row), F.col("n_words").alias(n_words), F.coalesce("hit", F.array().cast("array<long>")).alias(hit), F.coalesce("items", F.array().cast("array<string>")).alias(items)), "hits")
+    return placed.join(counted, [file, row]).select(*docs.columns, n_words, hit, items)
+
+
+def contaminated(n_words: str = "__n_words", hit: str = "__hit"):
+    n_hit = F.size(hit).cast("long")
+    return (n_hit > 0) & (HIT_SHARE * n_hit >= F.col(n_words))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    return scan_benchmark(docs, benchmark, text=text).where(~contaminated()).select(*docs.columns)
+    found = scan_benchmark(docs, benchmark, text=text)
+    return found.where(~contaminated(*found.columns[-3:-1])).select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
@@ -159,7 +205,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
         return pd.Series(out)
 
     found = scan_benchmark(docs, benchmark, text=text)
-    columns = [F.when(F.size("__hit") > 0, without(F.col(c), F.col("__hit"))).otherwise(F.col(c)).alias(c) if c == text else F.col(c) for c in docs.columns]
+    hit = found.columns[-2]
+    columns = [F.when(F.size(hit) > 0, without(F.col(c), F.col(hit))).otherwise(F.col(c)).alias(c) if c == text else F.col(c) for c in docs.columns]
     return found.select(*columns)
 
 

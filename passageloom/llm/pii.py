@@ -32,14 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passageloom.llm.byte_words import ALNUM, LOWER, hashes, word_bounds, word_chunks
+from passageloom.llm.hash_filter import hash_filter, passes
+from passageloom.llm.numbering import free_names
 from passageloom.operators.lookup import lookup_join
 from passageloom.operators.staging import stage
 
 CONTEXT_WORDS = 6
 #: Share of an entity's information that a word may tell.
 DISCLOSURE = 0.8
-#: Bits of the filter of words that tasks count, and words that a task holds while it adds them up.
-FILTER_BITS = 26
+#: Words that a task holds while it adds up their documents.
 HELD_TERMS = 1 << 18
 
 # The kinds in their order, and the patterns of the contract, cut so that each is read forwards once.
@@ -171,27 +172,9 @@ def mentions(docs: DataFrame, text: str, keep_text: bool, base_name: str, pairs_
     return docs.mapInArrow(find, schema)
 
 
-def word_filter(terms: DataFrame) -> np.ndarray:
-    """A bit for the first and one for the last FILTER_BITS bits of each term. At most 2 ** (FILTER_BITS - 6) numbers are collected."""
-    last = F.col("term").bitwiseAND(F.lit(2**FILTER_BITS - 1))
-    bits = terms.select(F.explode(F.array(F.shiftrightunsigned("term", 64 - FILTER_BITS), last)).alias("bit"))
-    one = F.expr("shiftleft(1L, cast(bit & 63 AS int))")
-    words = bits.groupBy(F.shiftright("bit", 6).alias("slot")).agg(F.bit_or(one).alias("bits")).toArrow()
-    out = np.zeros(2 ** (FILTER_BITS - 6), dtype=np.int64)
-    out[words.column("slot").to_numpy()] = words.column("bits").to_numpy()
-    return out.view(np.uint64)
-
-
-def _passes(known: np.ndarray, values: np.ndarray) -> np.ndarray:
-    def bit(place: np.ndarray) -> np.ndarray:
-        return known[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)
-
-    return (bit(values >> np.uint64(64 - FILTER_BITS)) & bit(values & np.uint64(2**FILTER_BITS - 1))).astype(bool)
-
-
 def documents_with(docs: DataFrame, text: str, terms: DataFrame) -> tuple[DataFrame, dict[bool, int]]:
     """Staged (term, n_t): the documents that have each term; and how many documents have a number and a word at all."""
-    sent = docs.sparkSession.sparkContext.broadcast(word_filter(terms))
+    sent = docs.sparkSession.sparkContext.broadcast(hash_filter(terms, "term"))
 
     def counted(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         terms, place = np.unique(np.concatenate([t for t, _ in held]), return_inverse=True)
@@ -213,7 +196,7 @@ def documents_with(docs: DataFrame, text: str, terms: DataFrame) -> tuple[DataFr
                 for i, mask in enumerate((~number, number)):
                     classes[i] += len(np.unique(of_text[mask]))
                 values = hashes(data, starts, ends)
-                some = np.flatnonzero(_passes(sent.value, values))
+                some = np.flatnonzero(passes(sent.value, values))
                 order = np.lexsort((of_text[some], values[some]))
                 value, text_no = values[some][order], of_text[some][order]
                 fresh = np.ones(len(value), dtype=bool)
@@ -268,8 +251,7 @@ def disclosing(found: DataFrame, docs: DataFrame, text: str, threshold: float =
 
 def _with_spans(docs: DataFrame, text: str, keep_text: bool, threshold: float) -> tuple[DataFrame, str, str]:
     """A staged copy of the documents' columns with the sorted spans, and the names of the columns for base and all spans."""
-    free = [n for i in range(len(docs.columns) + 4) if (n := f"_{i}") not in docs.columns]
-    row, base, pairs, spans = free[:4]
+    row, base, pairs, spans = free_names(docs.columns, 4)
     found = stage(mentions(docs.withColumn(row, F.monotonically_increasing_id()), text, keep_text, base, pairs), "pii-mentions")
     given = disclosing(found.select(F.col(pairs).alias("pairs")), docs, text, threshold)
     beside = found.select(F.col(row).alias("row"), F.explode(pairs).alias("p")).select("row", F.concat_ws(":", "p.entity", "p.term").alias("pair"), "p.places")
