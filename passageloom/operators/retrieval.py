@@ -6,8 +6,9 @@ Every query row is answered, with a null passage when no passage has a score.
 
 No table of pairs is formed. The rows and the longest vector of each side are measured by one aggregate. The side with
 fewer rows is broadcast as a matrix if that takes at most ``budget`` bytes, and the other side streams past it in Arrow
-batches without a shuffle; only the best of each task and query goes on. If neither side fits, blocks of both meet in
-tasks of their own. All three ways give the same answers, and a winner's vector is looked up afterwards.
+batches without a shuffle; only the best of each task and query goes on. If neither side fits, passages are dealt into
+cells around pivots, and queries meet only the cells that may hold their best. All three ways give the same answers, and
+a winner's vector is looked up afterwards.
 """
 
 from __future__ import annotations
@@ -33,6 +34,10 @@ cloudpickle.register_pickle_by_value(vector_blocks)
 
 SLICE_BYTES = 64 * 1024 * 1024
 MANY_QUERIES = 1000
+#: Cells of passages at most, the cell of rows without an angle, and what rounding may take from an angle or a score.
+PIVOTS = 256
+ODD_CELL = -1
+SLACK = 1e-6
 _POSITION = {"pos"}
 
 
@@ -104,7 +109,7 @@ def best_passages(
     elif few_queries:
         answers = _best_by_query_slice(queries.toArrow(), ordered, names)
     else:
-        answers = _best_by_blocks(queries, ordered, names, budget)
+        answers, _ = _best_by_cells(queries, ordered, names, budget)
     if with_embedding:
         answers = _attach_embedding(answers, ordered, names, budget)
     return answers.drop("order")
@@ -212,40 +217,106 @@ def _best_by_passage_slice(queries: DataFrame, few: pa.Table, names: list[str])
     return queries.mapInArrow(search, schema)
 
 
-def _best_by_blocks(queries: DataFrame, passages: DataFrame, names: list[str], budget: int) -> DataFrame:
-    """Neither side fits a broadcast: blocks of queries meet blocks of passages, each pair of blocks in a task of its own.
+def _best_by_cells(queries: DataFrame, passages: DataFrame, names: list[str], budget: int) -> tuple[DataFrame, DataFrame]:
+    """Neither side fits a broadcast: passages lie in cells around pivots, and a query goes to cells that may hold its best.
 
-    Rows are dealt by their number, so blocks are even whatever the rows hold, and a task has two blocks of about
-    ``budget`` bytes in memory. It sends its best for each query; one aggregate with a partial step decides. Nothing
-    passes through the driver but the measures of the two tables.
+    A passage belongs to the pivot at the smallest angle, and a cell knows the smallest and largest angle of its passages to
+    its pivot. By the triangle inequality for angles no passage of a cell is nearer to a query than the query's angle to the
+    pivot minus the largest, or the smallest minus the query's. Each query is first answered by the cell of its own
+    pivot; the score found there rules out all cells whose bound is worse, and the rest is searched. So vectors are
+    shuffled once for each cell they may matter to. Rows whose norm cannot be divided out have no angle: such passages lie
+    in a cell that every query visits, such queries visit every cell. Crowded cells are cut into parts of about ``budget``
+    bytes, on both sides. Also returns (query_no, cell) of all visits.
     """
-
-    def staged(rows: DataFrame, number: str, name: str) -> tuple[DataFrame, int]:
-        rows = stage(rows.withColumn(number, F.monotonically_increasing_id()), name)
-        return rows, -(-_bytes(vector_sizes(rows)) // budget)
-
-    def dealt(rows: DataFrame, number: str, own: str, count: int, other: str, others: int) -> DataFrame:
-        block = F.pmod(F.xxhash64(number), F.lit(count)).cast("int").alias(own)
-        return rows.select("*", block, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
-
-    numbered, query_blocks = staged(queries, "query_no", "queries")
-    stored, passage_blocks = staged(passages, "_no", "passages")
-    asked = dealt(numbered.select("query_no", "embedding"), "query_no", "_q", query_blocks, "_p", passage_blocks)
-    stored = dealt(stored, "_no", "_p", passage_blocks, "_q", query_blocks)
+    spark = passages.sparkSession
+    sizes = vector_sizes(passages)
+    width = max(sizes[1], vector_sizes(queries)[1])
+    count = min(PIVOTS, max(4, 4 * -(-_bytes(sizes) // budget)))
+    # A bounded sample: passages picked by a hash of their vector, so that equal vectors are one pivot.
+    hashed = passages.where("embedding IS NOT NULL").select("embedding", F.xxhash64("embedding").alias("pick"))
+    least = F.broadcast(hashed.select("pick").distinct().orderBy("pick").limit(count))
+    picked = hashed.join(least, "pick", "left_semi").groupBy("pick").agg(F.first("embedding").alias("embedding"))
+    sample = Block(widened(_matrix(picked.orderBy("pick").select("embedding").toArrow()), width))
+    pivots = spark.sparkContext.broadcast(sample.unit[sample.safe])
+
+    def angles(block: Block) -> np.ndarray:
+        return np.arccos(np.clip(block.unit @ pivots.value.T, -1.0, 1.0))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            block = Block(widened(matrix_of(batch.column("embedding")), width))
+            far = angles(block)
+            regular = block.safe & (far.shape[1] > 0)
+            cell = np.where(regular, far.argmin(axis=1) if far.shape[1] else 0, ODD_CELL)
+            angle = np.where(regular, far.min(axis=1) if far.shape[1] else 0.0, 0.0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(angle)], names=[*batch.schema.names, "cell", "angle"])
+
+    def placed(rows: DataFrame, number: str, name: str) -> DataFrame:
+        schema = T.StructType([*rows.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("angle", T.DoubleType())])
+        return stage(rows.mapInArrow(place, schema).withColumn(number, F.monotonically_increasing_id()), name)
+
+    stored, asked = placed(passages, "_no", "passages"), placed(queries, "query_no", "queries")
+    cells = stored.groupBy("cell").agg(F.min("angle").alias("least"), F.max("angle").alias("most"), F.count(F.lit(1)).alias("rows")).collect()
+    bounds = spark.sparkContext.broadcast({r["cell"]: (r["least"], r["most"]) for r in cells})  # PIVOTS + 1 at most
+    parts = {r["cell"]: -(-8 * width * r["rows"] // budget) for r in cells}
     schema = T.StructType([T.StructField("query_no", T.LongType()), *_winner_fields(names)])
 
-    def search(asked: pa.Table, stored: pa.Table) -> pa.Table:
-        query_no, columns = numbers_of(asked, ["query_no"])[0], numbers_of(stored, ["id", *names])
-        one, many = (matrix_of(table.column("embedding").combine_chunks()) for table in (asked, stored))
-        width = max(one.shape[1], many.shape[1])
-        row, value = best_of(Block(widened(one, width)), Block(widened(many, width), columns[1:]))
+    def search(some: pa.Table, many: pa.Table) -> pa.Table:
+        if not some.num_rows or not many.num_rows:
+            return pa.Table.from_arrays([pa.array([], pa.float64() if n == "score" else pa.int64()) for n in schema.names], names=schema.names)
+        query_no, columns = numbers_of(some, ["query_no"])[0], numbers_of(many, ["id", *names])
+        one, two = (Block(widened(matrix_of(t.column("embedding").combine_chunks()), width), c) for t, c in ((some, None), (many, columns[1:])))
+        row, value = best_of(one, two)
         q = np.flatnonzero(row >= 0)
-        arrays = [query_no[q], *columns[:, row[q]], value[q]]
-        return pa.Table.from_arrays([pa.array(a) for a in arrays], names=schema.names)
-
-    found = asked.groupBy("_q", "_p").cogroup(stored.groupBy("_q", "_p")).applyInArrow(search, schema)
+        return pa.Table.from_arrays([pa.array(a) for a in [query_no[q], *columns[:, row[q]], value[q]]], names=schema.names)
+
+    def meet(visits: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """Searches (query_no, embedding, cell); a cell's rows are copied only as often as its visitors fill the budget."""
+        visits = stage(visits, name)
+        crowd = {r["cell"]: -(-8 * width * r["n"] // budget) for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+        known = [(c, parts[c], crowd[c]) for c in crowd if c in parts]
+        table = F.broadcast(spark.createDataFrame(known, "cell int, parts long, crowd long"))  # PIVOTS + 1 at most
+        one = visits.join(table, "cell").withColumn("q_part", F.pmod(F.xxhash64("query_no"), F.col("crowd")))
+        one = one.select("cell", "q_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "query_no", "embedding")
+        two = stored.join(table, "cell").withColumn("part", F.pmod(F.xxhash64("_no"), F.col("parts")))
+        two = two.select("cell", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowd") - 1)).alias("q_part"), "id", *names, "embedding")
+        keys = ["cell", "part", "q_part"]
+        return one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInArrow(search, schema), visits.select("query_no", "cell")
+
+    near, first = meet(asked.select("query_no", "embedding", "cell"), "own-cells")
+    near = stage(near, "own-winners")
+    known = near.groupBy("query_no").agg(F.max("score").alias("known"))
+    rest = asked.select("query_no", "embedding", "cell").join(known, "query_no", "left")
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = sorted(bounds.value)
+        least, most = (np.array([bounds.value[c][i] for c in order]) for i in (0, 1))
+        for batch in small_batches(batches):
+            block = Block(widened(matrix_of(batch.column("embedding")), width))
+            far = angles(block)
+            column = np.array([c if c != ODD_CELL else 0 for c in order], dtype=np.int64)
+            own = far[:, column] if far.shape[1] else np.zeros((len(block), len(order)))
+            nearest = np.maximum(np.maximum(own - most, least - own), 0.0) - SLACK
+            score = np.nan_to_num(batch.column("known").to_numpy(zero_copy_only=False).astype(float), nan=-np.inf)
+            wanted = np.cos(np.clip(nearest, 0.0, np.pi)) >= score[:, None] - SLACK
+            wanted |= (np.array(order) == ODD_CELL)[None, :] | ~block.safe[:, None]
+            wanted &= np.array(order)[None, :] != batch.column("cell").to_numpy()[:, None]
+            q, c = np.nonzero(wanted)
+            yield pa.RecordBatch.from_arrays([batch.column("query_no").take(pa.array(q)), batch.column("embedding").take(pa.array(q)), pa.array(np.array(order, dtype=np.int32)[c], pa.int32())], names=["query_no", "embedding", "cell"])
+
+    visits = rest.mapInArrow(visit, rest.select("query_no", "embedding", "cell").schema)
+    others, more = meet(visits, "other-cells")
     carried = [c for c in queries.columns if c not in ("id", "embedding")]
-    return _answers(found, numbered.select("query_no", F.col("id").alias("query_id"), *carried), names)
+    every = asked.select("query_no", F.col("id").alias("query_id"), *carried)
+    return _answers(near.unionByName(others), every, names), first.unionByName(more)
+
+
+def visited_share(queries: DataFrame, passages: DataFrame, budget: int = SLICE_BYTES) -> float:
+    """Of all pairs of a query and a cell of passages, the share that the search of two large tables does not skip."""
+    ordered, names = _with_order(passages)
+    _, visits = _best_by_cells(queries.select("id", "embedding"), ordered, names, budget)
+    found = visits.agg(F.count(F.lit(1)).alias("visits"), F.count_distinct("query_no").alias("q"), F.count_distinct("cell").alias("c")).first()
+    return found["visits"] / max(1, found["q"] * found["c"])
 
 
 def similarities(queries: DataFrame, passages: DataFrame) -> DataFrame:
