@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passageloom.functions import text as T
-from passageloom.operators.dedup import first_file_last_line
+from passageloom.operators.dedup import least_place, place_of
 from passageloom.operators.lookup import BROADCAST_BYTES, fits_broadcast
 from passageloom.operators.staging import spread, stage
-from passageloom.sources.files import read_lines
+from passageloom.sources.files import read_lines, with_file_number
 
 
 def read_passages(
@@ -32,7 +32,12 @@ def read_passages(
         "row",
     )
     if unique:
-        rows = first_file_last_line(rows, "passage_id", F.col("file"), [F.col("block"), F.col("row")])
+        # Lines are read once and stored with their place, so that the aggregate and the rows it picks agree on it however
+        # a scan is split. The numbers of a split grow with its lines.
+        numbered = with_file_number(spark, rows, path)
+        place = place_of(F.col("file"), F.col("block"), F.col("row").bitwiseAND(F.lit(2**33 - 1)))
+        placed = stage(numbered.select("passage_id", "passage", place.alias("place")), "lines")
+        rows = least_place(placed, "passage_id", "place")
     return rows.select("passage_id", "passage")
 
 

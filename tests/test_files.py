@@ -231,3 +231,31 @@ def test_passage_stream(spark, tmp_path):
         weigh_passage_stream(stream, listed, output, progress).awaitTermination()
     got = {r["passage_id"]: r["vector"] for r in spark.read.parquet(output).collect()}
     assert got == {"1": [0.5, 1.0], "2": [0.0, 0.0], "3": [0.0, 2.0]}
+
+
+def test_duplicates_are_found_without_sorting_texts(spark, tmp_path):
+    folder = tmp_path / "passages"
+    folder.mkdir()
+    for part in range(3):
+        lines = [f"{i % 40},text {part} {i}" for i in range(200)] + ["hot,copy"] * 300 + [f"hot,last {part}", f",no id {part}"]
+        (folder / f"p{part}").write_text("\n".join(lines) + "\n")
+    rows = P.read_passages(spark, str(folder), header=False)
+    got = {r.passage_id: r.passage for r in rows.collect()}
+    expected = {str(i % 40): f"text 0 {i}" for i in range(200)} | {"hot": "last 0", "": "no id 0"}
+    assert got == expected and rows.count() == len(expected)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_last_line_wins_however_files_are_split(spark, tmp_path):
+    folder = tmp_path / "one"
+    folder.mkdir()
+    (folder / "p").write_text("".join(f"{i % 7},{i}\n" for i in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1k", "7k", "64m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = {r.passage_id: r.passage for r in P.read_passages(spark, str(folder), header=False).collect()}
+            assert got == {str(i % 7): str(i) for i in range(5000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
