@@ -79,13 +79,23 @@ def corpus_frequency(
                 "left_semi",
             )
     counted = stage(words.groupBy("word").agg(F.count("*").alias("df")), "document-frequency")
+    frequency = _counted(counted)
+    if listed is None:
+        return frequency
+    table = listed.join(frequency.table, "word", "left")
+    return CorpusFrequency(table.select("word", F.coalesce("df", F.lit(0)).cast("bigint").alias("df")), frequency.n_passages)
+
+
+def _counted(counted: DataFrame) -> CorpusFrequency:
     total = counted.where(F.col("word").isNull()).first()
-    table = counted.where(F.col("word").isNotNull())
-    if listed is not None:
-        table = listed.join(table, "word", "left").select(
-            "word", F.coalesce("df", F.lit(0)).cast("bigint").alias("df")
-        )
-    return CorpusFrequency(table, 0 if total is None else total["df"])
+    return CorpusFrequency(counted.where(F.col("word").isNotNull()), 0 if total is None else total["df"])
+
+
+def frequency_of_counts(counted: DataFrame) -> CorpusFrequency:
+    """As ``corpus_frequency``, from staged term counts (``with_term_counts``): the texts are not taken apart again."""
+    marked = F.array_append(F.transform("terms", lambda term: term["word"]), F.lit(None).cast("string"))
+    words = counted.select(F.explode_outer(marked).alias("word"))
+    return _counted(stage(words.groupBy("word").agg(F.count("*").alias("df")), "document-frequency"))
 
 
 def idf_of(frequency: CorpusFrequency, zero_df: str = "omit") -> DataFrame:

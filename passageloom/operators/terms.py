@@ -62,9 +62,14 @@ def _unfolded(counted: DataFrame) -> DataFrame:
     )
 
 
+def counts_of(counted: DataFrame) -> DataFrame:
+    """(passage_id, n_words, word, tf) from the rows of ``with_term_counts``."""
+    return _unfolded(counted).where(F.col("word").isNotNull())
+
+
 def term_counts(passages: DataFrame, lowercase: bool = True) -> DataFrame:
     """(passage_id, n_words, word, tf), one row for each distinct word of a passage."""
-    return _unfolded(with_term_counts(passages, lowercase)).where(F.col("word").isNotNull())
+    return counts_of(with_term_counts(passages, lowercase))
 
 
 def term_counts_with_end(passages: DataFrame, lowercase: bool = True) -> DataFrame:

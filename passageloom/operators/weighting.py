@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from passageloom.functions import text as T
 from passageloom.functions.weights import term_frequency, tfidf_of_product, tfidf_of_share
-from passageloom.operators.frequency import corpus_frequency, idf_of
+from passageloom.operators.frequency import frequency_of_counts, idf_of
 from passageloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup_join
 from passageloom.operators.staging import null_row, stage
-from passageloom.operators.terms import term_counts, term_counts_with_end
+from passageloom.operators.terms import counts_of, term_counts, term_counts_with_end, with_term_counts
 
 
 def term_frequencies(passages: DataFrame, lowercase: bool = True) -> DataFrame:
@@ -34,14 +34,15 @@ def tfidf_with_table(
 def tfidf_sparse(passages: DataFrame, lowercase: bool = True, budget: int = BROADCAST_BYTES) -> DataFrame:
     """(passage_id, word, tfidf) over the vocabulary of the corpus.
 
-    Two passes over the corpus. The first leaves the document frequencies in a staged table; its counts tell the join
-    of the second which words are too frequent to be shuffled.
+    The texts are taken apart once: their term counts are staged, one row for each passage, and both the document
+    frequencies and the weights read those. The frequencies tell the join which words are too frequent to be shuffled.
     """
-    frequency = corpus_frequency(passages, lowercase=lowercase)
+    counted = stage(with_term_counts(passages, lowercase), "term-counts")
+    frequency = frequency_of_counts(counted)
     idf = idf_of(frequency)
     occurrences = frequency.table.select("word", F.col("df").alias("n"))
     joined = lookup_join(
-        term_counts(passages, lowercase), idf.select("word", "idf"), "word", counts=occurrences, budget=budget
+        counts_of(counted), idf.select("word", "idf"), "word", counts=occurrences, budget=budget
     )
     return joined.select(
         "passage_id", "word", tfidf_of_share(F.col("tf"), F.col("n_words"), F.col("idf")).alias("tfidf")
