@@ -13,6 +13,7 @@ from passageloom.operators.dedup import first_file_last_line
 from passageloom.operators.lookup import lookup_join
 from passageloom.operators.requests import answer_requests
 from passageloom.operators.retrieval import best_passages, similarities
+from passageloom.operators.running import add_batch, running_frequency
 from passageloom.operators.staging import new_folder, spread, stage
 from passageloom.plans import corpus, inputs, search
 from passageloom.sinks.files import (
@@ -87,6 +88,14 @@ def doc_frequency_fixed_vocab(spark: SparkSession, folder: str) -> DataFrame:
     return frequency.document_frequency_for(inputs.documents(spark, folder), inputs.benchmark_words(spark, folder))
 
 
+def df_running(spark: SparkSession, folder: str) -> DataFrame:
+    """A saved table that gets the documents and the benchmark, the benchmark twice by mistake."""
+    state = new_folder(spark, "running-df")
+    for batch, passages in (("documents", inputs.documents), ("benchmark", inputs.benchmark), ("benchmark", inputs.benchmark)):
+        add_batch(spark, state, batch, passages(spark, folder))
+    return running_frequency(spark, state).table
+
+
 def df_merge(spark: SparkSession, folder: str) -> DataFrame:
     return frequency.merge_counts(
         frequency.document_frequency(inputs.documents(spark, folder)),
@@ -451,7 +460,7 @@ JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for job in (
         passage_words, term_count, term_count_cased, term_frequency, passage_length, distinct_passage_words,
         vocabulary, vocabulary_union, vocabulary_indexed, doc_count, doc_frequency, doc_frequency_fixed_vocab,
-        df_merge, idf, idf_fixed_vocab, idf_fixed_vocab_ieee,
+        df_merge, df_running, idf, idf_fixed_vocab, idf_fixed_vocab_ieee,
         tfidf_sparse, tfidf_sparse_cased, tfidf_missing_idf, tfidf_fixed_vocab, tfidf_dense, tfidf_densified,
         vector_norm, cosine_pairs, similarity_rows,
         best_passage, best_passage_many_queries, best_passage_row, best_passage_requests,

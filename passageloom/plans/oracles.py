@@ -150,6 +150,9 @@ SELECT word FROM doc_words UNION SELECT word FROM item_words""",
 SELECT DISTINCT item_words.word, coalesce(df, 0) AS df FROM item_words LEFT JOIN df ON df.word = item_words.word""",
     "df_merge": f"""WITH {_DOC_WORDS}, {_ITEM_WORDS}, {_DF},
 item_df AS (SELECT word, count(DISTINCT passage_id) AS df FROM item_words GROUP BY word)
+SELECT word, CAST(sum(df) AS BIGINT) AS df FROM (SELECT * FROM df UNION ALL SELECT * FROM item_df) GROUP BY word""",
+    "df_running": f"""WITH {_DOC_WORDS}, {_ITEM_WORDS}, {_DF},
+item_df AS (SELECT word, count(DISTINCT passage_id) AS df FROM item_words GROUP BY word)
 SELECT word, CAST(sum(df) AS BIGINT) AS df FROM (SELECT * FROM df UNION ALL SELECT * FROM item_df) GROUP BY word""",
     "idf": f"WITH {_DOC_WORDS}, {_DF}, {_N}, {_IDF} SELECT word, round(idf, 6) AS idf FROM idf",
     "idf_fixed_vocab": _IDF_FIXED,

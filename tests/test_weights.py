@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from passageloom.functions import text as T
-from passageloom.operators import frequency, terms, weighting
+from passageloom.operators import frequency, running, terms, weighting
 from passageloom.operators.lookup import lookup_join
 from passageloom.operators.staging import stage
 from passageloom.plans.corpus import dense_of_tables
@@ -251,3 +251,23 @@ def test_counts_add_up_to_the_length(spark, skewed):
 def test_answers_do_not_depend_on_partitions(spark, skewed):
     expected = sorted(weighting.tfidf_sparse(skewed.coalesce(1)).collect())
     assert sorted(weighting.tfidf_sparse(skewed.repartition(7)).collect()) == expected
+
+
+def test_texts_are_taken_apart_once(spark, skewed):
+    plan = weighting.tfidf_sparse(skewed)._jdf.queryExecution().executedPlan().toString()
+    assert "split(" not in plan and "term-counts" in plan
+
+
+def test_running_document_frequency(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    one = spark.createDataFrame([("1", "a b a"), ("2", "b c")], "passage_id string, passage string")
+    two = spark.createDataFrame([("1", "c d"), ("3", "")], "passage_id string, passage string")
+    assert running.running_frequency(spark, folder).table.count() == 0
+    assert [running.add_batch(spark, folder, n, b, buckets=4) for n, b in (("x", one), ("y", two), ("y", two), ("x", two), ("z", two.limit(0)))] == [True, True, False, False, True]
+    found = running.running_frequency(spark, folder, buckets=4)
+    assert {r.word: r.df for r in found.table.collect()} == {"a": 1, "b": 2, "c": 2, "d": 1} and found.n_passages == 4
+    # A version without its marker, as a job that died leaves it, is not read and not reused.
+    (tmp_path / "state" / "v4" / "df").mkdir(parents=True)
+    assert running.running_frequency(spark, folder, buckets=4).n_passages == 4
+    assert running.add_batch(spark, folder, "w", one, buckets=4) and running.running_frequency(spark, folder, buckets=4).n_passages == 6
+    assert {r.batch: r.n_passages for r in running.batches(spark, folder).collect()} == {"x": 2, "y": 2, "z": 0, "w": 2}
