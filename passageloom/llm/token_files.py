@@ -2,20 +2,25 @@
 
 A file is a run of little-endian ids with one end id after each document. Spark has no writer for raw bytes, so a
 stream is stored as rows of blocks (file_id, block, ids); blocks are cut by number of ids, wherever documents end. Raw
-files are read with ``blocks_of_files``. Each block is searched on its own, as an array. Then a prefix scan over the
+files are read with ``blocks_of_files``, by ranges of bytes. The end id of the streams is no id of the vocabulary, so a text
+that spells an end marker does not end there. Each block is searched on its own, as an array. Then a prefix scan over the
 blocks of a file (within segments, and over the segments) tells each block where it starts, how many documents ended
 before it, and where the document that is open at its start began.
 
 Defined cases: an empty or null text is a document of no ids; ids after the last end id are a document with ``closed``
-false; a file that ends with an end id has none; an empty table gives no rows; block rows may repeat no (file_id, block).
+false; a file that ends with an end id has none; an empty table gives no rows; block rows may repeat no (file_id, block);
+with an end id that texts can hold, such a text is several documents, and its name goes to the one that ends with it.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,12 +30,16 @@ from passageloom.operators.staging import new_folder
 
 BLOCK_IDS = 1 << 16
 SEGMENT_BLOCKS = 1024
-# Fixed value: <|endoftext|> of the vocabulary.
-END_OF_DOCUMENT = 49407
+#: Larger than every id of the vocabulary (49,408 ids in two bytes).
+END_OF_DOCUMENT = 0xFFFF
+#: Blocks that a task reads of a raw file.
+RANGE_BLOCKS = 256
 
 
 def write_token_stream(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_OF_DOCUMENT, block_ids: int = BLOCK_IDS, doc_id: str = "doc_id", text: str = "text") -> None:
-    """One stream for each task of the input. ``doc_ids`` names the documents that end in a block; the scan needs none."""
+    """One stream for each task of the input. ``named`` has the places of a block where a document of a name ends; the scan needs none."""
+    if end_id >= 1 << 16:
+        raise ValueError("ids are stored in two bytes")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokenizer(tokenizer)
@@ -46,20 +55,23 @@ def write_token_stream(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 return
             ids = np.concatenate(parts)
             whole = len(ids) if last else len(ids) // block_ids * block_ids
+            first = 0
             for start in range(0, whole, block_ids):
-                names = [d for at, d in ended if start <= at < start + block_ids]
+                last = bisect_left(ended, start + block_ids, key=itemgetter(0))
+                names = [{"at": at - start, "doc_id": d} for at, d in ended[first:last]]
+                first = last
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([file_id], pa.int64()),
                         pa.array([block], pa.int64()),
                         pa.array([ids[start : start + block_ids].tobytes()], pa.binary()),
-                        pa.array([names], pa.list_(pa.int64())),
+                        pa.array([names], pa.list_(pa.struct([("at", pa.int64()), ("doc_id", pa.int64())]))),
                     ],
-                    names=["file_id", "block", "ids", "doc_ids"],
+                    names=["file_id", "block", "ids", "named"],
                 )
                 block += 1
             parts, held = [ids[whole:]], len(ids) - whole
-            ended = [(at - whole, d) for at, d in ended if at >= whole]
+            ended = [(at - whole, d) for at, d in ended[first:]]
 
         for batch in batches:
             names = batch.column(0).to_pylist()
@@ -73,41 +85,52 @@ def write_token_stream(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         yield from blocks(last=True)
 
     stream = docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(
-        encode, "file_id long, block long, ids binary, doc_ids array<long>"
+        encode, "file_id long, block long, ids binary, named array<struct<at:long,doc_id:long>>"
     )
     stream.write.option("compression", "zstd").parquet(folder)
 
 
 def blocks_of_files(spark: SparkSession, path: str, width: int = 2, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Blocks of raw files of little-endian ids of ``width`` bytes (each file up to Spark's limit for one value)."""
+    """Blocks of raw files of little-endian ids of ``width`` bytes. A task reads ranges of bytes, whatever a file weighs.
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Files lie where the tasks can open them by the address that Spark lists.
+    """
+    step = block_ids * width
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                view = memoryview(content.as_buffer())
-                for block, start in enumerate(range(0, len(view), block_ids * width)):
-                    ids = bytes(view[start : start + block_ids * width])
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([block], pa.int64()), pa.array([ids], pa.binary())], names=["file_id", "block", "ids"])
+            for name, first, length in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                system, place = fs.FileSystem.from_uri(name)
+                with system.open_input_file(place) as file:
+                    for block in range(first, min(first + RANGE_BLOCKS, -(-length // step))):
+                        ids = file.read_at(min(step, length - block * step), block * step)
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([block], pa.int64()), pa.array([ids], pa.binary())], names=["file_id", "block", "ids"])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(cut, "file_id string, block long, ids binary")
+    # Names and lengths only: the content column is not read.
+    files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / step), F.lit(RANGE_BLOCKS).cast("long")))
+    ranges = files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), first.alias("first"), "length")
+    return ranges.repartition("path", "first").mapInArrow(read, "file_id string, block long, ids binary")
 
 
 def separators(blocks: DataFrame, end_id: int, width: int = 2) -> DataFrame:
-    """For each block its number of ids and the places of the end ids; other columns are kept."""
-    kept = [c for c in blocks.columns if c != "ids"]
+    """For each block its number of ids, the places of the end ids, and the names of the documents that end there, if any."""
+    kept = [c for c in blocks.columns if c not in ("ids", "named")]
+    named = "named" in blocks.columns
     fields = [blocks.schema[c] for c in kept]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["n_ids long", "ends array<long>"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["n_ids long", "ends array<long>", "doc_ids array<long>"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, ends = [], []
-            for value in batch.column("ids"):
+            sizes, ends, names = [], [], []
+            for i, value in enumerate(batch.column("ids")):
                 ids = np.frombuffer(value.as_buffer() if value.is_valid else b"", dtype=f"<u{width}")
                 sizes.append(len(ids))
                 ends.append(np.flatnonzero(ids == end_id).tolist())
+                known = {n["at"]: n["doc_id"] for n in batch.column("named")[i].as_py() or []} if named else {}
+                names.append([known.get(at) for at in ends[-1]])
             columns = [batch.column(c) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), pa.array(ends, pa.list_(pa.int64()))], names=[*kept, "n_ids", "ends"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), pa.array(ends, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.int64()))], names=[*kept, "n_ids", "ends", "doc_ids"])
 
     return blocks.mapInArrow(search, schema)
 
@@ -115,7 +138,7 @@ def separators(blocks: DataFrame, end_id: int, width: int = 2) -> DataFrame:
 def document_tokens(blocks: DataFrame, end_id: int = END_OF_DOCUMENT, width: int = 2, segment_blocks: int = SEGMENT_BLOCKS) -> DataFrame:
     """file_id, doc_no, start, n_tokens, closed of every document (and doc_id where the blocks name documents)."""
     found = separators(blocks, end_id, width).withColumn("segment", F.floor(F.col("block") / segment_blocks))
-    named = "doc_ids" in blocks.columns
+    named = "named" in blocks.columns
     last = F.when(F.size("ends") > 0, F.element_at("ends", -1))
 
     def running(window, amount, sums):

@@ -91,13 +91,9 @@ def test_token_stream(spark, tmp_path, awkward, awkward_rows, nothing):
     write_token_stream(awkward, folder, PATH, block_ids=50)
     stream = spark.read.parquet(folder)
     rows = document_tokens(stream, segment_blocks=3).collect()
-    # The vocabulary's own end id in a text is an end like any other; document 104 holds one.
-    texts = [(r[0], r[1]) for r in awkward_rows if r[0] != 104]
-    got = Counter((r.doc_id, r.n_tokens) for r in rows if r.doc_id != 104)
-    assert sum(got.values()) == len(texts) + sum(1 for r in rows if r.doc_id != 104) - len(texts)
-    lengths = Counter(len(library_ids(t)) for _, t in texts)
-    counted = Counter(r.n_tokens for r in rows)
-    assert not lengths - counted and all(r.closed for r in rows)
+    # Every document has its own count, the one that spells an end marker as well.
+    expected = Counter((r[0], len(library_ids(r[1]))) for r in awkward_rows)
+    assert Counter((r.doc_id, r.n_tokens) for r in rows) == expected and all(r.closed for r in rows)
     for file_id in {r.file_id for r in rows}:
         mine = sorted((r for r in rows if r.file_id == file_id), key=lambda r: r.doc_no)
         assert [r.doc_no for r in mine] == list(range(len(mine)))
@@ -109,6 +105,19 @@ def test_token_stream(spark, tmp_path, awkward, awkward_rows, nothing):
     assert document_tokens(spark.read.schema(stream.schema).parquet(str(tmp_path / "none"))).count() == 0
 
 
+def test_an_end_id_inside_a_text_moves_no_name(spark, tmp_path):
+    docs = [(1, "one <|endoftext|> two"), (2, "three"), (3, "four five"), (4, "six"), (None, "seven"), (5, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    for end_id, block_ids in ((0xFFFF, 2), (0xFFFF, 1 << 16), (49407, 2), (49407, 1 << 16)):
+        folder = str(tmp_path / f"{end_id}-{block_ids}")
+        write_token_stream(frame, folder, PATH, end_id=end_id, block_ids=block_ids)
+        rows = sorted(document_tokens(spark.read.parquet(folder), end_id=end_id).collect(), key=lambda r: r.doc_no)
+        lengths = [(d, len(library_ids(t))) for d, t in docs]
+        if end_id == 49407:
+            lengths[:1] = [(None, len(library_ids("one"))), (1, len(library_ids("two")))]
+        assert [(r.doc_id, r.n_tokens) for r in rows] == lengths
+
+
 @pytest.mark.parametrize("width", [2, 4])
 def test_raw_files(spark, tmp_path, width):
     rng = np.random.default_rng(5)
