@@ -2,7 +2,7 @@
 
 Folding makes one spelling of many: small letters, no accents, look-alike letters of other scripts and full-width forms
 as Latin ones, digits and signs that stand for letters as those letters (l, 1 and i become one), everything else a
-blank. Lexicon entries are beginnings of words in that spelling. An automaton finds them all in one pass over the whole
+blank. Lexicon entries are beginnings of words in that spelling, or whole words. An automaton finds them all in one pass over the whole
 text; at each word only the heaviest entry counts, and none counts inside an exception phrase. The weights found,
 their largest and their number are set against the length of the text, and a logistic function makes a score of them.
 
@@ -11,7 +11,7 @@ outside the held-out part (see ``held_out``): an entry weighs what its log odds
 known to be at least. Entries come from one half of the training rows, the logistic function from the other.
 
 Fitting uses a bounded sample of the labelled rows (TRAINING_TOXIC and TRAINING_CLEAN documents, picked by a hash of the
-id) and at most LEXICON_ENTRIES entries; every row of the table is scored, whole.
+id); every entry of it that passes the weight test is learnt, and every row of the table is scored, whole.
 
 Defined cases: null and empty texts have no matches and get the score of an empty text; equal rows get equal scores;
 rows whose doc_id is null are scored and not held out; several labels of one id count as toxic if one is; without usable
@@ -34,7 +34,6 @@ from passageloom.llm.quality import fit
 from passageloom.operators.staging import stage
 
 TRAINING_TOXIC, TRAINING_CLEAN = 3000, 6000
-LEXICON_ENTRIES = 4000
 SHORTEST, LONGEST = 4, 12
 THRESHOLD = 0.3
 
@@ -90,6 +89,19 @@ def _automaton(lexicon: dict[str, float]):
     return found
 
 
+def _outside(best: dict[int, float], free: list[tuple[int, int]]) -> dict[int, float]:
+    """The places that lie in none of the spans: both sides are sorted and walked once."""
+    free.sort()
+    kept, reach, i = {}, -1, 0
+    for at in sorted(best):
+        while i < len(free) and free[i][0] <= at:
+            reach = max(reach, free[i][1])
+            i += 1
+        if at > reach:
+            kept[at] = best[at]
+    return kept
+
+
 def measures(text: str | None, automaton) -> tuple[float, float, float, float]:
     """log of the weight found, weight for each root of the words, the largest weight, log of the number of words."""
     body = folded(text)
@@ -101,9 +113,8 @@ def measures(text: str | None, automaton) -> tuple[float, float, float, float]:
             free.append((start, end))
         elif weight > best.get(start, 0.0):
             best[start] = weight
-    for start, end in free:
-        for at in [at for at in best if start <= at <= end]:
-            del best[at]
+    if free:
+        best = _outside(best, free)
     words = body.count(" ")
     total = sum(best.values())
     return float(np.log1p(total)), total / (words + 1.0) ** 0.5, max(best.values(), default=0.0), float(np.log1p(words))
@@ -131,8 +142,9 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
             toxic, clean = Counter(), Counter()
             size = [0, 0]
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                words = {w[:LONGEST] for w in folded(text).split() if len(w) >= SHORTEST}
-                entries = {w[:n] for w in words for n in range(SHORTEST, len(w) + 1)}
+                words = {w for w in folded(text).split() if len(w) >= SHORTEST}
+                # Beginnings of SHORTEST to LONGEST letters, and longer words whole.
+                entries = words | {w[:n] for w in {w[:LONGEST] for w in words} for n in range(SHORTEST, len(w) + 1)}
                 (toxic if label else clean).update(entries)
                 size[bool(label)] += 1
             toxic[""], clean[""] = size[1], size[0]
@@ -147,8 +159,9 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     odds = F.log((F.col("toxic") + 0.5) / (whole["toxic"] + 1.0)) - F.log((F.col("clean") + 0.5) / (whole["clean"] + 1.0))
     doubt = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     weighed = counts.where("entry != '' AND toxic >= 3").withColumn("weight", odds - 2.5 * doubt)
-    best = weighed.where("weight > 0.5").orderBy(F.desc("weight"), "entry").limit(LEXICON_ENTRIES)
-    return lexicon | {r["entry"]: max(r["weight"], lexicon.get(r["entry"], 0.0)) for r in best.collect()}
+    # The sample bounds them, for an entry has to stand in three of its documents.
+    best = weighed.where("weight > 0.5").collect()
+    return lexicon | {r["entry"]: max(r["weight"], lexicon.get(r["entry"], 0.0)) for r in best}
 
 
 def fit_score(rows: DataFrame, lexicon: dict[str, float]) -> np.ndarray:
@@ -160,8 +173,9 @@ def fit_score(rows: DataFrame, lexicon: dict[str, float]) -> np.ndarray:
             found = [measures(t, automaton) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), pa.array(batch.column("toxic").to_pylist(), pa.int32())], names=["x", "toxic"])
 
-    # Rows of one id may repeat in the documents without bound; the limit keeps the sample within its documented size.
-    sample = stage(rows.mapInArrow(measure, "x array<double>, toxic int"), "measures").limit(TRAINING_TOXIC + TRAINING_CLEAN).toPandas()
+    # Rows of one id may repeat in the documents without bound; the limit keeps the sample within its documented size, and the
+    # order makes it the same one in each run.
+    sample = stage(rows.mapInArrow(measure, "x array<double>, toxic int"), "measures").orderBy(F.xxhash64("toxic", "x")).limit(TRAINING_TOXIC + TRAINING_CLEAN).toPandas()
     if sample["toxic"].nunique() < 2:
         return np.array([1.5, 2.0, 0.3, -0.2, -4.0])
     x = np.array(sample["x"].tolist())

@@ -254,3 +254,23 @@ def test_pipeline_against_brute_force(spark):
     assert all(r.offset + r.length <= 4096 for r in packed)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality classifier", "exact dedup", "SimHash near-dedup", "benchmark decontamination", "best-fit packing"]
     assert drop_exact_copies(docs).count() <= docs.count()
+
+
+def test_exception_phrases_against_brute_force():
+    automaton = toxicity._automaton({"clown": 2.0, "uglo": 1.0, "fi": 0.5})
+    rng = random.Random(9)
+    for _ in range(300):
+        text = " ".join(rng.choice(["clown", "fish", "class", "ugly", "duckling", "river"]) for _ in range(rng.randint(0, 12)))
+        body = toxicity.folded(text)
+        best, free = {}, []
+        for end, (size, weight) in automaton.iter(body):
+            start = end - size + 1
+            if weight < 0:
+                free.append((start, end))
+            else:
+                best[start] = max(weight, best.get(start, 0.0))
+        kept = sum(w for at, w in best.items() if not any(a <= at <= b for a, b in free))
+        assert abs(np.expm1(toxicity.measures(text, automaton)[0]) - kept) < 1e-9
+    start = time.time()
+    toxicity.measures("class clown fish " * 60_000, automaton)
+    assert time.time() - start < 6
