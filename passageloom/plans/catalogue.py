@@ -22,6 +22,7 @@ from passageloom.sinks.files import (
 from passageloom.sources.embeddings import parse_embedding_lines, read_embeddings
 from passageloom.sources.files import read_lines
 from passageloom.sources.passages import lookup_passages, passage_texts, read_passages
+from passageloom.sources.store import stored_passages, write_store
 from passageloom.streaming.passages import read_passage_stream, weigh_passage_stream
 from passageloom.streaming.requests import answer_request_stream
 
@@ -317,6 +318,21 @@ def passage_shown(spark: SparkSession, folder: str) -> DataFrame:
     return corpus.show_passage(spark, _passage_files(spark, folder), "1", header=False)
 
 
+def passage_shown_from_store(spark: SparkSession, folder: str) -> DataFrame:
+    """The passage files stored by id once, then one passage of them."""
+    store = new_folder(spark, "store")
+    corpus.store_passages(spark, _passage_files(spark, folder), store, header=False)
+    return corpus.show_stored(spark, store, "1")
+
+
+def passage_lookup_from_store(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``passage_lookup``, from a store of several files."""
+    store = new_folder(spark, "store")
+    write_store(inputs.documents(spark, folder), store, file_bytes=1 << 20, row_group_bytes=1 << 17)
+    keys = inputs.table(spark, folder, "labels").select(F.col("doc_id").cast("string").alias("passage_id"))
+    return stored_passages(spark, store, keys)
+
+
 def passage_text_column(spark: SparkSession, folder: str) -> DataFrame:
     return passage_texts(inputs.documents(spark, folder))
 
@@ -472,6 +488,7 @@ JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tfidf_sparse_beyond_a_broadcast, tfidf_dense_ieee, tfidf_dense_empty_nan,
         best_passage_row_many_queries, best_passage_all_vectors,
         passages_from_files_with_header, passages_from_folders, passage_shown, passage_text_column,
+        passage_shown_from_store, passage_lookup_from_store,
         dense_csv_lines, dense_csv_appended, dense_vector_lines, answer_lines,
     )
 }

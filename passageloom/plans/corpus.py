@@ -10,6 +10,7 @@ from passageloom.operators.terms import vocabulary
 from passageloom.operators.weighting import attach_idf, dense_tfidf, index_vocabulary
 from passageloom.sinks.files import append_dense_csv, write_dense_csv, write_dense_vectors, write_idf, write_vocabulary
 from passageloom.sources.passages import lookup_passage, read_passages
+from passageloom.sources.store import stored_passage, write_store
 from passageloom.sources.vocabulary import read_idf, read_vocabulary, read_word_list
 
 
@@ -93,3 +94,13 @@ def dense_of_tables(passages: DataFrame, words: DataFrame, digits: int | None =
 
 def show_passage(spark: SparkSession, path: str, passage_id: str, header: bool = True) -> DataFrame:
     return lookup_passage(read_passages(spark, path, header=header), passage_id)
+
+
+def store_passages(spark: SparkSession, path: str, folder: str, header: bool = True) -> None:
+    """Read passage files once and store them by id, for ``show_stored``."""
+    write_store(read_passages(spark, path, header=header), folder)
+
+
+def show_stored(spark: SparkSession, folder: str, passage_id: str) -> DataFrame:
+    """As ``show_passage``, from a store: only the row groups that may hold the id are read."""
+    return stored_passage(spark, folder, passage_id)

@@ -110,6 +110,9 @@ SELECT passage_id, {_ONE_LINE} || chr(65535) AS passage FROM docs UNION ALL SELE
 SELECT passage_id, {_ONE_LINE} AS passage FROM docs UNION ALL
 SELECT passage_id, {_ONE_LINE} FROM items WHERE passage_id NOT IN (SELECT passage_id FROM docs)""",
     "passage_shown": f"WITH {_DOCUMENTS} SELECT passage_id, {_ONE_LINE} AS passage FROM docs WHERE passage_id = '1'",
+    "passage_shown_from_store": f"WITH {_DOCUMENTS} SELECT passage_id, {_ONE_LINE} AS passage FROM docs WHERE passage_id = '1'",
+    "passage_lookup_from_store": f"""WITH {_DOCUMENTS}
+SELECT passage_id, passage FROM docs WHERE passage_id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)""",
     "passage_text_column": f"WITH {_DOCUMENTS} SELECT passage FROM docs",
     "dense_csv_lines": f"""{_DENSE_ROWS}
 SELECT 0 AS place, 'passageId' AS passage_id, 'passageId,' || string_agg(word, ',' ORDER BY word_idx) AS header,
