@@ -26,7 +26,7 @@ from passageloom.operators import vector_blocks
 from passageloom.operators.lookup import fits_broadcast, lookup_join
 from passageloom.operators.staging import stage
 from passageloom.operators.vector_blocks import (
-    TILE_CELLS, BestSoFar, Block, all_scores, best_of, matrix_of, numbers_of, small_batches, widened,
+    BATCH_BYTES, TILE_CELLS, BestSoFar, Block, all_scores, best_of, matrix_of, numbers_of, small_batches, widened,
 )
 
 # Tasks get the helper with the job, so executors need nothing installed.
@@ -38,6 +38,10 @@ MANY_QUERIES = 1000
 PIVOTS = 256
 ODD_CELL = -1
 SLACK = 1e-6
+#: Rows of a block of all pairs, on each side.
+BLOCK_ROWS = 1024
+_PAIR_NAMES = ["query_id", "passage_id", "score"]
+_PAIR_SCHEMA = "query_id bigint, passage_id bigint, score double"
 _POSITION = {"pos"}
 
 
@@ -319,15 +323,19 @@ def visited_share(queries: DataFrame, passages: DataFrame, budget: int = SLICE_B
     return found["visits"] / max(1, found["q"] * found["c"])
 
 
-def similarities(queries: DataFrame, passages: DataFrame) -> DataFrame:
+def similarities(queries: DataFrame, passages: DataFrame, budget: int = SLICE_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, passage_id, score) of every query with every passage; null where there is no score.
 
-    For a stated, short list of queries: the result has as many rows as both tables multiplied, and the queries are
-    broadcast as they are. ``best_passages`` forms no such rows and takes any number of queries.
+    The result has as many rows as both tables multiplied; ``best_passages`` forms no such rows. Queries of at most
+    ``budget`` bytes are broadcast and nothing is shuffled. More of them are met in blocks: both tables are cut into parts
+    of about ``block_rows`` rows (fewer if vectors are long), and each pair of parts is a group of its own. A row is then
+    copied once for each part of the other table, which is a ``block_rows``-th of the rows that it gives.
     """
+    sizes = vector_sizes(queries)
+    if _bytes(sizes) > budget:
+        return _similarities_in_blocks(queries, passages, sizes, block_rows)
     known = queries.select("id", "embedding").toArrow()
     shared = passages.sparkSession.sparkContext.broadcast((numbers_of(known, ["id"])[0], _matrix(known)))
-    schema = "query_id bigint, passage_id bigint, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = shared.value
@@ -339,14 +347,37 @@ def similarities(queries: DataFrame, passages: DataFrame) -> DataFrame:
             step = max(1, TILE_CELLS // max(1, len(block)))
             for q0 in range(0, len(ids), step):
                 part = Block(widened(matrix[q0 : q0 + step], width))
-                values = all_scores(part, passages_block).ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(ids[q0 : q0 + step], len(passage_ids))),
-                        pa.array(np.tile(passage_ids, len(part))),
-                        pa.array(values, mask=np.isnan(values)),
-                    ],
-                    names=["query_id", "passage_id", "score"],
-                )
-
-    return passages.select("id", "embedding").mapInArrow(score, schema)
+                arrays = _pair_arrays(ids[q0 : q0 + step], passage_ids, all_scores(part, passages_block))
+                yield pa.RecordBatch.from_arrays(arrays, names=_PAIR_NAMES)
+
+    return passages.select("id", "embedding").mapInArrow(score, _PAIR_SCHEMA)
+
+
+def _pair_arrays(query_ids: np.ndarray, passage_ids: np.ndarray, scores: np.ndarray) -> list[pa.Array]:
+    values = scores.ravel()
+    ids = [pa.array(np.repeat(query_ids, len(passage_ids))), pa.array(np.tile(passage_ids, len(query_ids)))]
+    return [*ids, pa.array(values, mask=np.isnan(values))]
+
+
+def _similarities_in_blocks(queries: DataFrame, passages: DataFrame, sizes: tuple[int, int], block_rows: int) -> DataFrame:
+    passage_sizes = vector_sizes(passages)
+    width = max(sizes[1], passage_sizes[1])
+    rows = max(1, min(block_rows, BATCH_BYTES // (8 * width)))
+    q_parts, p_parts = (max(1, -(-n // rows)) for n in (sizes[0], passage_sizes[0]))
+
+    def dealt(table: DataFrame, name: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        # Parts come from row numbers of a staged copy, so repeated ids are spread as well.
+        numbered = stage(table.select("id", "embedding", F.monotonically_increasing_id().alias("_no")), name)
+        part = F.pmod(F.xxhash64("_no"), F.lit(n_own)).alias(own)
+        return numbered.select(part, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))).alias(other), "id", "embedding")
+
+    one = dealt(queries, "queries", "q_part", q_parts, "p_part", p_parts)
+    two = dealt(passages, "passages", "p_part", p_parts, "q_part", q_parts)
+
+    def score(some: pa.Table, many: pa.Table) -> pa.Table:
+        blocks = [Block(widened(matrix_of(t.column("embedding").combine_chunks()), width)) for t in (some, many)]
+        ids = [numbers_of(t, ["id"])[0] for t in (some, many)]
+        return pa.Table.from_arrays(_pair_arrays(*ids, all_scores(*blocks)), names=_PAIR_NAMES)
+
+    keys = ["q_part", "p_part"]
+    return one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInArrow(score, _PAIR_SCHEMA)

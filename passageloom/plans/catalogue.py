@@ -16,6 +16,7 @@ from passageloom.operators.retrieval import best_passages, similarities
 from passageloom.operators.running import add_batch, running_frequency
 from passageloom.operators.staging import new_folder, spread, stage
 from passageloom.plans import corpus, inputs, search
+from passageloom.sinks.batches import add_dense_batch
 from passageloom.sinks.files import (
     append_dense_csv, write_answers, write_dense_csv, write_dense_vectors, write_embeddings, write_passages, write_vocabulary,
 )
@@ -214,6 +215,12 @@ def similarity_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(similarities(inputs.label_means(spark, folder), inputs.vectors(spark, folder)), "score")
 
 
+def similarity_rows_in_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``similarity_rows``, with queries beyond the budget."""
+    rows = similarities(inputs.label_means(spark, folder), inputs.vectors(spark, folder), budget=1)
+    return _rounded(rows, "score")
+
+
 def best_passage(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(best_passages(inputs.label_means(spark, folder), inputs.vectors(spark, folder)), "score")
 
@@ -352,6 +359,10 @@ def dense_csv_lines(spark: SparkSession, folder: str) -> DataFrame:
     words = weighting.index_vocabulary(inputs.benchmark_words(spark, folder))
     path = new_folder(spark, "dense-csv")
     write_dense_csv(tfidf_dense(spark, folder), words, path)
+    return _dense_csv_rows(spark, path)
+
+
+def _dense_csv_rows(spark: SparkSession, path: str) -> DataFrame:
     fields = F.split("line", ",")
     first = F.col("place") == 0
     return _lines_in_order(spark, path).select(
@@ -372,6 +383,16 @@ def dense_csv_appended(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.text(path).select(F.get(fields, F.lit(0)).alias("passage_id"), _numbers(fields).alias("vector"))
 
 
+def dense_csv_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of a dense CSV to which one batch was added twice: the header, then each passage once."""
+    words = stage(weighting.index_vocabulary(inputs.benchmark_words(spark, folder)), "words")
+    path = new_folder(spark, "dense-batches")
+    vectors = stage(tfidf_dense(spark, folder), "vectors")
+    for _ in range(2):
+        add_dense_batch(vectors, words, path, "documents")
+    return _dense_csv_rows(spark, f"{path}/*")
+
+
 def dense_vector_lines(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "dense-vectors")
     write_dense_vectors(tfidf_dense(spark, folder), path)
@@ -478,7 +499,7 @@ JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         vocabulary, vocabulary_union, vocabulary_indexed, doc_count, doc_frequency, doc_frequency_fixed_vocab,
         df_merge, df_running, idf, idf_fixed_vocab, idf_fixed_vocab_ieee,
         tfidf_sparse, tfidf_sparse_cased, tfidf_missing_idf, tfidf_fixed_vocab, tfidf_dense, tfidf_densified,
-        vector_norm, cosine_pairs, similarity_rows,
+        vector_norm, cosine_pairs, similarity_rows, similarity_rows_in_blocks,
         best_passage, best_passage_many_queries, best_passage_row, best_passage_requests,
         passages_dedup, passage_lookup,
         passages_from_files, vocabulary_from_files, idf_from_files,
@@ -489,6 +510,6 @@ JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         best_passage_row_many_queries, best_passage_all_vectors,
         passages_from_files_with_header, passages_from_folders, passage_shown, passage_text_column,
         passage_shown_from_store, passage_lookup_from_store,
-        dense_csv_lines, dense_csv_appended, dense_vector_lines, answer_lines,
+        dense_csv_lines, dense_csv_appended, dense_csv_batches, dense_vector_lines, answer_lines,
     )
 }

@@ -91,6 +91,10 @@ _LINES = """lines AS (
   UNION ALL SELECT concat(conv_id, ',', text) FROM conversations)"""
 
 _DENSE_ROWS = f"WITH {_DOC_WORDS}, {_ITEM_WORDS}, {_WEIGHTS}, {_LIST}, {_dense_rows()}"
+_DENSE_LINES = f"""{_DENSE_ROWS}
+SELECT 0 AS place, 'passageId' AS passage_id, 'passageId,' || string_agg(word, ',' ORDER BY word_idx) AS header,
+  CAST(NULL AS DOUBLE[]) AS vector FROM listed
+UNION ALL SELECT row_number() OVER (ORDER BY passage_id), passage_id, NULL, vector FROM dense"""
 _ONE_LINE = "replace(passage, chr(10), ' ')"
 
 SQL: dict[str, str] = {
@@ -114,10 +118,8 @@ SELECT passage_id, {_ONE_LINE} FROM items WHERE passage_id NOT IN (SELECT passag
     "passage_lookup_from_store": f"""WITH {_DOCUMENTS}
 SELECT passage_id, passage FROM docs WHERE passage_id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)""",
     "passage_text_column": f"WITH {_DOCUMENTS} SELECT passage FROM docs",
-    "dense_csv_lines": f"""{_DENSE_ROWS}
-SELECT 0 AS place, 'passageId' AS passage_id, 'passageId,' || string_agg(word, ',' ORDER BY word_idx) AS header,
-  CAST(NULL AS DOUBLE[]) AS vector FROM listed
-UNION ALL SELECT row_number() OVER (ORDER BY passage_id), passage_id, NULL, vector FROM dense""",
+    "dense_csv_lines": _DENSE_LINES,
+    "dense_csv_batches": _DENSE_LINES,
     "dense_csv_appended": f"{_DENSE_ROWS} SELECT passage_id, vector FROM dense UNION ALL SELECT passage_id, vector FROM dense",
     "dense_vector_lines": f"""{_DENSE_ROWS}
 SELECT row_number() OVER (ORDER BY passage_id) - 1 AS place, passage_id, vector FROM dense""",
@@ -181,6 +183,8 @@ SELECT vectors.id AS vec_id, round(list_dot_product(vectors.v, means.v), 6) AS d
   round(list_cosine_similarity(vectors.v, means.v), 6) AS cosine, 0.0::DOUBLE AS cosine_with_empty
 FROM vectors JOIN means ON means.id = vectors.label""",
     "similarity_rows": f"""WITH {_best('means', 'vectors')}
+SELECT query_id, passage_id, round(score, 6) AS score FROM scores""",
+    "similarity_rows_in_blocks": f"""WITH {_best('means', 'vectors')}
 SELECT query_id, passage_id, round(score, 6) AS score FROM scores""",
     "best_passage": _BEST_FEW,
     "best_passage_many_queries": f"""WITH {_best('vectors', 'means')}

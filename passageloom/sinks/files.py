@@ -31,18 +31,19 @@ def dense_lines(vectors: DataFrame) -> DataFrame:
     return vectors.select("passage_id", F.concat_ws(",", "passage_id", values).alias("line"))
 
 
+def header_line(vocabulary: DataFrame) -> DataFrame:
+    """(line): ``passageId,<word>,...``, one row."""
+    named = vocabulary.agg(F.sort_array(F.collect_list(F.struct("word_idx", "word"))).alias("w"))
+    return named.select(F.concat_ws(",", F.lit(DENSE_ID), F.transform("w", lambda x: x["word"])).alias("line"))
+
+
 def write_dense_csv(vectors: DataFrame, vocabulary: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Header ``passageId,<word>,...`` on a line of its own, then ``id,v,v,...`` ascending by id.
 
     The files of the folder hold the lines in this order, the header first. The header is one line by its format, about
     as long as every line after it; it is the only thing that one task puts together.
     """
-    named = vocabulary.agg(F.sort_array(F.collect_list(F.struct("word_idx", "word"))).alias("w"))
-    header = named.select(
-        F.lit(0).alias("part"),
-        F.lit("").alias("passage_id"),
-        F.concat_ws(",", F.lit(DENSE_ID), F.transform("w", lambda x: x["word"])).alias("line"),
-    )
+    header = header_line(vocabulary).select(F.lit(0).alias("part"), F.lit("").alias("passage_id"), "line")
     rows = dense_lines(vectors).select(F.lit(1).alias("part"), "passage_id", "line")
     header.unionByName(rows).orderBy("part", "passage_id").select("line").write.mode(mode).text(path, lineSep="\n")
 

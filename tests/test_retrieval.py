@@ -218,3 +218,27 @@ def test_cells_are_skipped_without_changing_answers(spark):
     expected = brute_force(queries, passages)
     assert sorted((r["query_id"], r["passage_id"], r["score"]) for r in got) == sorted(expected)
     assert retrieval.visited_share(asked, stored, budget) < 0.5
+
+
+def test_all_pairs_in_blocks_equal_those_of_a_broadcast(spark):
+    """Repeated ids, null, empty and zero vectors, lengths that differ; both sides cut into several parts."""
+    import random
+
+    random.seed(3)
+
+    def rows(n):
+        vectors = [[random.uniform(-1, 1) for _ in range(random.choice((2, 3, 5)))] for _ in range(n)]
+        return [(i % 20, v) for i, v in enumerate(vectors)] + [(50, None), (51, []), (52, [0.0, 0.0]), (53, [float("nan")])]
+
+    schema = "id bigint, embedding array<double>"
+    queries, passages = (spark.createDataFrame(rows(n), schema) for n in (60, 90))
+
+    def got(**options):
+        return sorted((tuple(r) for r in similarities(queries, passages, **options).collect()), key=repr)
+
+    expected = got()
+    assert len(expected) == 64 * 94
+    for block_rows in (7, 1000):
+        assert got(budget=1, block_rows=block_rows) == expected
+    nothing = spark.createDataFrame([], schema)
+    assert similarities(queries, nothing, budget=1).count() == 0 == similarities(nothing, passages, budget=-1).count()
