@@ -8,7 +8,8 @@ least COVERAGE of the template's runs within a length near the template's own.
 
 The base phrases are templates too: a base place is a diagonal on which every run of the phrase voted.
 
-The templates are a fixed list of a few hundred runs, which bounds the broadcast. What a text gives is a function of the
+The templates are opening lines and whole texts, a list of a few thousand runs at most, which bounds the broadcast; a
+caller may name others, of any length. Votes of a diagonal are bitmaps, one row for each SLOT runs of the template. What a text gives is a function of the
 text alone; hits are gathered by hashes of the row and attached again, so a text without hits costs no shuffle but one
 short row.
 
@@ -23,11 +24,13 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from passageloom.llm.license_texts import WHOLE_TEXTS
 from passageloom.operators.staging import stage
 
 RUN_WORDS = 3
 NEIGHBOUR = 2
 COVERAGE = 0.6
+SLOT = 32
 
 # The base phrases with their labels, and the opening words of public license notices.
 BASE_PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
@@ -49,6 +52,7 @@ NOTICES = [
     ("This is free and unencumbered software released into the public domain", "unlicense"),
     ("all rights reserved no part of this publication may be reproduced", "all-rights-reserved"),
 ]
+ALL_NOTICES = [*NOTICES, *WHOLE_TEXTS]
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -57,29 +61,33 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SEPARATORS), "")
 
 
-def template_runs() -> list[tuple[int, str, bool, int, int, int, str, str, str]]:
+Templates = list[tuple[str, str]]
+
+
+def template_runs(notices: Templates) -> list[tuple[int, str, bool, int, int, int, str, str, str]]:
     """template, label, base, its words, its runs, place of the run, the run's words."""
     rows = []
-    for number, (phrase, label) in enumerate([*BASE_PHRASES, *NOTICES]):
+    for number, (phrase, label) in enumerate([*BASE_PHRASES, *notices]):
         found = [w for w in re.split(SEPARATORS, phrase.lower()) if w]
         runs = len(found) - RUN_WORDS + 1
         rows += [(number, label, number < len(BASE_PHRASES), len(found), runs, j, *found[j : j + RUN_WORDS]) for j in range(runs)]
     return rows
 
 
-def template_table(spark: SparkSession) -> DataFrame:
+def template_table(spark: SparkSession, notices: Templates) -> DataFrame:
     schema = "template int, label string, base boolean, t_words int, t_runs int, j int, t0 string, t1 string, t2 string"
-    return spark.createDataFrame(template_runs(), schema).withColumns({"h": F.xxhash64("t0", "t1", "t2"), "bit": F.expr("shiftleft(1L, j)")})
+    place = {"slot": F.expr(f"j div {SLOT}"), "bit": F.expr(f"shiftleft(1L, j % {SLOT})")}
+    return spark.createDataFrame(template_runs(notices), schema).withColumns({"h": F.xxhash64("t0", "t1", "t2"), **place})
 
 
-def license_hits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def license_hits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", notices: Templates = ALL_NOTICES) -> DataFrame:
     """k1, k2 (hashes of the row), the template's columns, i and j of every run that stands in a template."""
     tokens = docs.select(F.xxhash64(doc_id, text).alias("k1"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("k2"), words(F.col(text)).alias("w"))
     n = F.greatest(F.size("w"), F.lit(1))
     runs = F.arrays_zip(F.col("w").alias("w0"), F.slice("w", 2, n).alias("w1"), F.slice("w", 3, n).alias("w2"))
     # The outer kind: for the plain kind the optimizer would split the text once more to filter empty arrays.
     every = tokens.select("k1", "k2", F.posexplode_outer(runs).alias("i", "run")).select("k1", "k2", "i", "run.w0", "run.w1", "run.w2")
-    templates = template_table(docs.sparkSession)
+    templates = template_table(docs.sparkSession, notices)
     same = (F.xxhash64("w0", "w1", "w2") == F.col("h")) & (F.col("w0") == F.col("t0")) & (F.col("w1") == F.col("t1")) & (F.col("w2") == F.col("t2"))
     return every.where("w2 IS NOT NULL").join(F.broadcast(templates), same).drop("w0", "w1", "w2", "t0", "t1", "t2", "h")
 
@@ -87,21 +95,27 @@ def license_hits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def license_spans(hits: DataFrame) -> DataFrame:
     """k1, k2, label, base, first and last word, coverage of every base place and every verified span."""
     key = ["k1", "k2", "template", "label", "base", "t_words", "t_runs"]
-    by_diagonal = hits.groupBy(*key, (F.col("i") - F.col("j")).alias("d")).agg(
+    by_diagonal = hits.groupBy(*key, (F.col("i") - F.col("j")).alias("d"), "slot").agg(
         F.min("i").alias("first"), F.max("i").alias("last"), F.bit_or("bit").alias("runs")
     )
     # Both kinds are read from the votes, which are few; the texts are taken apart once for them.
     by_diagonal = stage(by_diagonal, "diagonals")
-    exact = by_diagonal.where("base AND bit_count(runs) = t_runs").select("k1", "k2", "label", "base", F.col("first").alias("first"), "last", F.lit(1.0).alias("coverage"))
+    ends = [F.min("first").alias("first"), F.max("last").alias("last")]
+    votes = F.sum(F.bit_count("runs")).alias("votes")
+    exact = by_diagonal.where("base").groupBy(*key, "d").agg(*ends, votes).where("votes = t_runs")
+    exact = exact.select("k1", "k2", "label", "base", "first", "last", F.lit(1.0).alias("coverage"))
+    # The slots of one diagonal are ties in this order, and no distance apart.
     along = Window.partitionBy(*key).orderBy("d")
     apart = F.coalesce((F.col("d") - F.lag("d").over(along) > NEIGHBOUR).cast("int"), F.lit(0))
     merged = (
         by_diagonal.where("NOT base")
         .withColumn("apart", apart)
         .withColumn("group", F.sum("apart").over(along))
+        .groupBy(*key, "group", "slot")
+        .agg(*ends, F.bit_or("runs").alias("runs"))
         .groupBy(*key, "group")
-        .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.bit_or("runs").alias("runs"))
-        .withColumn("coverage", F.bit_count("runs") / F.col("t_runs"))
+        .agg(*ends, votes)
+        .withColumn("coverage", F.col("votes") / F.col("t_runs"))
         .where((F.col("coverage") >= COVERAGE) & (2 * (F.col("last") - F.col("first") + RUN_WORDS) <= 3 * F.col("t_words")))
     )
     # Related licenses share wording: of spans that overlap, those with the most runs stay.
@@ -109,8 +123,7 @@ def license_spans(hits: DataFrame) -> DataFrame:
     until = F.max("last").over(row.orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
     place = F.sum("new").over(row.orderBy("first", "last").rowsBetween(Window.unboundedPreceding, 0))
     spans = (
-        merged.withColumn("votes", F.bit_count("runs"))
-        .withColumn("new", F.coalesce((F.col("first") >= until + RUN_WORDS).cast("int"), F.lit(0)))
+        merged.withColumn("new", F.coalesce((F.col("first") >= until + RUN_WORDS).cast("int"), F.lit(0)))
         .withColumn("place", place)
         .withColumn("most", F.max("votes").over(Window.partitionBy("k1", "k2", "place")))
         .where("votes = most")
@@ -118,9 +131,13 @@ def license_spans(hits: DataFrame) -> DataFrame:
     return exact.unionByName(spans.select("k1", "k2", "label", "base", "first", "last", "coverage"))
 
 
-def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row."""
-    found = license_spans(license_hits(docs, doc_id, text))
+def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", notices: Templates = ALL_NOTICES) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row.
+
+    ``score`` is the largest share of a template's runs that stands in the text, of those that were found. ``notices`` are
+    (text, label) templates beside the base phrases.
+    """
+    found = license_spans(license_hits(docs, doc_id, text, notices))
     base = F.when(F.col("base"), F.col("label"))
     by_row = found.groupBy("k1", "k2").agg(
         F.count_if("base").alias("n_base"),
@@ -156,7 +173,7 @@ def _values() -> str:
     def quoted(x) -> str:
         return f"'{x}'" if isinstance(x, str) else str(x)
 
-    return ", ".join(f"({', '.join(map(quoted, row))})" for row in template_runs())
+    return ", ".join(f"({', '.join(map(quoted, row))})" for row in template_runs(ALL_NOTICES))
 
 
 OP3_SQL = rf"""
@@ -168,16 +185,19 @@ doc_words AS (
   SELECT doc_id, i - 1 AS i, w[i] AS t0, w[i + 1] AS t1, w[i + 2] AS t2
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM doc_words)
 ), by_diagonal AS (
-  SELECT doc_id, template, label, base, t_words, t_runs, i - j AS d, min(i) AS first, max(i) AS last, bit_or(CAST(1 AS BIGINT) << j) AS runs
+  SELECT doc_id, template, label, base, t_words, t_runs, i - j AS d, j // {SLOT} AS slot, min(i) AS first, max(i) AS last, bit_or(CAST(1 AS BIGINT) << (j % {SLOT})) AS runs
   FROM runs JOIN templates USING (t0, t1, t2) GROUP BY ALL
 ), marked AS (
   SELECT *, CASE WHEN d - lag(d) OVER (PARTITION BY doc_id, template ORDER BY d) > {NEIGHBOUR} THEN 1 ELSE 0 END AS apart
   FROM by_diagonal WHERE NOT base
 ), islands AS (
   SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY d) AS island FROM marked
+), slots AS (
+  SELECT doc_id, template, label, base, t_words, t_runs, island, min(first) AS first, max(last) AS last, bit_count(bit_or(runs)) AS votes
+  FROM islands GROUP BY doc_id, template, label, base, t_words, t_runs, island, slot
 ), merged AS (
-  SELECT doc_id, label, base, t_words, min(first) AS first, max(last) AS last, bit_count(bit_or(runs)) AS votes, bit_count(bit_or(runs)) / t_runs AS coverage
-  FROM islands GROUP BY doc_id, template, label, base, t_words, t_runs, island
+  SELECT doc_id, label, base, t_words, min(first) AS first, max(last) AS last, sum(votes) AS votes, sum(votes) / t_runs AS coverage
+  FROM slots GROUP BY doc_id, template, label, base, t_words, t_runs, island
 ), spans AS (
   SELECT *, max(last) OVER (PARTITION BY doc_id ORDER BY first, last ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS until
   FROM merged WHERE coverage >= {COVERAGE} AND 2 * (last - first + {RUN_WORDS}) <= 3 * t_words
@@ -187,7 +207,8 @@ doc_words AS (
 ), best AS (
   SELECT *, max(votes) OVER (PARTITION BY doc_id, place) AS most FROM places
 ), found AS (
-  SELECT doc_id, label, base, first, CAST(1.0 AS DOUBLE) AS coverage FROM by_diagonal WHERE base AND bit_count(runs) = t_runs
+  SELECT doc_id, label, base, min(first) AS first, CAST(1.0 AS DOUBLE) AS coverage FROM by_diagonal WHERE base
+  GROUP BY doc_id, template, label, base, t_runs, d HAVING sum(bit_count(runs)) = t_runs
   UNION ALL
   SELECT doc_id, label, base, first, coverage FROM best WHERE votes = most
 ), by_row AS (

@@ -14,6 +14,7 @@ import corpus_pipeline
 from passageloom.llm import queries, toxicity
 from passageloom.llm.exact_dedup import drop_exact_copies
 from passageloom.llm.extraction import OPEN_SHARE, OPEN_TEXTS, RUN_TOKENS, blocks_of, extract_text, suffix_runs, texts_by_run
+from passageloom.llm.license_texts import WHOLE_TEXTS
 from passageloom.llm.licenses import BASE_PHRASES, scan_licenses
 from passageloom.llm.quality import HEURISTICS, label_model, patterns, scored, votes
 from tests.llm.test_copies import LOWER, brute_hits, plain_fingerprint, union_find
@@ -50,6 +51,38 @@ def test_licenses(spark, awkward, awkward_rows, nothing):
     assert scan_licenses(nothing).count() == 0
 
 
+def test_whole_licenses_and_partial_copies(spark):
+    """Texts of far more runs than a bitmap holds, counted by distinct runs; related wordings; words left out."""
+    whole = dict((label, text) for text, label in WHOLE_TEXTS)
+    texts = {i: f"opening words of a file {text} and the code after it" for i, text in enumerate(whole.values())}
+    got = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert {i: r.labels for i, r in got.items()} == dict(enumerate(whole)) and {r.score for r in got.values()} == {1.0}
+    headless = " ".join(whole["mit"].split()[40:])
+    parts = [
+        (0, headless), (1, " ".join(headless.split()[:20])), (2, headless.replace("AUTHORS OR", "WRITERS AND")),
+        (3, f"{headless} some words between {whole['zlib']}"),
+    ]
+    got = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(parts, "doc_id long, text string")).collect()}
+    assert {i: r.labels for i, r in got.items()} == {0: "mit", 1: "", 2: "mit", 3: "mit,zlib"}
+    assert 0.6 <= got[2].score < got[0].score < 1.0 == got[3].score
+
+
+def test_coverage_of_a_long_template_is_that_of_brute_force(spark):
+    """A template of 298 runs: its share in a text against runs counted one by one."""
+    words = [f"w{i}" for i in range(300)]
+    rng = random.Random(11)
+
+    def runs(found):
+        return {tuple(found[i : i + 3]) for i in range(len(found) - 2)}
+
+    cut = [words[:n] for n in (300, 250, 190, 181, 180, 170, 64, 32)]
+    cut += [words[:100] + words[102:260], words[:60] + ["new"] + words[60:240], [w for w in words if rng.random() > 0.01][:260]]
+    rows = [(i, " ".join(["before"] * i + found + ["after"])) for i, found in enumerate(cut)]
+    got = {r.doc_id: r.score for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), notices=[(" ".join(words), "long")]).collect()}
+    share = [len(runs(found) & runs(words)) / 298 for found in cut]
+    assert got == {i: pytest.approx(s if s >= 0.6 else 0.0) for i, s in enumerate(share)}
+
+
 def test_folding_and_exceptions():
     automaton = toxicity._automaton({toxicity.folded(w).strip(): 3.0 for w in toxicity.INSULTS})
     clean = toxicity.measures("the river and the paper house", automaton)
