@@ -98,7 +98,7 @@ def show_passage(spark: SparkSession, path: str, passage_id: str, header: bool =
 
 def store_passages(spark: SparkSession, path: str, folder: str, header: bool = True) -> None:
     """Read passage files once and store them by id, for ``show_stored``."""
-    write_store(read_passages(spark, path, header=header), folder)
+    write_store(read_passages(spark, path, header=header), folder, unique_ids=True)
 
 
 def show_stored(spark: SparkSession, folder: str, passage_id: str) -> DataFrame:

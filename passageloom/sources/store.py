@@ -29,15 +29,21 @@ _SCHEMA = "passage_id string, passage string, part int"
 _PARTS = "part int, least string, most string, n_rows bigint"
 
 
-def write_store(passages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, row_group_bytes: int = ROW_GROUP_BYTES) -> None:
-    """Store (passage_id, passage). Texts are shuffled once, here, and never again for a lookup."""
+def write_store(passages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, row_group_bytes: int = ROW_GROUP_BYTES, unique_ids: bool = False) -> None:
+    """Store (passage_id, passage). Texts are shuffled once, here, and never again for a lookup.
+
+    With ``unique_ids`` the caller vouches that no id repeats, as after ``read_passages``. Ranges then never need to part the
+    rows of an id, so no copy of the texts is staged to number them; a repeated id would be kept, in one file.
+    """
     spark = passages.sparkSession
-    rows = stage(passages.select("passage_id", "passage"), "passages")
+    rows = passages.select("passage_id", "passage")
+    rows = rows if unique_ids else stage(rows, "passages")
     size = F.coalesce(F.octet_length("passage"), F.lit(0)) + F.coalesce(F.octet_length("passage_id"), F.lit(0)) + 16
     total, count = rows.agg(F.coalesce(F.sum(size), F.lit(0)), F.count(F.lit(1))).first()
     files = max(1, -(-total // file_bytes))
     # The number of a row in the staged copy lets the bounds of a range fall inside the rows of one id.
-    dealt = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(files, "passage_id", "_row")
+    numbered = rows.withColumn("_row", F.lit(0) if unique_ids else F.monotonically_increasing_id())
+    dealt = numbered.repartitionByRange(files, "passage_id", "_row")
     placed = dealt.sortWithinPartitions("passage_id").select("passage_id", "passage", F.spark_partition_id().alias("part"))
     placed.write.partitionBy("part").options(
         **{

@@ -101,3 +101,15 @@ def test_empty_table_other_columns_and_a_second_write(spark):
     assert [tuple(r) for r in S.stored_passage(spark, folder, "1").collect()] == [("1", "a")]
     with pytest.raises(Exception, match="already exists"):
         S.write_store(clash, folder)
+
+
+def test_unique_ids_need_no_staged_copy(spark):
+    rows = [(f"{i:04d}", f"text {i}") for i in range(3000)] + [(None, "no id"), ("twice", "a"), ("twice", "b")]
+    found = []
+    for unique in (True, False):
+        folder = new_folder(spark, "store-unique")
+        S.write_store(spark.createDataFrame(rows, SCHEMA), folder, file_bytes=10_000, row_group_bytes=5_000, unique_ids=unique)
+        assert S.store_parts(spark, folder).count() > 3
+        keys = key_table(spark, ["0000", "2999", "twice", "none"])
+        found.append(sorted(map(tuple, S.stored_passages(spark, folder, keys).collect())))
+    assert found[0] == found[1] == [("0000", "text 0"), ("2999", "text 2999"), ("twice", "a"), ("twice", "b")]
