@@ -6,9 +6,10 @@ Every query row is answered, with a null passage when no passage has a score.
 
 No table of pairs is formed. The rows and the longest vector of each side are measured by one aggregate. The side with
 fewer rows is broadcast as a matrix if that takes at most ``budget`` bytes, and the other side streams past it in Arrow
-batches without a shuffle; only the best of each task and query goes on. If neither side fits, passages are dealt into
-cells around pivots, and queries meet only the cells that may hold their best. All three ways give the same answers, and
-a winner's vector is looked up afterwards.
+batches without a shuffle. Against broadcast queries each task hands its winners on as arrays, one row for each chunk of
+queries, and rounds of merges leave one row for each chunk. If neither side fits, passages are dealt into cells around
+pivots, and queries meet only the cells that may hold their best. All three ways give the same answers, and a winner's
+vector is looked up afterwards.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,14 +27,16 @@ from passageloom.operators import vector_blocks
 from passageloom.operators.lookup import fits_broadcast, lookup_join
 from passageloom.operators.staging import stage
 from passageloom.operators.vector_blocks import (
-    BATCH_BYTES, TILE_CELLS, BestSoFar, Block, all_scores, best_of, matrix_of, numbers_of, small_batches, widened,
+    BATCH_BYTES, CHUNK_QUERIES, TILE_CELLS, BestSoFar, Block, all_scores, best_of, matrix_of, merged_winners, numbers_of,
+    small_batches, widened, winner_row,
 )
 
 # Tasks get the helper with the job, so executors need nothing installed.
 cloudpickle.register_pickle_by_value(vector_blocks)
 
 SLICE_BYTES = 64 * 1024 * 1024
-MANY_QUERIES = 1000
+#: Parts of a chunk of queries that are merged into one, in each round.
+FAN = 16
 #: Cells of passages at most, the cell of rows without an angle, and what rounding may take from an angle or a score.
 PIVOTS = 256
 ODD_CELL = -1
@@ -76,9 +79,10 @@ def _require_equal_lengths(queries: DataFrame, passages: DataFrame) -> None:
         raise ValueError(f"vectors have {found['least']} to {found['most']} numbers")
 
 
-def _bytes(sizes: tuple[int, int]) -> int:
-    """Of the table as a matrix, in which every row is as long as the longest."""
-    return 8 * sizes[0] * sizes[1]
+def _bytes(sizes: tuple[int, int], table: DataFrame) -> int:
+    """Of the table as a matrix, in which every row is as long as the longest; floats stay floats."""
+    floats = isinstance(table.schema["embedding"].dataType.elementType, T.FloatType)
+    return (4 if floats else 8) * sizes[0] * sizes[1]
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
@@ -107,11 +111,11 @@ def best_passages(
 
     query_sizes = vector_sizes(queries)
     passage_sizes = passage_sizes or vector_sizes(passages)
-    few_queries, few_passages = _bytes(query_sizes) <= budget, _bytes(passage_sizes) <= budget
+    few_queries, few_passages = _bytes(query_sizes, queries) <= budget, _bytes(passage_sizes, passages) <= budget
     if few_passages and not (few_queries and query_sizes[0] < passage_sizes[0]):
         answers = _best_by_passage_slice(queries, ordered.toArrow(), names)
     elif few_queries:
-        answers = _best_by_query_slice(queries.toArrow(), ordered, names)
+        answers = _best_by_query_slice(queries, ordered, names)
     else:
         answers, _ = _best_by_cells(queries, ordered, names, budget)
     if with_embedding:
@@ -152,54 +156,88 @@ def _answers(found: DataFrame, every: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def _best_by_query_slice(known: pa.Table, passages: DataFrame, names: list[str]) -> DataFrame:
-    """Queries broadcast, passages streamed: each task sends its best for each query, the rest is one small aggregate."""
+def _answer_schema(names: list[str], carried: list[T.StructField]) -> T.StructType:
+    order = T.StructType([T.StructField(n, T.LongType()) for n in names])
+    numbers = [T.StructField("query_id", T.LongType()), T.StructField("passage_id", T.LongType()), T.StructField("score", T.DoubleType())]
+    return T.StructType([*numbers, T.StructField("order", order), *carried])
+
+
+def _best_by_query_slice(
+    queries: DataFrame, passages: DataFrame, names: list[str], chunk_queries: int = CHUNK_QUERIES, fan: int = FAN
+) -> DataFrame:
+    """Queries broadcast, passages streamed.
+
+    A task sends the winners of a chunk of queries as one row of arrays. The rows of a chunk are dealt into parts, each
+    part is merged into one row, and ever fewer parts follow, so that no task waits for all others and the number of
+    rows shuffled does not depend on the number of queries within a chunk. A merge holds the winners of one chunk.
+    """
     spark = passages.sparkSession
-    if known.num_rows >= MANY_QUERIES:
-        # Every task answers every query: fewer, longer tasks leave less to aggregate. A no-op for fewer splits.
-        passages = passages.coalesce(8 * spark.sparkContext.defaultParallelism)
+    known = queries.toArrow()
+    carried = [field for field in queries.schema.fields if field.name not in ("id", "embedding")]
     shared = spark.sparkContext.broadcast(_matrix(known))
-    schema = T.StructType([T.StructField("query_no", T.LongType()), *_winner_fields(names)])
+    asked = spark.sparkContext.broadcast(known.drop_columns(["embedding"]).combine_chunks())
+    lists = [T.StructField(n, T.ArrayType(T.LongType())) for n in ["q", "id", *names]]
+    schema = T.StructType(
+        [T.StructField("chunk", T.LongType()), T.StructField("part", T.LongType()), *lists, T.StructField("score", T.ArrayType(T.DoubleType()))]
+    )
+    row_names, answer_schema = schema.names, _answer_schema(names, carried)
+    carried_names = [field.name for field in carried]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = shared.value
-        queries = Block(matrix)
+        some = Block(matrix)
         best = BestSoFar(len(matrix), len(names))
         for batch in small_batches(batches):
             columns = numbers_of(batch, ["id", *names])
             block = matrix_of(batch.column("embedding"))
-            width = max(block.shape[1], queries.matrix.shape[1])
-            if width > queries.matrix.shape[1]:
-                queries = Block(widened(matrix, width))
-            row, value = best_of(queries, Block(widened(block, width), columns[1:]))
+            width = max(block.shape[1], some.matrix.shape[1])
+            if width > some.matrix.shape[1]:
+                some = Block(widened(matrix, width))
+            row, value = best_of(some, Block(widened(block, width), columns[1:]))
             q = np.flatnonzero(row >= 0)
             best.take(q, columns[:, row[q]], value[q])
-        q = np.flatnonzero(best.found)
-        arrays = [pa.array(q), *[pa.array(numbers[q]) for numbers in best.winner], pa.array(best.score[q])]
-        yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
-
+        for chunk, first in enumerate(range(0, len(matrix), chunk_queries)):
+            q = np.flatnonzero(best.found[first : first + chunk_queries])
+            if len(q):
+                yield winner_row(chunk, TaskContext.get().partitionId(), q, best.winner[:, first + q], best.score[first + q], row_names)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, part, best in merged_winners(batches, chunk_queries, len(names)):
+            q = np.flatnonzero(best.found)
+            yield winner_row(chunk, part, q, best.winner[:, q], best.score[q], row_names)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, _, best in merged_winners(batches, chunk_queries, len(names)):
+            rows = asked.value.slice(chunk * chunk_queries, chunk_queries)
+            n = rows.num_rows
+            none = ~best.found[:n]
+            ranks = pa.StructArray.from_arrays([pa.array(order[:n]) for order in best.winner[1:]], names=names, mask=pa.array(none))
+            arrays = [rows.column("id").combine_chunks(), pa.array(best.winner[0][:n], mask=none), pa.array(best.score[:n], mask=none), ranks]
+            arrays.extend(rows.column(name).combine_chunks() for name in carried_names)
+            yield pa.RecordBatch.from_arrays(arrays, names=answer_schema.names)
+
+    def dealt(rows: DataFrame, parts: int) -> DataFrame:
+        # The default number of partitions, so that adaptive execution may join small ones.
+        numbered = rows.withColumn("part", F.pmod("part", F.lit(parts).cast("long")))
+        return numbered.repartition("chunk", "part").sortWithinPartitions("chunk", "part")
+
+    chunks = -(-known.num_rows // chunk_queries)
     found = passages.mapInArrow(search, schema)
-    # One row without a score for each query keeps the queries for which no task finds anything.
-    every = spark.createDataFrame(
-        known.drop_columns(["embedding"]).append_column("query_no", pa.array(np.arange(known.num_rows)))
-    ).withColumnRenamed("id", "query_id")
-    return _answers(found, every, names)
+    parts = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // max(1, chunks))
+    while parts > fan:
+        found = dealt(found, parts).mapInArrow(merge, schema)
+        parts = -(-parts // fan)
+    # A row without winners for each chunk keeps the queries for which no task finds anything.
+    empty = [F.lit(0).cast("long").alias("part"), *[F.array().cast(f.dataType).alias(f.name) for f in schema.fields[2:]]]
+    every = spark.range(chunks).select(F.col("id").alias("chunk"), *empty)
+    return dealt(found.unionByName(every), 1).mapInArrow(answer, answer_schema)
 
 
 def _best_by_passage_slice(queries: DataFrame, few: pa.Table, names: list[str]) -> DataFrame:
     """Passages broadcast, queries streamed: each query row is answered where it is, nothing is shuffled."""
     shared = queries.sparkSession.sparkContext.broadcast((numbers_of(few, ["id", *names]), _matrix(few)))
     carried = [field for field in queries.schema.fields if field.name not in ("id", "embedding")]
-    order = T.StructType([T.StructField(n, T.LongType()) for n in names])
-    schema = T.StructType(
-        [
-            T.StructField("query_id", T.LongType()),
-            T.StructField("passage_id", T.LongType()),
-            T.StructField("score", T.DoubleType()),
-            T.StructField("order", order),
-            *carried,
-        ]
-    )
+    schema = _answer_schema(names, carried)
     carried_names = [field.name for field in carried]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +273,7 @@ def _best_by_cells(queries: DataFrame, passages: DataFrame, names: list[str], bu
     spark = passages.sparkSession
     sizes = vector_sizes(passages)
     width = max(sizes[1], vector_sizes(queries)[1])
-    count = min(PIVOTS, max(4, 4 * -(-_bytes(sizes) // budget)))
+    count = min(PIVOTS, max(4, 4 * -(-8 * sizes[0] * sizes[1] // budget)))
     # A bounded sample: passages picked by a hash of their vector, so that equal vectors are one pivot.
     hashed = passages.where("embedding IS NOT NULL").select("embedding", F.xxhash64("embedding").alias("pick"))
     least = F.broadcast(hashed.select("pick").distinct().orderBy("pick").limit(count))
@@ -332,7 +370,7 @@ def similarities(queries: DataFrame, passages: DataFrame, budget: int = SLICE_BY
     copied once for each part of the other table, which is a ``block_rows``-th of the rows that it gives.
     """
     sizes = vector_sizes(queries)
-    if _bytes(sizes) > budget:
+    if _bytes(sizes, queries) > budget:
         return _similarities_in_blocks(queries, passages, sizes, block_rows)
     known = queries.select("id", "embedding").toArrow()
     shared = passages.sparkSession.sparkContext.broadcast((numbers_of(known, ["id"])[0], _matrix(known)))

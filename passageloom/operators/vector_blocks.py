@@ -1,9 +1,16 @@
 """Numpy work of one task on a block of queries and a block of passages.
 
-Scores of a block come from one matrix product. A matrix product does not add in a fixed order, so it only narrows
-the search: every passage within the rounding error of the best is scored again from left to right, as the column
-expression ``functions.vectors.cosine`` does. The best passage is then exact, the same for any partitioning, and equal
-scores are decided by the order of the passages alone.
+Scores of a block come from matrix products of unit vectors, first in single precision. A product has a rounding error,
+so it only narrows the search: every passage within twice that error of the best goes on. Queries left with many
+passages are narrowed again in double precision, and what remains is scored from left to right, as the column expression
+``functions.vectors.cosine`` does. The best passage is then exact, the same for any partitioning, and equal scores are
+decided by the order of the passages alone.
+
+The error: a product of n numbers, added in any order at precision u, is off by at most n u / (1 - n u) times the product
+of the norms, and rounding both vectors to precision u adds 2 u. Twice that is below 4 (n + 8) u while n u is below a
+half, which the slack below allows; longer vectors start in double precision.
+
+Vectors of floats stay floats (they are widened where sums are formed), so they take half the memory of doubles.
 """
 
 from __future__ import annotations
@@ -18,6 +25,11 @@ TILE_CELLS = 2_000_000
 BATCH_BYTES = 8 * 1024 * 1024
 # Norms in this range can be divided out without overflow or underflow; other rows are always scored directly.
 _SAFE_NORMS = (1e-140, 1e140)
+#: Longest vectors whose products are formed in single precision, and passages of a query that need no second narrowing.
+SINGLE_WIDTH = 1 << 20
+FEW_CANDIDATES = 16
+#: Queries whose winners travel in one row.
+CHUNK_QUERIES = 16_384
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -30,22 +42,23 @@ def small_batches(batches: Iterator[pa.RecordBatch], limit: int = BATCH_BYTES) -
 
 
 def matrix_of(column: pa.Array) -> np.ndarray:
-    """A list column as rows of doubles, shorter vectors filled with zeros, a null vector as NaN."""
+    """A list column as rows of doubles (floats if it has floats), shorter vectors filled with zeros, a null vector as NaN."""
     lengths = np.diff(column.offsets.to_numpy())
     valid = np.asarray(column.is_valid())
     lengths = np.where(valid, lengths, 0)
-    values = column.values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    values = column.values.to_numpy(zero_copy_only=False)
+    values = values.astype(np.float32 if values.dtype == np.float32 else np.float64, copy=False)
     starts = column.offsets.to_numpy()[:-1]
     width = int(lengths.max()) if len(lengths) else 0
     if len(lengths) and (lengths == width).all():
         first = int(starts[0])
         matrix = values[first : first + width * len(lengths)].reshape(len(lengths), width)
     else:
-        matrix = np.zeros((len(lengths), width))
+        matrix = np.zeros((len(lengths), width), dtype=values.dtype)
         filled = np.arange(width)[None, :] < lengths[:, None]
         matrix[filled] = values[(starts[:, None] + np.arange(width)[None, :])[filled]]
     if not valid.all():
-        matrix = np.array(matrix) if width else np.zeros((len(lengths), 1))
+        matrix = np.array(matrix) if width else np.zeros((len(lengths), 1), dtype=values.dtype)
         matrix[~valid] = np.nan
     return matrix
 
@@ -58,13 +71,13 @@ def numbers_of(table: pa.Table | pa.RecordBatch, names: list[str]) -> np.ndarray
 def widened(matrix: np.ndarray, width: int) -> np.ndarray:
     if matrix.shape[1] == width:
         return matrix
-    wide = np.zeros((len(matrix), width))
+    wide = np.zeros((len(matrix), width), dtype=matrix.dtype)
     wide[:, : matrix.shape[1]] = matrix
     return wide
 
 
 class Block:
-    """Vectors with what the search needs of them: columns, norms, unit vectors, and the order of the rows."""
+    """Vectors with what the search needs of them: columns, norms, unit vectors of single precision, and the order of the rows."""
 
     def __init__(self, matrix: np.ndarray, order: np.ndarray | None = None):
         self.matrix = matrix
@@ -72,10 +85,15 @@ class Block:
         squares = np.zeros(len(matrix))
         with np.errstate(all="ignore"):
             for column in self.columns:
-                squares += column * column
+                wide = column.astype(np.float64, copy=False)
+                squares += wide * wide
             self.norms = np.sqrt(squares)
             self.safe = (self.norms > _SAFE_NORMS[0]) & (self.norms < _SAFE_NORMS[1])
-            self.unit = np.where(self.safe[:, None], matrix / np.where(self.safe, self.norms, 1.0)[:, None], 0.0)
+            self.single = np.empty(matrix.shape, dtype=np.float32)
+            step = max(1, TILE_CELLS // max(1, matrix.shape[1]))
+            for first in range(0, len(matrix), step):
+                rows = slice(first, first + step)
+                self.single[rows] = self.unit_rows(rows)
         # A zero vector has no score with anything.
         self.odd = ~self.safe & ~(self.norms == 0.0)
         # Rank of each row among its block, the last in input order highest.
@@ -84,11 +102,21 @@ class Block:
     def __len__(self) -> int:
         return len(self.matrix)
 
+    def unit_rows(self, rows: slice | np.ndarray) -> np.ndarray:
+        """Unit vectors of double precision; zeros for rows whose norm cannot be divided out."""
+        safe = self.safe[rows]
+        with np.errstate(all="ignore"):
+            return np.where(safe[:, None], self.matrix[rows] / np.where(safe, self.norms[rows], 1.0)[:, None], 0.0)
+
+    @property
+    def unit(self) -> np.ndarray:
+        return self.unit_rows(slice(None))
+
     def take(self, rows: np.ndarray) -> Block:
         part = object.__new__(Block)
         part.matrix = self.matrix[rows]
         part.columns = np.ascontiguousarray(part.matrix.T)
-        part.norms, part.safe, part.unit = self.norms[rows], self.safe[rows], self.unit[rows]
+        part.norms, part.safe, part.single = self.norms[rows], self.safe[rows], self.single[rows]
         part.odd, part.rank = self.odd[rows], self.rank[rows]
         return part
 
@@ -113,6 +141,29 @@ class BestSoFar:
         self.winner[:, q] = columns[:, better]
 
 
+def winner_row(chunk: int, part: int, q: np.ndarray, columns: np.ndarray, score: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """Winners of queries of one chunk as arrays of one row; ``q`` counts from the chunk's first query."""
+    lists = [q, *columns, score]
+    arrays = [pa.ListArray.from_arrays(pa.array([0, len(q)], pa.int32()), pa.array(numbers)) for numbers in lists]
+    return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([part]), *arrays], names=names)
+
+
+def merged_winners(batches: Iterator[pa.RecordBatch], size: int, orders: int) -> Iterator[tuple[int, int, BestSoFar]]:
+    """(chunk, part, winners) of the rows of each chunk and part, which come one after the other."""
+    at, best = None, BestSoFar(0, orders)
+    for batch in batches:
+        chunks, parts = (batch.column(i).to_pylist() for i in (0, 1))
+        for row, key in enumerate(zip(chunks, parts)):
+            if key != at:
+                if at is not None:
+                    yield *at, best
+                at, best = key, BestSoFar(size, orders)
+            q, *columns, score = (batch.column(i)[row].values.to_numpy() for i in range(2, batch.num_columns))
+            best.take(q, np.stack(columns), score)
+    if at is not None:
+        yield *at, best
+
+
 def _ranks(order: np.ndarray) -> np.ndarray:
     """Ranks of rows sorted by the columns of ``order``, first column first."""
     ranks = np.empty(order.shape[1], dtype=np.int64)
@@ -125,7 +176,7 @@ def exact_scores(queries: Block, passages: Block, q: np.ndarray, p: np.ndarray)
     total = np.zeros(len(q))
     with np.errstate(all="ignore"):
         for x, y in zip(queries.columns, passages.columns):
-            total += x[q] * y[p]
+            total += x[q].astype(np.float64, copy=False) * y[p]
         norms = queries.norms[q] * passages.norms[p]
         return np.where(norms == 0.0, np.nan, total / np.where(norms == 0.0, 1.0, norms))
 
@@ -135,7 +186,7 @@ def all_scores(queries: Block, passages: Block) -> np.ndarray:
     total = np.zeros((len(queries), len(passages)))
     with np.errstate(all="ignore"):
         for x, y in zip(queries.columns, passages.columns):
-            total += x[:, None] * y[None, :]
+            total += x[:, None].astype(np.float64, copy=False) * y[None, :]
         norms = queries.norms[:, None] * passages.norms[None, :]
         return np.where(norms == 0.0, np.nan, total / np.where(norms == 0.0, 1.0, norms))
 
@@ -169,19 +220,32 @@ def best_of(queries: Block, passages: Block) -> tuple[np.ndarray, np.ndarray]:
     return best, score
 
 
-def _candidates(queries: Block, passages: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _near(queries: Block, passages: Block, rows: np.ndarray | None = None) -> np.ndarray:
+    """Which passages may be the best of a query, by a product in single precision, or in double for some ``rows``."""
     width = queries.matrix.shape[1]
-    slack = 8.0 * (width + 8) * np.finfo(np.float64).eps
+    single = rows is None and width <= SINGLE_WIDTH
+    rows = np.arange(len(queries)) if rows is None else rows
+    one, two = (queries.single, passages.single) if single else (queries.unit_rows(rows), passages.unit)
+    slack = (2.0 if single else 8.0) * (width + 8) * np.finfo(one.dtype).eps
+    near = one @ two.T
+    safe, odd = queries.safe[rows], queries.odd[rows]
+    regular = bool(safe.all() and passages.safe.all())
+    if not regular:
+        near[:, ~passages.safe] = -np.inf
+    near = near >= near.max(axis=1, keepdims=True) - near.dtype.type(slack)
+    if not regular:
+        near &= safe[:, None] & passages.safe[None, :]
+        near |= odd[:, None] | passages.odd[None, :]
+    return near
+
+
+def _candidates(queries: Block, passages: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows = None
     while True:
-        near = queries.unit @ passages.unit.T
-        regular = bool(queries.safe.all() and passages.safe.all())
-        if not regular:
-            near[:, ~passages.safe] = -np.inf
-        near = near >= near.max(axis=1, keepdims=True) - slack
-        if not regular:
-            near &= queries.safe[:, None] & passages.safe[None, :]
-            near |= queries.odd[:, None] | passages.odd[None, :]
+        near = _near(queries, passages)
+        many = np.flatnonzero(near.sum(axis=1) > FEW_CANDIDATES)
+        if len(many):
+            near[many] = _near(queries, passages, many)
         q, p = np.nonzero(near)
         if rows is not None or len(q) <= 4 * len(queries) + 1024:
             break

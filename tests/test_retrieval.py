@@ -242,3 +242,65 @@ def test_all_pairs_in_blocks_equal_those_of_a_broadcast(spark):
         assert got(budget=1, block_rows=block_rows) == expected
     nothing = spark.createDataFrame([], schema)
     assert similarities(queries, nothing, budget=1).count() == 0 == similarities(nothing, passages, budget=-1).count()
+
+
+@pytest.mark.parametrize("partitions, chunk_queries, fan", [(40, 3, 2), (7, 50, 2), (8, 1000, 16)])
+def test_winners_are_merged_in_rounds(spark, partitions, chunk_queries, fan):
+    """Chunks that no task answers, chunks cut short, ties that are decided in a merge; a hot vector in every task."""
+    rng = np.random.default_rng(8)
+    queries = [(i, [float(x) for x in rng.integers(-2, 3, 3)]) for i in range(20)] + [(100 + i, [0.0]) for i in range(7)]
+    passages = [(1000 + i, [float(x) for x in rng.integers(-2, 3, 3)]) for i in range(200)] + [(5000, [1.0, 1.0, 1.0])] * 100
+    asked = spark.createDataFrame([(i, v, (n,)) for n, (i, v) in enumerate(queries)], SCHEMA + ", pos struct<row: bigint>")
+    ordered, names = retrieval._with_order(with_position(spark, passages).repartition(11))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = retrieval._best_by_query_slice(asked, ordered, names, chunk_queries, fan).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((r["query_id"], r["passage_id"], r["score"]) for r in got) == sorted(brute_force(queries, passages))
+    assert sorted((r["query_id"], r["pos"]["row"]) for r in got) == [(i, n) for n, (i, _) in enumerate(queries)]
+
+
+def test_no_more_rows_are_shuffled_for_more_queries(spark):
+    """Each task hands on one row for a chunk of queries, whatever their number."""
+    passages = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(64)], SCHEMA).repartition(4)
+    for n in (3, 300):
+        queries = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(n)], SCHEMA)
+        got = retrieval._best_by_query_slice(queries, *retrieval._with_order(passages))
+        assert got.count() == n
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionByExpression") == 1 and "Aggregate" not in plan
+
+
+@pytest.mark.parametrize("kind", ["double", "float"])
+@pytest.mark.parametrize("few", ["queries", "passages"])
+def test_single_precision_never_decides(spark, kind, few):
+    """Scores that agree in single precision, and some in double as well: answers are those of the definition."""
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(4, 48))
+    close = [(base[i % 4] * (1 + 1e-9 * rng.normal(size=48))).astype("f4" if kind == "float" else "f8") for i in range(240)]
+    passages = [(1000 + i, [float(x) for x in v]) for i, v in enumerate(close)]
+    passages += [(2000 + i, v) for i, (_, v) in enumerate(passages[:30])]
+    queries = [(i, [float(x) for x in v.astype("f4" if kind == "float" else "f8")]) for i, v in enumerate([*base, *rng.normal(size=(6, 48))])]
+    if few == "passages":
+        queries = [(i + 10 * n, v) for n in range(40) for i, v in queries]
+    schema = f"id bigint, embedding array<{kind}>"
+    got = best_passages(spark.createDataFrame(queries, schema).repartition(2), spark.createDataFrame(passages, schema).repartition(3))
+    assert sorted((r["query_id"], r["passage_id"], r["score"]) for r in got.collect()) == sorted(brute_force(queries, passages))
+
+
+def test_the_error_of_a_single_precision_product_is_below_the_slack():
+    rng = np.random.default_rng(6)
+    for width in (1, 2, 33, 700, 4097):
+        for scale in (1.0, 1e-30, 1e30):
+            one, two = (Block(rng.normal(size=(40, width)) * scale * 10.0 ** rng.uniform(-6, 6, width)) for _ in range(2))
+            off = np.abs(one.single @ two.single.T - one.unit @ two.unit.T).max()
+            assert 2 * off <= 2.0 * (width + 8) * np.finfo(np.float32).eps
+
+
+def test_vectors_of_floats_take_half_the_memory(spark):
+    floats = spark.createDataFrame([(1, [1.0, 0.1])], "id bigint, embedding array<float>")
+    assert retrieval._bytes((10, 3), floats) * 2 == retrieval._bytes((10, 3), floats.select(F.col("embedding").cast("array<double>")))
+    assert retrieval._matrix(floats.toArrow()).dtype == np.float32
+    assert retrieval._matrix(spark.createDataFrame([(1, [1.0, None]), (2, None)], "id bigint, embedding array<float>").toArrow()).dtype == np.float32
