@@ -265,10 +265,10 @@ def _best_by_cells(queries: DataFrame, passages: DataFrame, names: list[str], bu
     A passage belongs to the pivot at the smallest angle, and a cell knows the smallest and largest angle of its passages to
     its pivot. By the triangle inequality for angles no passage of a cell is nearer to a query than the query's angle to the
     pivot minus the largest, or the smallest minus the query's. Each query is first answered by the cell of its own
-    pivot; the score found there rules out all cells whose bound is worse, and the rest is searched. So vectors are
-    shuffled once for each cell they may matter to. Rows whose norm cannot be divided out have no angle: such passages lie
-    in a cell that every query visits, such queries visit every cell. Crowded cells are cut into parts of about ``budget``
-    bytes, on both sides. Also returns (query_no, cell) of all visits.
+    pivot; the score found there rules out all cells whose bound is worse, and the rest is searched. So a query is shuffled
+    once for each cell that may matter to it. Rows whose norm cannot be divided out have no angle: such passages lie in a
+    cell that every query visits, such queries visit every cell. Passages of a crowded cell are cut into parts of about
+    ``budget`` bytes. Also returns (query_no, cell) of all visits.
     """
     spark = passages.sparkSession
     sizes = vector_sizes(passages)
@@ -301,29 +301,60 @@ def _best_by_cells(queries: DataFrame, passages: DataFrame, names: list[str], bu
     cells = stored.groupBy("cell").agg(F.min("angle").alias("least"), F.max("angle").alias("most"), F.count(F.lit(1)).alias("rows")).collect()
     bounds = spark.sparkContext.broadcast({r["cell"]: (r["least"], r["most"]) for r in cells})  # PIVOTS + 1 at most
     parts = {r["cell"]: -(-8 * width * r["rows"] // budget) for r in cells}
+    held = {r["cell"]: r["rows"] for r in cells}
     schema = T.StructType([T.StructField("query_no", T.LongType()), *_winner_fields(names)])
+    keys = ["cell", "part", "q_part"]
 
-    def search(some: pa.Table, many: pa.Table) -> pa.Table:
-        if not some.num_rows or not many.num_rows:
-            return pa.Table.from_arrays([pa.array([], pa.float64() if n == "score" else pa.int64()) for n in schema.names], names=schema.names)
-        query_no, columns = numbers_of(some, ["query_no"])[0], numbers_of(many, ["id", *names])
-        one, two = (Block(widened(matrix_of(t.column("embedding").combine_chunks()), width), c) for t, c in ((some, None), (many, columns[1:])))
-        row, value = best_of(one, two)
-        q = np.flatnonzero(row >= 0)
-        return pa.Table.from_arrays([pa.array(a) for a in [query_no[q], *columns[:, row[q]], value[q]]], names=schema.names)
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by their group: first the passages, which are held, then the queries, which stream past them."""
+        at, some, block = None, [], None
+        for batch in batches:
+            number = numbers_of(batch, [*keys, "kind"])
+            cuts = np.flatnonzero((number[:, 1:] != number[:, :-1]).any(axis=0)) + 1
+            for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if start == stop:
+                    continue
+                *group, kind = number[:, start].tolist()
+                if group != at:
+                    at, some, block = group, [], None
+                rows = batch.slice(start, stop - start)
+                if kind == 0:
+                    some.append(rows)
+                    continue
+                if not some:
+                    continue
+                if block is None:
+                    many = pa.Table.from_batches(some)
+                    columns = numbers_of(many, ["id", *names])
+                    block = Block(widened(matrix_of(many.column("embedding").combine_chunks()), width), columns[1:])
+                for queries_of in small_batches(iter([rows])):
+                    row, value = best_of(Block(widened(matrix_of(queries_of.column("embedding")), width)), block)
+                    q = np.flatnonzero(row >= 0)
+                    query_no = numbers_of(queries_of, ["query_no"])[0]
+                    yield pa.RecordBatch.from_arrays([pa.array(a) for a in [query_no[q], *columns[:, row[q]], value[q]]], names=schema.names)
 
     def meet(visits: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        """Searches (query_no, embedding, cell); a cell's rows are copied only as often as its visitors fill the budget."""
+        """Searches (query_no, embedding, cell).
+
+        Visitors of a cell stream past each of its parts, so they need no memory and passages need no copies. Only a cell
+        with more work than a task's share of all work has its visitors cut as well, and its passages copied as often:
+        groups number as many as the tasks and the parts together, however many rows there are.
+        """
         visits = stage(visits, name)
-        crowd = {r["cell"]: -(-8 * width * r["n"] // budget) for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-        known = [(c, parts[c], crowd[c]) for c in crowd if c in parts]
+        seen = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect() if r["cell"] in held}
+        work = max(1, sum(n * held[c] for c, n in seen.items()))
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        known = [(c, parts[c], -(-n * held[c] * tasks // (work * parts[c]))) for c, n in seen.items()]
         table = F.broadcast(spark.createDataFrame(known, "cell int, parts long, crowd long"))  # PIVOTS + 1 at most
         one = visits.join(table, "cell").withColumn("q_part", F.pmod(F.xxhash64("query_no"), F.col("crowd")))
-        one = one.select("cell", "q_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "query_no", "embedding")
+        one = one.select("cell", "q_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(1).alias("kind"), "query_no", "embedding")
         two = stored.join(table, "cell").withColumn("part", F.pmod(F.xxhash64("_no"), F.col("parts")))
-        two = two.select("cell", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowd") - 1)).alias("q_part"), "id", *names, "embedding")
-        keys = ["cell", "part", "q_part"]
-        return one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInArrow(search, schema), visits.select("query_no", "cell")
+        two = two.select("cell", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowd") - 1)).alias("q_part"), F.lit(0).alias("kind"), "id", *names, "embedding")
+        # Numbers that the other kind lacks are zeros, which Arrow hands on without a mask.
+        one = one.select(*keys, "kind", "query_no", *[F.lit(0).cast("long").alias(n) for n in ["id", *names]], F.col("embedding").cast("array<double>"))
+        two = two.select(*keys, "kind", F.lit(0).cast("long").alias("query_no"), "id", *names, F.col("embedding").cast("array<double>"))
+        met = two.unionAll(one).repartition(*keys).sortWithinPartitions(*keys, "kind")
+        return met.mapInArrow(search, schema), visits.select("query_no", "cell")
 
     near, first = meet(asked.select("query_no", "embedding", "cell"), "own-cells")
     near = stage(near, "own-winners")
