@@ -117,7 +117,7 @@ def best_passages(
     elif few_queries:
         answers = _best_by_query_slice(queries, ordered, names)
     else:
-        answers, _ = _best_by_cells(queries, ordered, names, budget)
+        answers, _ = _best_by_cells(queries, ordered, names, budget, query_sizes, passage_sizes)
     if with_embedding:
         answers = _attach_embedding(answers, ordered, names, budget)
     return answers.drop("order")
@@ -259,7 +259,9 @@ def _best_by_passage_slice(queries: DataFrame, few: pa.Table, names: list[str])
     return queries.mapInArrow(search, schema)
 
 
-def _best_by_cells(queries: DataFrame, passages: DataFrame, names: list[str], budget: int) -> tuple[DataFrame, DataFrame]:
+def _best_by_cells(
+    queries: DataFrame, passages: DataFrame, names: list[str], budget: int, query_sizes: tuple[int, int], passage_sizes: tuple[int, int]
+) -> tuple[DataFrame, DataFrame]:
     """Neither side fits a broadcast: passages lie in cells around pivots, and a query goes to cells that may hold its best.
 
     A passage belongs to the pivot at the smallest angle, and a cell knows the smallest and largest angle of its passages to
@@ -271,14 +273,13 @@ def _best_by_cells(queries: DataFrame, passages: DataFrame, names: list[str], bu
     ``budget`` bytes. Also returns (query_no, cell) of all visits.
     """
     spark = passages.sparkSession
-    sizes = vector_sizes(passages)
-    width = max(sizes[1], vector_sizes(queries)[1])
-    count = min(PIVOTS, max(4, 4 * -(-8 * sizes[0] * sizes[1] // budget)))
+    width = max(passage_sizes[1], query_sizes[1])
+    count = min(PIVOTS, max(4, 4 * -(-8 * passage_sizes[0] * passage_sizes[1] // budget)))
     # A bounded sample: passages picked by a hash of their vector, so that equal vectors are one pivot.
     hashed = passages.where("embedding IS NOT NULL").select("embedding", F.xxhash64("embedding").alias("pick"))
     least = F.broadcast(hashed.select("pick").distinct().orderBy("pick").limit(count))
     picked = hashed.join(least, "pick", "left_semi").groupBy("pick").agg(F.first("embedding").alias("embedding"))
-    sample = Block(widened(_matrix(picked.orderBy("pick").select("embedding").toArrow()), width))
+    sample = Block(widened(_matrix(picked.toArrow().sort_by("pick")), width))
     pivots = spark.sparkContext.broadcast(sample.unit[sample.safe])
 
     def angles(block: Block) -> np.ndarray:
@@ -387,7 +388,8 @@ def _best_by_cells(queries: DataFrame, passages: DataFrame, names: list[str], bu
 def visited_share(queries: DataFrame, passages: DataFrame, budget: int = SLICE_BYTES) -> float:
     """Of all pairs of a query and a cell of passages, the share that the search of two large tables does not skip."""
     ordered, names = _with_order(passages)
-    _, visits = _best_by_cells(queries.select("id", "embedding"), ordered, names, budget)
+    queries = queries.select("id", "embedding")
+    _, visits = _best_by_cells(queries, ordered, names, budget, vector_sizes(queries), vector_sizes(passages))
     found = visits.agg(F.count(F.lit(1)).alias("visits"), F.count_distinct("query_no").alias("q"), F.count_distinct("cell").alias("c")).first()
     return found["visits"] / max(1, found["q"] * found["c"])
 
