@@ -53,6 +53,7 @@ def lookup_join(
     how: str = "inner",
     counts: DataFrame | None = None,
     budget: int = BROADCAST_BYTES,
+    stored: bool = False,
 ) -> DataFrame:
     """Attach the columns of ``table`` to ``facts``.
 
@@ -62,7 +63,8 @@ def lookup_join(
     when n > W / budget. The frequent rows then take less than ``budget`` bytes together (sum c < sum n * c * budget
     / W <= budget), and no rare key has more than W / budget rows, so the shuffled part has no skew.
 
-    ``counts`` (key, n) holds the rows of ``facts`` for each key, if the caller has them.
+    ``counts`` (key, n) holds the rows of ``facts`` for each key, if the caller has them. ``stored`` tells that ``facts`` are
+    read from a stored table: beyond the budget they are then read twice, and the frequent rows are not shuffled at all.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
@@ -76,6 +78,16 @@ def lookup_join(
     volume = counts.agg(F.sum(F.col("n") * row).alias("volume")).first()["volume"] or 0.0
     frequent = counts.where(F.col("n") > F.lit(volume / max(budget, 1))).select(key)
 
+    if stored:
+        known = table.join(F.broadcast(frequent), key, "left_semi")
+        near = facts.join(F.broadcast(frequent.join(F.broadcast(known), key, how)), key)
+        rest = facts.where(F.col(key).isNotNull()).join(F.broadcast(frequent), key, "left_anti").join(table, key, how)
+        parts = near.unionByName(rest)
+        if how == "left":
+            nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields if f.name != key]
+            parts = parts.unionByName(facts.where(F.col(key).isNull()).select(*facts.columns, *nulls))
+        return parts.select(*facts.columns, *[c for c in table.columns if c != key])
+
     # One evaluation of the facts: the broadcast leaves a payload on the frequent rows. These then have no key any more,
     # and a salt in its place, so they match nothing in the shuffled join and are spread over its tasks.
     known = table.join(F.broadcast(frequent), key, "left_semi").withColumn("_is_known", F.lit(True))

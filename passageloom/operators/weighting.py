@@ -42,7 +42,7 @@ def tfidf_sparse(passages: DataFrame, lowercase: bool = True, budget: int = BROA
     idf = idf_of(frequency)
     occurrences = frequency.table.select("word", F.col("df").alias("n"))
     joined = lookup_join(
-        counts_of(counted), idf.select("word", "idf"), "word", counts=occurrences, budget=budget
+        counts_of(counted), idf.select("word", "idf"), "word", counts=occurrences, budget=budget, stored=True
     )
     return joined.select(
         "passage_id", "word", tfidf_of_share(F.col("tf"), F.col("n_words"), F.col("idf")).alias("tfidf")

@@ -271,3 +271,21 @@ def test_running_document_frequency(spark, tmp_path):
     assert running.running_frequency(spark, folder, buckets=4).n_passages == 4
     assert running.add_batch(spark, folder, "w", one, buckets=4) and running.running_frequency(spark, folder, buckets=4).n_passages == 6
     assert {r.batch: r.n_passages for r in running.batches(spark, folder).collect()} == {"x": 2, "y": 2, "z": 0, "w": 2}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("budget", [1, 150, 400, 1 << 20])
+def test_stored_facts_are_split_by_key(spark, how, budget):
+    facts = stage(spark.createDataFrame(
+        [("hot", i) for i in range(100)] + [("absent", i) for i in range(50)] + [(None, 7), (None, 8), ("b", 1), ("c", 2)],
+        "k string, n int",
+    ), "facts")
+    table = stage(spark.createDataFrame([("hot", 1.0, [1]), ("b", 2.0, None), ("unused", 3.0, [])], "k string, v double, a array<int>"), "t")
+    expected = facts.join(table, "k", how).select("k", "n", "v", "a").collect()
+    joined = lookup_join(facts, table, "k", how, budget=budget, stored=True)
+    assert sorted(joined.select("k", "n", "v", "a").collect(), key=repr) == sorted(expected, key=repr)
+
+
+def test_frequent_words_of_stored_counts_are_not_shuffled(spark, skewed):
+    plan = weighting.tfidf_sparse(skewed, budget=1000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "_salt" not in plan
