@@ -40,13 +40,13 @@ def with_term_counts(passages: DataFrame, lowercase: bool = True, end: bool = Fa
     keep = [c for c in passages.columns if c != "passage"]
     tokenised = passages.select(*keep, T.words(F.col("passage"), lowercase).alias("_words"))
     ordered = tokenised.select(*keep, F.size("_words").alias("n_words"), F.sort_array("_words").alias("_sorted"))
-    is_start = F.transform("_sorted", lambda word, i: F.when((i == 0) | (word != F.get(F.col("_sorted"), i - 1)), i))
+    places = F.when(F.col("n_words") > 0, F.sequence(F.lit(0), F.col("n_words") - 1)).otherwise(F.array().cast("array<int>"))
+    word_at = lambda i: F.get(F.col("_sorted"), i)
     starts = ordered.select(
-        *keep, "n_words", "_sorted", F.filter(is_start, lambda i: i.isNotNull()).alias("_starts")
+        *keep, "n_words", "_sorted", F.filter(places, lambda i: (i == 0) | (word_at(i) != word_at(i - 1))).alias("_starts")
     )
     ends = F.slice(F.array_append("_starts", F.col("n_words")), F.lit(2), F.size("_starts"))
-    # array_distinct keeps the first of each run, so it has the words in the order of their starts.
-    distinct = F.array_distinct("_sorted")
+    distinct = F.transform("_starts", word_at)
     lengths = F.zip_with("_starts", ends, lambda start, stop: stop - start)
     if end:
         distinct = F.array_append(distinct, F.lit(None).cast("string"))

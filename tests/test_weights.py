@@ -289,3 +289,10 @@ def test_stored_facts_are_split_by_key(spark, how, budget):
 def test_frequent_words_of_stored_counts_are_not_shuffled(spark, skewed):
     plan = weighting.tfidf_sparse(skewed, budget=1000)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan and "_salt" not in plan
+
+
+def test_runs_of_words_are_found_in_one_pass(spark):
+    passages = spark.createDataFrame([("1", "b a b"), ("2", ""), ("3", "c")], PASSAGES)
+    counted = terms.with_term_counts(passages)
+    assert {r.passage_id: [tuple(t) for t in r.terms] for r in counted.collect()} == {"1": [("a", 1), ("b", 2)], "2": [], "3": [("c", 1)]}
+    assert "array_distinct" not in counted._jdf.queryExecution().optimizedPlan().toString()
