@@ -14,7 +14,7 @@ from passageloom.operators.lookup import lookup_join
 from passageloom.operators.requests import answer_requests
 from passageloom.operators.retrieval import best_passages, similarities
 from passageloom.operators.running import add_batch, running_frequency
-from passageloom.operators.staging import new_folder, spread, stage
+from passageloom.operators.staging import estimated_bytes, new_folder, spread, stage
 from passageloom.plans import corpus, inputs, search
 from passageloom.sinks.batches import add_dense_batch
 from passageloom.sinks.files import (
@@ -299,16 +299,29 @@ def passages_from_files_with_header(spark: SparkSession, folder: str) -> DataFra
         F.struct(F.lit(0).alias("later"), F.lit(3).alias("place"), F.lit("").alias("line")),
         F.struct(F.lit(1).alias("later"), F.lit(1).alias("place"), F.concat("passage_id", F.lit(",later")).alias("line")),
     )
-    rows = inputs.documents(spark, folder).select(F.pmod(F.crc32("passage_id"), F.lit(3)).alias("first"), F.inline(copies))
-    lines = rows.select((F.col("first") + F.col("later")).alias("part"), "place", "line")
-    return read_passages(spark, _files_with_header(spark, lines))
+    rows = inputs.documents(spark, folder).select(F.pmod(F.crc32("passage_id"), F.lit(3)).alias("first"), "passage_id", F.inline(copies))
+    lines = rows.select((F.col("first") + F.col("later")).alias("part"), "passage_id", "place", "line")
+    return read_passages(spark, _files_with_header(spark, lines, inputs.table(spark, folder, "documents")))
 
 
-def _files_with_header(spark: SparkSession, lines: DataFrame) -> str:
-    """One file for each part (0 to 3) of (part, place, line), its header before the other lines."""
-    header = spark.range(4).select(F.col("id").alias("part"), F.lit(0).alias("place"), F.lit("id,passage").alias("line"))
+HEADER_FILE_BYTES = 16 * 1024 * 1024
+
+
+def _files_with_header(spark: SparkSession, lines: DataFrame, table: DataFrame) -> str:
+    """Files of the parts 0 to 3 of (part, passage_id, place, line), each with a header before the other lines.
+
+    All lines of an id in a part are in one file. A part has more files the larger the table is that the lines come from,
+    as a file is what one task writes.
+    """
+    files = 1 + estimated_bytes(table) // (4 * HEADER_FILE_BYTES)
+    name = F.format_string("%d-%06d", F.col("part").cast("int"), F.col("file").cast("int")).alias("part")
+    header = spark.range(4 * files).select(
+        (F.col("id") % 4).alias("part"), F.floor(F.col("id") / 4).alias("file"), F.lit(0).alias("place"), F.lit("id,passage").alias("line")
+    )
+    dealt = lines.withColumn("file", F.pmod(F.xxhash64("passage_id"), F.lit(files))).drop("passage_id")
     path = new_folder(spark, "header-files")
-    ordered = header.unionByName(lines).repartition("part").sortWithinPartitions("part", "place")
+    named = header.unionByName(dealt).select(name, "place", "line")
+    ordered = named.repartition(4 * files, "part").sortWithinPartitions("part", "place")
     ordered.select("part", "line").write.partitionBy("part").text(path, lineSep="\n")
     return f"{path}/part=*"
 
@@ -482,12 +495,13 @@ def passage_stream(spark: SparkSession, folder: str) -> DataFrame:
 def passage_stream_with_header(spark: SparkSession, folder: str) -> DataFrame:
     text = F.replace(F.col("passage"), F.lit("\n"), F.lit(" "))
     lines = inputs.documents(spark, folder).select(
-        F.pmod(F.crc32("passage_id"), F.lit(4)).alias("part"), F.lit(1).alias("place"), F.concat("passage_id", F.lit(","), text).alias("line")
+        F.pmod(F.crc32("passage_id"), F.lit(4)).alias("part"), "passage_id", F.lit(1).alias("place"), F.concat("passage_id", F.lit(","), text).alias("line")
     )
     passages, words, saved = _passage_files(spark, folder), _word_file(spark, folder), new_folder(spark, "idf-file")
     corpus.build_idf(spark, passages, words, saved, header=False)
     output, progress = new_folder(spark, "vectors"), new_folder(spark, "progress")
-    stream = read_passage_stream(spark, _files_with_header(spark, lines), header=True)
+    written = _files_with_header(spark, lines, inputs.table(spark, folder, "documents"))
+    stream = read_passage_stream(spark, written, header=True)
     weigh_passage_stream(stream, corpus.word_list_with_idf(spark, words, saved), output, progress, DIGITS).awaitTermination()
     return spark.read.schema("passage_id string, vector array<double>").parquet(f"{output}/batch=*")
 

@@ -1,3 +1,4 @@
+import glob
 import math
 import os
 
@@ -5,7 +6,7 @@ import pytest
 
 from passageloom.operators import terms
 from passageloom.operators.staging import stage
-from passageloom.plans import corpus, search
+from passageloom.plans import catalogue, corpus, search
 from passageloom.sinks import files as sinks
 from passageloom.sources.files import read_lines
 from passageloom.sources import embeddings as E
@@ -259,3 +260,17 @@ def test_last_line_wins_however_files_are_split(spark, tmp_path):
             assert got == {str(i % 7): str(i) for i in range(5000)}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_header_files_grow_in_number(spark, tmp_path, monkeypatch):
+    """More files, not longer ones, for a larger table; the passages stay the same."""
+    rows = [(i, f"text {i}, with\na comma") for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    expected = sorted(catalogue.passages_from_files_with_header(spark, str(tmp_path)).collect())
+    monkeypatch.setattr(catalogue, "HEADER_FILE_BYTES", 300)
+    written = []
+    real = catalogue._files_with_header
+    monkeypatch.setattr(catalogue, "_files_with_header", lambda *a: written.append(real(*a)) or written[-1])
+    assert sorted(catalogue.passages_from_files_with_header(spark, str(tmp_path)).collect()) == expected
+    files = glob.glob(f"{written[0]}/part-*")
+    assert len(expected) == 301 and len(files) > 8 and all(open(f).readline() == "id,passage\n" for f in files)
