@@ -29,7 +29,7 @@ def cosine_or_zero_if_empty(a: Column, b: Column) -> Column:
 
 def embedding_of_text(text: Column) -> Column:
     """``v:v:...:v`` as an array of doubles; a piece that is not a number raises."""
-    return F.transform(F.split(text, ":"), lambda piece: piece.cast("double"))
+    return F.split(text, ":").cast("array<double>")
 
 
 def embedding_of_text_or_null(text: Column) -> Column:
@@ -39,4 +39,4 @@ def embedding_of_text_or_null(text: Column) -> Column:
 
 
 def text_of_embedding(embedding: Column) -> Column:
-    return F.array_join(F.transform(embedding, lambda x: x.cast("string")), ":")
+    return F.array_join(embedding.cast("array<string>"), ":")

@@ -94,6 +94,8 @@ def dense_tfidf(
     share_first: bool = False,
     digits: int | None = None,
     budget: int = BROADCAST_BYTES,
+    ordered: bool = False,
+    text: str | None = None,
 ) -> DataFrame:
     """(passage_id, vector): the weights of every passage in vocabulary order, rounded if ``digits`` is given.
 
@@ -102,6 +104,9 @@ def dense_tfidf(
     vector of a passage without words all NaN. With ``unique_ids=False`` equal ids stay separate rows.
 
     Only the words of the list are grouped: what gets shuffled is one short (index, weight) array for each passage.
+    For the sinks, ``ordered=True`` gives the rows ascending by id: these short arrays are sorted, not the filled vectors.
+    With a separator as ``text`` the rows are (passage_id, values), the numbers as text between separators: zeros are copied
+    as text and never become numbers.
     """
     if empty not in ("zero", "nan"):
         raise ValueError(f"empty must be 'zero' or 'nan', not {empty!r}")
@@ -134,7 +139,13 @@ def dense_tfidf(
         lengths = source.select(*group, F.size(T.words(F.col("passage"), lowercase)).cast("bigint").alias("n_words"))
         hits = hits.unionByName(lengths.withColumn("hit", F.lit(None).cast(hits.schema["hit"].dataType)))
     grouped = hits.groupBy(*group).agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_list("hit")).alias("hits"))
-    filled = fill_vector(grouped, "hits", size, infinite)
+    order = "passage_id" if ordered else None
+    if text is not None:
+        values = F.col("values")
+        if empty == "nan":
+            values = F.when(F.col("n_words") == 0, joined(F.repeat(F.lit(f"NaN{text}"), F.lit(size)), text)).otherwise(values)
+        return fill_text(grouped, "hits", size, text, infinite, order).select("passage_id", values.alias("values"))
+    filled = fill_vector(grouped, "hits", size, infinite, order)
     vector = F.col("vector")
     if empty == "nan":
         vector = F.when(F.col("n_words") == 0, F.transform(vector, lambda x: F.lit(float("nan")))).otherwise(vector)
@@ -173,15 +184,45 @@ def _background(vocabulary_idf: DataFrame) -> tuple[int, DataFrame | None]:
     return found["size"], stage(indexes, "infinite")
 
 
-def fill_vector(grouped: DataFrame, hits: str, size: int, infinite: DataFrame | None = None) -> DataFrame:
+def fill_vector(
+    grouped: DataFrame, hits: str, size: int, infinite: DataFrame | None = None, order: str | None = None
+) -> DataFrame:
     """Add ``vector``: the hits (sorted by word_idx) at their places, 0 between them, NaN at ``infinite`` places without one.
 
-    Built from the gaps between one hit and the next, so the work is the length of the vector plus the hits.
+    Built from the gaps between one hit and the next, so the work is the length of the vector plus the hits. Rows ascend by
+    ``order``, if given.
     """
 
-    def gap(start: Column, length: Column) -> Column:
-        return F.array_repeat(F.lit(0.0), length)
+    bounded, keep = _bounded_hits(grouped, hits, size, infinite, order)
+    gap = lambda length: F.array_repeat(F.lit(0.0), length)
+    pieces = F.transform("_hits", lambda hit, k: F.concat(F.array(hit["weight"]), gap(_zeros_behind(hit, k))))
+    return bounded.select(*keep, F.flatten(F.concat(F.array(gap(F.get(F.col("_next"), F.lit(0)))), pieces)).alias("vector"))
+
+
+def fill_text(
+    grouped: DataFrame, hits: str, size: int, separator: str, infinite: DataFrame | None = None, order: str | None = None
+) -> DataFrame:
+    """As ``fill_vector``, but add ``values``: the numbers as text, with a separator between them."""
+    bounded, keep = _bounded_hits(grouped, hits, size, infinite, order)
+    gap = lambda length: F.repeat(F.lit(f"0.0{separator}"), length)
+    pieces = F.transform("_hits", lambda hit, k: F.concat(hit["weight"].cast("string"), F.lit(separator), gap(_zeros_behind(hit, k))))
+    whole = F.concat(gap(F.get(F.col("_next"), F.lit(0))), F.array_join(pieces, ""))
+    return bounded.select(*keep, joined(whole, separator).alias("values"))
+
 
+def joined(text: Column, separator: str) -> Column:
+    """Without the separator at the end."""
+    return F.rtrim(text, F.lit(separator))
+
+
+def _zeros_behind(hit: Column, k: Column) -> Column:
+    return F.get(F.col("_next"), k + 1) - hit["word_idx"] - 1
+
+
+def _bounded_hits(
+    grouped: DataFrame, hits: str, size: int, infinite: DataFrame | None, order: str | None
+) -> tuple[DataFrame, list[str]]:
+    """(``_hits``, ``_next``) beside the other columns: all hits, NaN included, and their places, the size at the end."""
     if infinite is not None:
         # One row, which every row takes along.
         one = F.broadcast(infinite.select(F.lit(1).alias("_one"), "infinite"))
@@ -191,18 +232,12 @@ def fill_vector(grouped: DataFrame, hits: str, size: int, infinite: DataFrame |
             F.array_except("infinite", placed), lambda i: F.struct(i.alias("word_idx"), F.lit(float("nan")).alias("weight"))
         )
         grouped = grouped.withColumn(hits, F.sort_array(F.concat(F.col(hits), nan))).drop("infinite")
+    if order is not None:  # behind the join, below which the optimizer takes a sort away
+        grouped = grouped.orderBy(order)
     keep = [c for c in grouped.columns if c != hits]
     bounded = grouped.select(
         *keep,
         F.col(hits).alias("_hits"),
         F.array_append(F.transform(F.col(hits), lambda hit: hit["word_idx"]), F.lit(size)).alias("_next"),
     )
-    head = F.array(gap(F.lit(0), F.get(F.col("_next"), F.lit(0))))
-    pieces = F.transform(
-        F.col("_hits"),
-        lambda hit, k: F.concat(
-            F.array(hit["weight"]),
-            gap(hit["word_idx"] + 1, F.get(F.col("_next"), k + 1) - hit["word_idx"] - 1),
-        ),
-    )
-    return bounded.select(*keep, F.flatten(F.concat(head, pieces)).alias("vector"))
+    return bounded, keep

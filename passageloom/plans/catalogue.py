@@ -21,7 +21,7 @@ from passageloom.sinks.files import (
     append_dense_csv, write_answers, write_dense_csv, write_dense_vectors, write_embeddings, write_passages, write_vocabulary,
 )
 from passageloom.sources.embeddings import parse_embedding_lines, read_embeddings
-from passageloom.sources.files import read_lines
+from passageloom.sources.files import read_lines, with_place
 from passageloom.sources.passages import lookup_passages, passage_texts, read_passages
 from passageloom.sources.store import stored_passages, write_store
 from passageloom.streaming.passages import read_passage_stream, weigh_passage_stream
@@ -149,8 +149,12 @@ def tfidf_fixed_vocab(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tfidf_dense(spark: SparkSession, folder: str) -> DataFrame:
+    return _dense(spark, folder)
+
+
+def _dense(spark: SparkSession, folder: str, **form) -> DataFrame:
     words = inputs.benchmark_words(spark, folder)
-    return corpus.dense_of_tables(inputs.documents(spark, folder), words, digits=DIGITS)
+    return corpus.dense_of_tables(inputs.documents(spark, folder), words, digits=DIGITS, **form)
 
 
 def tfidf_sparse_beyond_a_broadcast(spark: SparkSession, folder: str) -> DataFrame:
@@ -359,19 +363,18 @@ def passage_text_column(spark: SparkSession, folder: str) -> DataFrame:
 
 def _lines_in_order(spark: SparkSession, path: str) -> DataFrame:
     """(place, line) of all lines of a folder, in the order of files and lines."""
-    lines = read_lines(spark, path).select("file", "block", "row", F.col("value").alias("word"))
-    return weighting.index_vocabulary(lines, "file", "block", "row").select(F.col("word_idx").alias("place"), F.col("word").alias("line"))
+    return with_place(read_lines(spark, path)).select("place", F.col("value").alias("line"))
 
 
 def _numbers(fields: Column) -> Column:
-    return F.transform(F.slice(fields, 2, F.greatest(F.size(fields) - 1, F.lit(1))), lambda x: x.cast("double"))
+    return F.slice(fields, 2, F.greatest(F.size(fields) - 1, F.lit(1))).cast("array<double>")
 
 
 def dense_csv_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The lines of a dense CSV in their places: the header first, then the passages by id."""
     words = weighting.index_vocabulary(inputs.benchmark_words(spark, folder))
     path = new_folder(spark, "dense-csv")
-    write_dense_csv(tfidf_dense(spark, folder), words, path)
+    write_dense_csv(_dense(spark, folder, ordered=True, text=","), words, path, ordered=True)
     return _dense_csv_rows(spark, path)
 
 
@@ -389,7 +392,7 @@ def _dense_csv_rows(spark: SparkSession, path: str) -> DataFrame:
 def dense_csv_appended(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches of lines added to one folder."""
     path = new_folder(spark, "dense-csv")
-    vectors = stage(tfidf_dense(spark, folder), "vectors")
+    vectors = stage(_dense(spark, folder, text=","), "vectors")
     append_dense_csv(vectors, path)
     append_dense_csv(vectors, path)
     fields = F.split("value", ",")
@@ -400,15 +403,15 @@ def dense_csv_batches(spark: SparkSession, folder: str) -> DataFrame:
     """The lines of a dense CSV to which one batch was added twice: the header, then each passage once."""
     words = stage(weighting.index_vocabulary(inputs.benchmark_words(spark, folder)), "words")
     path = new_folder(spark, "dense-batches")
-    vectors = stage(tfidf_dense(spark, folder), "vectors")
+    vectors = _dense(spark, folder, ordered=True, text=",")
     for _ in range(2):
-        add_dense_batch(vectors, words, path, "documents")
+        add_dense_batch(vectors, words, path, "documents", ordered=True)
     return _dense_csv_rows(spark, f"{path}/*")
 
 
 def dense_vector_lines(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "dense-vectors")
-    write_dense_vectors(tfidf_dense(spark, folder), path)
+    write_dense_vectors(_dense(spark, folder, ordered=True, text=":"), path, ordered=True)
     fields = F.split("line", "[,:]")
     return _lines_in_order(spark, path).select("place", F.get(fields, F.lit(0)).alias("passage_id"), _numbers(fields).alias("vector"))
 

@@ -40,9 +40,9 @@ def first_generation(
     rows = stage(read_passages(spark, passages, header=header), "passages")
     words = read_word_list(spark, word_list, whitespace=True)
     idf = idf_of(corpus_frequency(rows, words, lowercase=False))
-    vectors = dense_tfidf(rows, attach_idf(words, idf), lowercase=False, share_first=True, digits=digits)
+    vectors = dense_tfidf(rows, attach_idf(words, idf), lowercase=False, share_first=True, digits=digits, ordered=output is not None)
     if output is not None:
-        write_dense_vectors(vectors, output)
+        write_dense_vectors(vectors, output, ordered=True)
     return vectors
 
 
@@ -78,18 +78,18 @@ def one_shot(
     rows = stage(read_passages(spark, passages, header=header), "passages")
     words = read_word_list(spark, word_list)
     idf = idf_of(corpus_frequency(rows, words), zero_df)
-    vectors = dense_tfidf(rows, attach_idf(words, idf), empty=empty, digits=digits)
+    vectors = dense_tfidf(rows, attach_idf(words, idf), empty=empty, digits=digits, ordered=output is not None)
     if output is not None:
-        write_dense_csv(vectors, words, output)
+        write_dense_csv(vectors, words, output, ordered=True)
     return vectors
 
 
-def dense_of_tables(passages: DataFrame, words: DataFrame, digits: int | None = None) -> DataFrame:
-    """Dense TF-IDF of a passage table over a table of different words, in ascending order."""
+def dense_of_tables(passages: DataFrame, words: DataFrame, digits: int | None = None, **form) -> DataFrame:
+    """Dense TF-IDF of a passage table over a table of different words, in ascending order; ``form`` as in ``dense_tfidf``."""
     listed = stage(words, "words")
     idf = idf_of(corpus_frequency(passages, listed, vocabulary_is_staged=True))
     listed = index_vocabulary(listed)
-    return dense_tfidf(passages, attach_idf(listed, idf), digits=digits)
+    return dense_tfidf(passages, attach_idf(listed, idf), digits=digits, **form)
 
 
 def show_passage(spark: SparkSession, path: str, passage_id: str, header: bool = True) -> DataFrame:

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passageloom.sinks.files import dense_lines, header_line
+from passageloom.sinks.files import dense_lines, header_line, in_order
 
 HEADER = "header"
 _BATCH = "lines-"
@@ -50,10 +50,11 @@ def batches_of(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n.removeprefix(_BATCH) for n in names if n.startswith(_BATCH))
 
 
-def add_dense_batch(vectors: DataFrame, vocabulary: DataFrame, folder: str, batch: str) -> bool:
+def add_dense_batch(vectors: DataFrame, vocabulary: DataFrame, folder: str, batch: str, ordered: bool = False) -> bool:
     """Add ``id,v,v,...`` lines ascending by id, unless the folder has the batch; true if they were added.
 
-    Vectors are sorted as numbers and become text where they are written, so no rendered line is shuffled.
+    Vectors become text where they are written, so no rendered line is shuffled, and with ``ordered=True`` (rows ascending
+    by id, as ``dense_tfidf(ordered=True)`` gives them) no vector either.
     """
     if not _NAME.fullmatch(batch):
         raise ValueError(f"no name of a batch: {batch!r}")
@@ -67,5 +68,6 @@ def add_dense_batch(vectors: DataFrame, vocabulary: DataFrame, folder: str, batc
         raise ValueError(f"{folder} has lines over another word list")
     if batch in batches_of(spark, folder):
         return False
-    _put(dense_lines(vectors.select("passage_id", "vector").orderBy("passage_id")).select("line"), folder, f"{_BATCH}{batch}")
+    lines = dense_lines(in_order(vectors, ordered)).select("line")
+    _put(lines, folder, f"{_BATCH}{batch}")
     return True

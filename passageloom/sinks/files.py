@@ -26,8 +26,8 @@ def write_idf(idf: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def dense_lines(vectors: DataFrame) -> DataFrame:
-    """(passage_id, line) with ``id,v,v,...``."""
-    values = F.array_join(F.transform("vector", lambda x: x.cast("string")), ",")
+    """(passage_id, line) with ``id,v,v,...``, from vectors or from their text (``dense_tfidf(text=",")``)."""
+    values = F.array_join(F.col("vector").cast("array<string>"), ",") if "vector" in vectors.columns else F.col("values")
     return vectors.select("passage_id", F.concat_ws(",", "passage_id", values).alias("line"))
 
 
@@ -37,15 +37,23 @@ def header_line(vocabulary: DataFrame) -> DataFrame:
     return named.select(F.concat_ws(",", F.lit(DENSE_ID), F.transform("w", lambda x: x["word"])).alias("line"))
 
 
-def write_dense_csv(vectors: DataFrame, vocabulary: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def in_order(vectors: DataFrame, ordered: bool) -> DataFrame:
+    """The rows ascending by id; as they are if they have that order (``dense_tfidf(ordered=True)``)."""
+    return vectors if ordered else vectors.orderBy("passage_id")
+
+
+def write_dense_csv(
+    vectors: DataFrame, vocabulary: DataFrame, path: str, mode: str = "errorifexists", ordered: bool = False
+) -> None:
     """Header ``passageId,<word>,...`` on a line of its own, then ``id,v,v,...`` ascending by id.
 
     The files of the folder hold the lines in this order, the header first. The header is one line by its format, about
-    as long as every line after it; it is the only thing that one task puts together.
+    as long as every line after it; it is the only thing that one task puts together. Vectors become text where they are
+    written, and with ``ordered=True`` (rows ascending by id, as ``dense_tfidf(ordered=True)`` gives them) none is shuffled.
     """
-    header = header_line(vocabulary).select(F.lit(0).alias("part"), F.lit("").alias("passage_id"), "line")
-    rows = dense_lines(vectors).select(F.lit(1).alias("part"), "passage_id", "line")
-    header.unionByName(rows).orderBy("part", "passage_id").select("line").write.mode(mode).text(path, lineSep="\n")
+    # A union keeps the partitions of its sides in their order.
+    rows = dense_lines(in_order(vectors, ordered)).select("line")
+    header_line(vocabulary).unionByName(rows).write.mode(mode).text(path, lineSep="\n")
 
 
 def append_dense_csv(vectors: DataFrame, path: str) -> None:
@@ -53,10 +61,14 @@ def append_dense_csv(vectors: DataFrame, path: str) -> None:
     dense_lines(vectors).select("line").write.mode("append").text(path, lineSep="\n")
 
 
-def write_dense_vectors(vectors: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """``id,v:v:...:v`` ascending by id. No separator follows the last value, so ``read_embeddings`` takes it back."""
-    vectors.orderBy("passage_id").select(
-        F.concat(F.col("passage_id"), F.lit(","), text_of_embedding(F.col("vector")))
+def write_dense_vectors(vectors: DataFrame, path: str, mode: str = "errorifexists", ordered: bool = False) -> None:
+    """``id,v:v:...:v`` ascending by id, from vectors or from their text (``dense_tfidf(text=":")``).
+
+    No separator follows the last value, so ``read_embeddings`` takes it back.
+    """
+    values = text_of_embedding(F.col("vector")) if "vector" in vectors.columns else F.col("values")
+    in_order(vectors, ordered).select(
+        F.concat(F.col("passage_id"), F.lit(","), values)
     ).write.mode(mode).text(path, lineSep="\n")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from passageloom.operators.lookup import lookup_join
@@ -54,6 +54,21 @@ def skip_first_lines(lines: DataFrame) -> DataFrame:
     return lines.mapInArrow(rest, lines.schema)
 
 
+def with_place(lines: DataFrame) -> DataFrame:
+    """Replace ``file``, ``block`` and ``row`` of all lines of a scan by ``place``, from 0 in the order of files and lines.
+
+    Lines are neither sorted nor shuffled: their rows grow within a split, so the sizes of the splits before theirs are
+    added. Both scans are in one plan and have the same splits. The sizes are one row for each split.
+    """
+    splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_size"), F.min("row").alias("_first"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_size").over(before), F.lit(0))
+    starts = splits.select("file", "block", (start - F.col("_first")).alias("_shift"))
+    others = [c for c in lines.columns if c not in ("file", "block", "row")]
+    placed = lines.join(F.broadcast(starts), ["file", "block"])
+    return placed.select((F.col("row") + F.col("_shift")).alias("place"), *others)
+
+
 def with_file_number(spark: SparkSession, lines: DataFrame, path: str | list[str]) -> DataFrame:
     """Replace ``file`` by the number of the file among all files of ``path``, in the order of their names.
 

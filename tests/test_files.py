@@ -8,7 +8,7 @@ from passageloom.operators import terms
 from passageloom.operators.staging import stage
 from passageloom.plans import catalogue, corpus, search
 from passageloom.sinks import files as sinks
-from passageloom.sources.files import read_lines
+from passageloom.sources.files import read_lines, with_place
 from passageloom.sources import embeddings as E
 from passageloom.sources import passages as P
 from passageloom.sources import vocabulary as V
@@ -262,6 +262,36 @@ def test_last_line_wins_however_files_are_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_places_of_lines_without_moving_them(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [f"line {i} " + "x" * (i % 50) for i in range(3000)]
+    for part, at in (("a", 0), ("b", 7), ("c", 1500), ("d", 1500)):
+        until = {"a": 7, "b": 1500, "c": 1500, "d": 3000}[part]
+        (tmp_path / "in" / part).write_text("".join(f"{line}\n" for line in lines[at:until]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1k", "7k", "64m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            placed = with_place(read_lines(spark, str(tmp_path / "in")))
+            assert [r["value"] for r in sorted(placed.collect())] == lines
+            assert sorted(r["place"] for r in placed.collect()) == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_ordered_vectors_are_written_without_a_sort(spark, tmp_path):
+    rows = [(f"{i:03d}", f"0.0,{float(i)}") for i in range(200)]
+    vectors = spark.createDataFrame(rows, "passage_id string, values string").orderBy("passage_id")
+    words = spark.createDataFrame([(0, "b"), (1, "a")], "word_idx int, word string")
+    sinks.write_dense_csv(vectors, words, str(tmp_path / "csv"), ordered=True)
+    assert lines_of(tmp_path / "csv") == ["passageId,b,a", *[f"{i},{v}" for i, v in rows]]
+    sinks.write_dense_vectors(vectors, str(tmp_path / "vectors"), ordered=True)
+    assert lines_of(tmp_path / "vectors") == [f"{i},{v}" for i, v in rows]
+    assert "Sort" not in sinks.in_order(spark.range(3), True)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_header_files_grow_in_number(spark, tmp_path, monkeypatch):
     """More files, not longer ones, for a larger table; the passages stay the same."""
     rows = [(i, f"text {i}, with\na comma") for i in range(300)]

@@ -273,6 +273,19 @@ def test_running_document_frequency(spark, tmp_path):
     assert {r.batch: r.n_passages for r in running.batches(spark, folder).collect()} == {"x": 2, "y": 2, "z": 0, "w": 2}
 
 
+def test_text_of_dense_vectors(spark, g1):
+    """The text for the sinks equals the rendered numbers, whatever stands in the vectors, and ids ascend."""
+    passages = g1.unionByName(spark.createDataFrame([("10", "none of these"), ("11", " ")], PASSAGES)).repartition(3)
+    lists = ([("fox", 0.5), ("unseen", float("inf")), ("red", 1e-7), ("void", None)], [("fox", 0.5)], [("zebra", 1.0)], [])
+    for listed in lists:
+        table = spark.createDataFrame([(i, *row) for i, row in enumerate(listed)], "word_idx int, word string, idf double")
+        for empty in ("zero", "nan"):
+            rows = weighting.dense_tfidf(passages, stage(table, "list"), empty=empty)
+            expected = sorted(map(tuple, rows.select("passage_id", F.array_join(F.transform("vector", lambda x: x.cast("string")), ";")).collect()))
+            got = weighting.dense_tfidf(passages, stage(table, "list"), empty=empty, ordered=True, text=";").collect()
+            assert [tuple(r) for r in got] == expected
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("budget", [1, 150, 400, 1 << 20])
 def test_stored_facts_are_split_by_key(spark, how, budget):
