@@ -324,8 +324,10 @@ def _files_with_header(spark: SparkSession, lines: DataFrame, table: DataFrame)
     )
     dealt = lines.withColumn("file", F.pmod(F.xxhash64("passage_id"), F.lit(files))).drop("passage_id")
     path = new_folder(spark, "header-files")
-    named = header.unionByName(dealt).select(name, "place", "line")
-    ordered = named.repartition(4 * files, "part").sortWithinPartitions("part", "place")
+    task = F.coalesce(F.col("part") * files + F.col("file"), F.lit(0)).cast("int").alias("task")
+    named = header.unionByName(dealt).select(name, "place", "line", task)
+    # A task for each file: by their hash several files would meet in one.
+    ordered = named.repartitionById(4 * files, "task").sortWithinPartitions("part", "place")
     ordered.select("part", "line").write.partitionBy("part").text(path, lineSep="\n")
     return f"{path}/part=*"
 
