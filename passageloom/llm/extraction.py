@@ -1,19 +1,23 @@
-"""Main text of web pages: markup first, then what the pages of a host repeat.
+"""Main text of web pages: what the pages of a host repeat, and markup.
 
 Markup names what is never the article (scripts, styles, menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments, by element, role, class or id) and, on most pages, the article itself. All blocks inside an article or
-main element stay, however often they are copied.
+reader comments, by element, role, class or id) and, on most pages, the article itself. What is left of a page, its
+blocks, is its text.
 
-On the other pages, what is left is compared as token streams. The streams of different texts of a host are put together
-and a suffix array finds the runs of RUN_TOKENS tokens that stand in OPEN_TEXTS different texts and in OPEN_SHARE of them. A
-token lies in a repeated substring of that length or more exactly if it lies in such a run, so suffixes are ranked by
-that many tokens only. A block that repeated substrings cover wholly is boilerplate and is removed; a block with a
-unique run stays whole, so a phrase that pages share is not cut out of their sentences. Pages with the same text count as
-one text: a copy is no boilerplate.
+All texts are compared as token streams, those with an article element and the others (open ones) apart. The streams of
+different texts of a host are put together, and a suffix array finds the runs of RUN_TOKENS tokens that stand in
+OPEN_TEXTS different texts and in OPEN_SHARE of them. The array has all suffixes in their full order; a token lies in a
+repeated substring of RUN_TOKENS tokens or more exactly if it lies in such a run, so longer substrings are chains of runs.
+A block that repeated substrings cover wholly is repeated; a block with a unique run is not, so a phrase that pages share
+is not cut out of their sentences. Pages with the same text count as one text: a copy repeats nothing.
 
-The different texts of a host are dealt by their hash into bins of about BIN_BYTES, and a bin is a task's unit. The texts
-that have a run add up over the bins of a host, so the result depends neither on the size of bins nor on how the table
-is split, and no host meets in one task.
+Markup has the last word: repeated blocks are boilerplate and go where no markup tells the article; blocks inside an
+article or main element all stay, however often they are copied, and are only counted (``n_repeated``).
+
+The different texts of a host are dealt by their hash into bins of about BIN_BYTES, of BIN_TEXTS texts at least, and a bin
+is a task's unit. A run that has OPEN_SHARE of the texts of a host has that share of the texts in one of its bins at
+least, so only runs that do are counted over the whole host. The result depends neither on the size of bins nor on how
+the table is split, and no host meets in one task.
 
 Defined cases: null or empty html, or html without text, gives an empty text; a null url is the host of the empty name;
 equal rows give equal rows each; html that breaks off is read as far as it goes; quotes that are never closed end at the
@@ -26,6 +30,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +42,10 @@ from passageloom.operators.lookup import lookup_join
 from passageloom.operators.staging import stage
 
 BIN_BYTES = 1 << 22
+#: With fewer texts in a bin, a share of them would be a single text, and all its runs would have to be counted.
+BIN_TEXTS = 16
 RUN_TOKENS = 8
-#: Different texts of a host, and share of them, that have to have a run which is boilerplate.
+#: Different texts of a host, and share of them, that have to have a run which counts as repeated.
 OPEN_TEXTS, OPEN_SHARE = 3, 0.2
 
 # Elements by their meaning in HTML, and names that pages give to what is not the article.
@@ -159,41 +166,72 @@ def blocks_of(page: str | None) -> tuple[list[str], bool]:
     return [block for block, within in found if within or not has_article], has_article
 
 
+def suffix_array(tokens: np.ndarray) -> np.ndarray:
+    """The places of all suffixes in their order. Tokens are small numbers from 0, of which the last stands only there.
+
+    Suffixes are sorted by their first few tokens, as many as a key holds, and then by twice as many each time; only
+    those that still have an equal are sorted again.
+    """
+    n = len(tokens)
+    bits = int(tokens.max(initial=0) + 1).bit_length()
+    width = max(1, min(62 // bits, n))
+    key = np.zeros(n, dtype=np.int64)
+    for i in range(width):
+        key <<= bits
+        key[: n - i] |= tokens[i:] + 1
+    order = np.argsort(key, kind="stable")
+    active, same = np.arange(n), key[order]
+    rank = np.empty(n, dtype=np.int64)
+    while len(active):
+        first = np.ones(len(active), dtype=bool)
+        first[1:] = same[1:] != same[:-1]
+        heads = np.flatnonzero(first)
+        rank[order[active]] = active[heads][np.cumsum(first) - 1]
+        sizes = np.diff(heads, append=len(active))
+        active = active[np.repeat(sizes > 1, sizes)]
+        suffixes = order[active]
+        after = suffixes + width
+        same = rank[suffixes] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        again = np.argsort(same, kind="stable")
+        order[active], same = suffixes[again], same[again]
+        width *= 2
+    return order
+
+
 def suffix_runs(streams: list[list[list[str]]], run: int = RUN_TOKENS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The runs of many token streams by a suffix array: (text, block, place, number of the run) of each run.
 
-    The streams are put one after the other with a mark after each block that equals nothing. Ranks of suffixes by
-    their first 1, 2, 4, ... tokens (prefix doubling, cut at ``run``) give the suffix array; suffixes of one rank begin
-    with the same run. Runs lie within a block; a block shorter than ``run`` counts as a run of its own.
+    The streams are put one after the other, with a mark after each block and one that equals nothing after each text.
+    Neighbours in the array that have ``run`` tokens in common begin with the same run. Runs lie within a block; a block
+    shorter than ``run`` counts as a run of its own, with its mark.
     """
-    number: dict[str, int] = {}
-    ids, text_of, block_of, place_of, whole = [], [], [], [], []
-    for text, blocks in enumerate(streams):
-        for no, block in enumerate(blocks):
-            n = len(block)
-            ids += [number.setdefault(t, len(number)) for t in block]
-            ids.append(-1)
-            text_of += [text] * (n + 1)
-            block_of += [no] * (n + 1)
-            place_of += range(n + 1)
-            whole += [n <= run and i == 0 or i + run <= n for i in range(n)] + [False]
-    tokens = np.array(ids, dtype=np.int64)
-    marks = np.flatnonzero(tokens < 0)
-    # Marks are one token here: a block that ends within the run is a run of its own only from its start.
-    tokens[marks] = len(number)
-    rank, width = tokens, 1
-    ends = np.append(marks, len(tokens))
-    stop = ends[np.searchsorted(marks, np.arange(len(tokens)))]
-    while width < run and len(rank):
-        step = min(width, run - width)
-        after = np.full(len(rank), -1, dtype=np.int64)
-        after[: max(0, len(rank) - step)] = rank[step:]
-        after[np.arange(len(rank)) + step > stop] = -1  # behind the mark nothing counts
-        rank = np.unique(rank * (rank.max() + 2) + after + 1, return_inverse=True)[1]
-        width += step
-    starts = np.array(whole, dtype=bool)
-    pick = lambda values: np.array(values, dtype=np.int64)[starts]
-    return pick(text_of), pick(block_of), pick(place_of), rank[starts] if len(rank) else rank
+    sizes = np.array([len(b) for blocks in streams for b in blocks], dtype=np.int64)
+    text_of = np.repeat(np.arange(len(streams)), [len(blocks) for blocks in streams])
+    block_of = np.array([no for blocks in streams for no in range(len(blocks))], dtype=np.int64)
+    begin = np.cumsum(sizes + 1) - (sizes + 1) + text_of
+    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = np.repeat(begin, sizes) + place
+    words = pa.array([t for blocks in streams for b in blocks for t in b], pa.string()).dictionary_encode()
+    mark = len(words.dictionary)
+    tokens = np.full(sizes.sum() + len(sizes) + len(streams), mark, dtype=np.int64)
+    tokens[at] = words.indices.to_numpy()
+    texts_end = np.cumsum([sum(len(b) + 1 for b in blocks) + 1 for blocks in streams], dtype=np.int64) - 1
+    tokens[texts_end] = mark + 1 + np.arange(len(streams))
+    left = np.repeat(sizes, sizes) - place
+    starts = (left >= run) | (place == 0)
+    # Of each run its place in the stream, and how many tokens tell it: those of a short block and its mark.
+    at, told = at[starts], np.minimum(left[starts] + 1, run)
+    index = np.full(len(tokens), -1, dtype=np.int64)
+    index[at] = np.arange(len(at))
+    order = index[suffix_array(tokens)]
+    order = order[order >= 0]
+    equal = np.ones(max(0, len(order) - 1), dtype=bool)
+    for i in range(run):
+        one, other = (np.minimum(at[x] + i, len(tokens) - 1) for x in (order[:-1], order[1:]))
+        equal &= (tokens[one] == tokens[other]) | (i >= told[order[:-1]])
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(np.append(np.zeros(min(1, len(order)), dtype=np.int64), ~equal))
+    return np.repeat(text_of, sizes)[starts], np.repeat(block_of, sizes)[starts], place[starts], number
 
 
 def texts_by_run(texts: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -217,16 +255,37 @@ def covered_blocks(sizes: dict[int, int], hits: list[tuple[int, int]], run: int
     return [block for block, end in reach.items() if end == sizes[block]]
 
 
-def boilerplate(streams: list[list[list[str]]], texts: int) -> list[list[int]]:
-    """For each stream the blocks to remove, where all ``texts`` texts of a host are there."""
-    text, block, place, runs = suffix_runs(streams)
-    _, counts = texts_by_run(text, runs)
-    number = np.unique(runs, return_inverse=True)[1]
-    repeated = counts[number] >= max(OPEN_TEXTS, OPEN_SHARE * texts) if len(runs) else np.zeros(0, dtype=bool)
-    hits: list[list[tuple[int, int]]] = [[] for _ in streams]
-    for t, b, p in zip(text[repeated].tolist(), block[repeated].tolist(), place[repeated].tolist()):
-        hits[t].append((b, p))
-    return [covered_blocks({i: len(b) for i, b in enumerate(blocks)}, sorted(found)) for blocks, found in zip(streams, hits)]
+@lru_cache(maxsize=256)
+def numbered(runs: str) -> tuple[dict[str, int], set[str]]:
+    """The runs of a list by their text, and the words they begin with."""
+    names = runs.split("\n")
+    return {name: i for i, name in enumerate(names)}, {name.split(" ", 1)[0] for name in names}
+
+
+def standing_runs(blocks: list[list[str]], runs: str, run: int = RUN_TOKENS) -> list[tuple[int, int, int]]:
+    """(block, place, number in the list) of the listed runs in a text, sorted."""
+    known, heads = numbered(runs)
+    found = []
+    for no, words in enumerate(blocks):
+        for i in range(max(1, len(words) - run + 1)):
+            if words[i] in heads and (number := known.get(" ".join(words[i : i + run]))) is not None:
+                found.append((no, i, number))
+    return found
+
+
+def repeated_blocks(blocks: list[str], runs: str) -> list[int]:
+    """The blocks of a text that the listed runs cover wholly."""
+    words = [b.split(" ") for b in blocks]
+    return covered_blocks({i: len(w) for i, w in enumerate(words)}, [hit[:2] for hit in standing_runs(words, runs)])
+
+
+def packed(blocks: list[str]) -> bytes:
+    text = "\n".join(blocks).encode()
+    return len(text).to_bytes(8) + pa.compress(text, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> list[str]:
+    return pa.decompress(data[8:], int.from_bytes(data[:8]), codec="zstd", asbytes=True).decode().split("\n")
 
 
 def host_of(url: Column) -> Column:
@@ -247,63 +306,97 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(parse, schema)
 
 
-def open_boilerplate(texts: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
-    """key, removed (numbers of blocks) of the different texts (host, key, blocks) that have boilerplate."""
-    size = F.aggregate("blocks", F.lit(0).cast("long"), lambda total, block: total + F.length(block) + 1)
-    hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("texts"), F.ceil(F.sum(size) / bin_bytes).alias("bins"))
-    known = lookup_join(texts, stage(hosts.where(F.col("texts") >= OPEN_TEXTS), "hosts"), "host")
-    binned = known.withColumn("bin", F.pmod(F.xxhash64("key"), F.col("bins")))
-
-    def streams_of(rows: pa.Table) -> list[list[list[str]]]:
-        return [[b.split(" ") for b in blocks.as_py()] for blocks in rows.column("blocks")]
+def frequent_runs(texts: DataFrame) -> DataFrame:
+    """host, bins, texts, run: what a bin of the different texts (key, host, texts, bins, blocks) has often enough.
 
-    def within(rows: pa.Table) -> pa.Table:
-        removed = boilerplate(streams_of(rows), rows.column("texts")[0].as_py())
-        return pa.table({"key": rows.column("key"), "removed": pa.array(removed, pa.list_(pa.int32()))})
+    Of hosts of one bin these are the repeated runs, of others all that can be.
+    """
 
-    def runs_of(rows: pa.Table) -> pa.Table:
-        streams = streams_of(rows)
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            rows = []
+            for row in zip(*(batch.column(c) for c in ("key", "host", "texts", "bins", "blocks"))):
+                key, host, texts, bins = (v.as_py() for v in row[:4])
+                if key not in seen:
+                    seen.add(key)
+                    rows.append({"key": key, "host": host, "texts": texts, "bins": bins, "bin": int.from_bytes(key[:7]) % bins, "text": packed(row[4].as_py())})
+            yield from pa.Table.from_pylist(rows, schema).to_batches()
+
+    def frequent(rows: pa.Table) -> pa.Table:
+        different = dict(zip(rows.column("key").to_pylist(), rows.column("text").to_pylist()))
+        streams = [[b.split(" ") for b in unpacked(text)] for text in different.values()]
+        host, texts, bins = (rows.column(c)[0].as_py() for c in ("host", "texts", "bins"))
         text, block, place, runs = suffix_runs(streams)
         one, counts = texts_by_run(text, runs)
+        # A little less than the share, so that rounding loses no run.
+        one = one[counts >= (max(OPEN_TEXTS, OPEN_SHARE * texts) if bins == 1 else OPEN_SHARE * len(streams) - 1e-6)]
         names = [" ".join(streams[t][b][p : p + RUN_TOKENS]) for t, b, p in zip(text[one].tolist(), block[one].tolist(), place[one].tolist())]
-        return pa.table({"host": pa.array([rows.column("host")[0].as_py()] * len(one)), "run": pa.array(names, pa.string()), "texts": pa.array([rows.column("texts")[0].as_py()] * len(one), pa.int64()), "n": pa.array(counts, pa.int64())})
+        return pa.table({"host": pa.array([host] * len(names), pa.string()), "bins": pa.array([bins] * len(names), pa.int64()), "texts": pa.array([texts] * len(names), pa.int64()), "run": pa.array(names, pa.string())})
+
+    schema = pa.schema([("key", pa.binary()), ("host", pa.string()), ("texts", pa.int64()), ("bins", pa.int64()), ("bin", pa.int64()), ("text", pa.binary())])
+    # Texts are shuffled packed, and equal ones of a task once.
+    dealt = texts.mapInArrow(deal, "key binary, host string, texts long, bins long, bin long, text binary")
+    return dealt.groupBy("host", "bin").applyInArrow(frequent, "host string, bins long, texts long, run string")
+
+
+def repeated_runs(found: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
+    """host, runs (a line each): the runs that the different texts of a host repeat, where there are any."""
+    size = F.octet_length(F.array_join("blocks", "\n"))
+    texts = found.where("key IS NOT NULL").select("key", "host", "blocks")
+    different = texts.select("key", "host", size.cast("long").alias("size")).distinct()
+    bins = F.least(F.ceil(F.sum("size") / bin_bytes), F.floor(F.count(F.lit(1)) / BIN_TEXTS))
+    hosts = different.groupBy("host").agg(F.count(F.lit(1)).alias("texts"), F.greatest(F.lit(1), bins).cast("long").alias("bins"))
+    dealt = lookup_join(texts, stage(hosts.where(F.col("texts") >= OPEN_TEXTS), "hosts"), "host")
+    frequent = stage(frequent_runs(dealt), "frequent-runs")
+    listed = F.array_join(F.sort_array(F.collect_set("run")), "\n").alias("runs")
+    # Hosts of several bins: the texts that have a run are counted over all of them.
+    asked = stage(frequent.where("bins > 1").groupBy("host").agg(F.max("texts").alias("texts"), listed), "asked-runs")
+
+    def standing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = [sorted({hit[2] for hit in standing_runs([b.split(" ") for b in blocks.as_py()], runs.as_py())}) for blocks, runs in zip(batch.column("blocks"), batch.column("runs"))]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("host"), pa.array(numbers, pa.list_(pa.int32()))], names=["key", "host", "numbers"])
+
+    numbers = lookup_join(texts, asked, "host").mapInArrow(standing, "key binary, host string, numbers array<int>").where(F.size("numbers") > 0)
+    counts = numbers.distinct().select("host", F.explode("numbers").alias("number")).groupBy("host", "number").agg(F.count(F.lit(1)).alias("n"))
+    enough = F.col("n") >= F.greatest(F.lit(float(OPEN_TEXTS)), OPEN_SHARE * F.col("texts"))
+    named = asked.select("host", "texts", F.posexplode(F.split("runs", "\n")).alias("number", "run"))
+    large = counts.join(named, ["host", "number"]).where(enough).select("host", "run")
+    return frequent.where("bins = 1").select("host", "run").unionByName(large).groupBy("host").agg(listed)
+
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def without_repeated(found: DataFrame) -> DataFrame:
+    """page_id, url, text, n_repeated of the pages (with blocks, article and the runs their host repeats)."""
+    kept = [found.schema["page_id"], found.schema["url"]]
+    schema = T.StructType([*kept, T.StructField("text", T.StringType()), T.StructField("n_repeated", T.LongType())])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, host, blocks in zip(*(batch.column(c) for c in ("key", "host", "blocks"))):
-                found = [(no, i, len(b), " ".join(b[i : i + RUN_TOKENS])) for no, b in enumerate(w.split(" ") for w in blocks.as_py()) for i in range(max(1, len(b) - RUN_TOKENS + 1))]
-                columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.string()))]
-                runs = pa.array([f"{host.as_py()} {f[3]}" for f in found], pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(found), pa.string()), *columns[:3], runs], names=["key", "block", "place", "size", "run"])
-
-    @F.udf("array<int>")
-    def covered(hits: list) -> list[int]:
-        return covered_blocks({h["block"]: h["size"] for h in hits}, [(h["block"], h["place"]) for h in hits])
-
-    small = binned.where("bins = 1").groupBy("host").applyInArrow(within, "key string, removed array<int>")
-    # Hosts of several bins: what a bin has of each run is added up over them, and looked up where the run stands.
-    large = binned.where("bins > 1")
-    runs = large.groupBy("host", "bin").applyInArrow(runs_of, "host string, run string, texts long, n long")
-    totals = runs.groupBy("host", "run").agg(F.max("texts").alias("texts"), F.sum("n").alias("n"))
-    repeated = totals.where(F.col("n") >= F.greatest(F.lit(float(OPEN_TEXTS)), OPEN_SHARE * F.col("texts"))).select(F.concat_ws(" ", "host", "run").alias("run"))
-    standing = large.select("key", "host", "blocks").mapInArrow(places, "key string, block int, place int, size int, run string")
-    hits = lookup_join(standing, stage(repeated, "repeated-runs"), "run").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("block", "place", "size"))).alias("hits"))
-    return small.unionByName(hits.select("key", covered("hits").alias("removed"))).where(F.size("removed") > 0)
+            texts, numbers = [], []
+            for row in zip(*(batch.column(c) for c in ("blocks", "article", "runs"))):
+                blocks, article, runs = (v.as_py() for v in row)
+                repeated = set(repeated_blocks(blocks, runs)) if runs and blocks else set()
+                numbers.append(len(repeated))
+                # The exact check: what stands in an article element is the article.
+                texts.append("\n\n".join(b for i, b in enumerate(blocks) if article or i not in repeated))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(numbers, pa.int64())], names=schema.names)
+
+    return found.mapInArrow(join, schema)
 
 
 def extract_text(pages: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
-    """page_id, url, text of every page. Pages with an article are not shuffled."""
+    """page_id, url, text of every page, and n_repeated: how many of its blocks the host repeats."""
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    found = parsed_pages(rows).withColumn("host", host_of(F.col("url")))
+    layout = F.when(F.col("article"), "article ").otherwise("open ")
+    found = parsed_pages(rows).withColumn("host", F.concat(layout, host_of(F.col("url"))))
     # The texts of one host are told apart by a digest, a text of another host is another text.
-    key = F.when(~F.col("article") & (F.size("blocks") > 0), F.sha2(F.concat_ws("\n", "host", F.array_join("blocks", "\n")), 256))
-    found = stage(found.withColumn("key", key), "blocks")
-    texts = stage(found.where("key IS NOT NULL").groupBy("key").agg(F.first("host").alias("host"), F.first("blocks").alias("blocks")), "open-texts")
-    removed = stage(open_boilerplate(texts, bin_bytes), "boilerplate")
-    kept = F.filter("blocks", lambda block, i: ~F.array_contains(F.coalesce("removed", F.array().cast("array<int>")), i.cast("int")))
-    return lookup_join(found, removed, "key", "left").select("page_id", "url", F.array_join(kept, "\n\n").alias("text"))
+    key = F.when(F.size("blocks") > 0, F.unhex(F.sha2(F.concat_ws("\n", "host", F.array_join("blocks", "\n")), 256)))
+    found = stage(found.withColumn("key", key), "blocks", "zstd")
+    runs = stage(repeated_runs(found, bin_bytes), "repeated-runs")
+    return without_repeated(lookup_join(found.drop("key"), runs, "host", "left", stored=True))
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from passageloom.llm import queries, toxicity
 from passageloom.llm.exact_dedup import drop_exact_copies
-from passageloom.llm.extraction import OPEN_SHARE, OPEN_TEXTS, RUN_TOKENS, blocks_of, extract_text, suffix_runs, texts_by_run
+from passageloom.llm.extraction import OPEN_SHARE, OPEN_TEXTS, RUN_TOKENS, blocks_of, extract_text, suffix_array, suffix_runs, texts_by_run
 from passageloom.llm.license_texts import WHOLE_TEXTS
 from passageloom.llm.licenses import BASE_PHRASES, scan_licenses
 from passageloom.llm.quality import HEURISTICS, label_model, patterns, scored, votes
@@ -239,6 +239,51 @@ def test_what_a_host_repeats(spark, bin_bytes, tasks):
     assert all(line in texts[u] and "Story" in texts[u] for u in ("http://mirror.org/a", "http://two.org/a", "http://copy.org/"))
 
 
+def test_suffix_array_against_sorting():
+    rng = np.random.default_rng(3)
+    for n in range(80):
+        tokens = [*rng.integers(0, 1 + n % 4, n).tolist(), 9]
+        assert suffix_array(np.array(tokens)).tolist() == sorted(range(n + 1), key=lambda i: tokens[i:])
+    # Equal far beyond a run: the array has the full order.
+    long = [*[0, 1] * 3000, *[0, 1] * 2000, 2]
+    order = suffix_array(np.array(long)).tolist()
+    assert all(long[a:] < long[b:] for a, b in zip(order[::97], order[1::97]))
+
+
+@pytest.mark.parametrize(("bin_bytes", "tasks"), [(1 << 22, 2), (20_000, 5), (60, 3)])
+def test_pages_with_an_article_pass_the_suffix_array(spark, bin_bytes, tasks):
+    rng = random.Random(5)
+    words = lambda n: " ".join(rng.choice("abcdefgh") + str(rng.randint(0, 9)) for _ in range(n))
+    lines = [words(n) for n in (1, 3, 8, 9, 30)]
+    pages = []
+    for i in range(500):
+        # Shares about OPEN_SHARE, where bins disagree; more of the host's pages have an article than not.
+        body = [line for j, line in enumerate(lines) if rng.random() < 0.18 + 0.02 * j] + [words(rng.randint(1, 20)), f"{words(2)} {lines[4]} {words(2)}"]
+        element = "article" if i % 3 else "div"
+        pages.append((f"http://mixed.org/{i}", f"<{element}>{''.join(f'<p>{b}</p>' for b in body)}</{element}>"))
+    pages += pages[:60] + [(f"http://few.org/{i}", f"<article><p>{lines[3]}</p><p>{words(9)}</p></article>") for i in range(2)]
+    texts, standing = {}, {}
+    for url, html in pages:
+        blocks, article = blocks_of(html)
+        texts.setdefault((url.split("/")[2], article), set()).add(tuple(blocks))
+    runs_of = lambda b: [(i, tuple(b.split(" ")[i : i + RUN_TOKENS])) for i in range(max(1, len(b.split(" ")) - RUN_TOKENS + 1))]
+    for group, found in texts.items():
+        standing[group] = Counter(run for blocks in found for run in {run for b in blocks for _, run in runs_of(b)})
+    expected = Counter()
+    for url, html in pages:
+        blocks, article = blocks_of(html)
+        group, kept = (url.split("/")[2], article), []
+        for b in blocks:
+            least = max(OPEN_TEXTS, OPEN_SHARE * len(texts[group]))
+            covered = {j for i, run in runs_of(b) if standing[group][run] >= least for j in range(i, i + len(run))}
+            kept.append(len(covered) < len(b.split(" ")))
+        expected[url, "\n\n".join(b for b, keep in zip(blocks, kept) if article or keep), kept.count(False)] += 1
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string").repartition(tasks)
+    got = Counter((r.url, r.text, r.n_repeated) for r in extract_text(frame, bin_bytes).collect())
+    assert got == expected
+    assert sum(n for (url, text, repeated), n in got.items() if repeated and lines[4] + "\n" in text) > 50
+
+
 def test_very_long_html_takes_one_pass():
     for piece in ("<a b='", '<a b="', "<", "<a ", "<a b=\"'>", "<!--", "<b>", "</i><b>", "<p>", "<script>", "&", "<a href='x\"> ", "<div class='", "a=", "<a " + " " * 50):
         start = time.time()
