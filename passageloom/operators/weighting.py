@@ -96,6 +96,7 @@ def dense_tfidf(
     budget: int = BROADCAST_BYTES,
     ordered: bool = False,
     text: str | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """(passage_id, vector): the weights of every passage in vocabulary order, rounded if ``digits`` is given.
 
@@ -106,7 +107,8 @@ def dense_tfidf(
     Only the words of the list are grouped: what gets shuffled is one short (index, weight) array for each passage.
     For the sinks, ``ordered=True`` gives the rows ascending by id: these short arrays are sorted, not the filled vectors.
     With a separator as ``text`` the rows are (passage_id, values), the numbers as text between separators: zeros are copied
-    as text and never become numbers.
+    as text and never become numbers. For rows that are used more than once, ``staged=True`` stages the short arrays; vectors
+    or their text are made from them for each use.
     """
     if empty not in ("zero", "nan"):
         raise ValueError(f"empty must be 'zero' or 'nan', not {empty!r}")
@@ -139,6 +141,8 @@ def dense_tfidf(
         lengths = source.select(*group, F.size(T.words(F.col("passage"), lowercase)).cast("bigint").alias("n_words"))
         hits = hits.unionByName(lengths.withColumn("hit", F.lit(None).cast(hits.schema["hit"].dataType)))
     grouped = hits.groupBy(*group).agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_list("hit")).alias("hits"))
+    if staged:
+        grouped = stage(grouped, "hits")
     order = "passage_id" if ordered else None
     if text is not None:
         values = F.col("values")

@@ -372,6 +372,10 @@ def _numbers(fields: Column) -> Column:
     return F.slice(fields, 2, F.greatest(F.size(fields) - 1, F.lit(1))).cast("array<double>")
 
 
+#: A dense line has a number for each word of the list; plain, the lines alone are several times the input.
+LINE_CODEC = "lz4"
+
+
 def dense_csv_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The lines of a dense CSV in their places: the header first, then the passages by id."""
     words = weighting.index_vocabulary(inputs.benchmark_words(spark, folder))
@@ -394,9 +398,9 @@ def _dense_csv_rows(spark: SparkSession, path: str) -> DataFrame:
 def dense_csv_appended(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches of lines added to one folder."""
     path = new_folder(spark, "dense-csv")
-    vectors = stage(_dense(spark, folder, text=","), "vectors")
-    append_dense_csv(vectors, path)
-    append_dense_csv(vectors, path)
+    vectors = _dense(spark, folder, text=",", staged=True)
+    append_dense_csv(vectors, path, LINE_CODEC)
+    append_dense_csv(vectors, path, LINE_CODEC)
     fields = F.split("value", ",")
     return spark.read.text(path).select(F.get(fields, F.lit(0)).alias("passage_id"), _numbers(fields).alias("vector"))
 

@@ -28,13 +28,13 @@ def _paths(spark: SparkSession, folder: str):
     return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _put(lines: DataFrame, folder: str, name: str) -> None:
+def _put(lines: DataFrame, folder: str, name: str, compression: str | None) -> None:
     """Write under a hidden name, then rename; nothing is left of a job that fails."""
     spark = lines.sparkSession
     system, path = _paths(spark, folder)
     begun = f"{folder}/_begun-{uuid.uuid4().hex}"
     try:
-        lines.write.text(begun, lineSep="\n")
+        lines.write.text(begun, compression=compression, lineSep="\n")
         if not system.rename(path(begun), path(f"{folder}/{name}")):
             raise OSError(f"{begun} cannot be renamed to {name}")
     finally:
@@ -50,11 +50,13 @@ def batches_of(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n.removeprefix(_BATCH) for n in names if n.startswith(_BATCH))
 
 
-def add_dense_batch(vectors: DataFrame, vocabulary: DataFrame, folder: str, batch: str, ordered: bool = False) -> bool:
+def add_dense_batch(
+    vectors: DataFrame, vocabulary: DataFrame, folder: str, batch: str, ordered: bool = False, compression: str | None = None
+) -> bool:
     """Add ``id,v,v,...`` lines ascending by id, unless the folder has the batch; true if they were added.
 
     Vectors become text where they are written, so no rendered line is shuffled, and with ``ordered=True`` (rows ascending
-    by id, as ``dense_tfidf(ordered=True)`` gives them) no vector either.
+    by id, as ``dense_tfidf(ordered=True)`` gives them) no vector either. Batches of one folder may differ in ``compression``.
     """
     if not _NAME.fullmatch(batch):
         raise ValueError(f"no name of a batch: {batch!r}")
@@ -63,11 +65,11 @@ def add_dense_batch(vectors: DataFrame, vocabulary: DataFrame, folder: str, batc
     header = header_line(vocabulary)
     if not system.exists(path(f"{folder}/{HEADER}")):
         system.mkdirs(path(folder))
-        _put(header, folder, HEADER)
+        _put(header, folder, HEADER, compression)
     elif not header.exceptAll(spark.read.text(f"{folder}/{HEADER}", lineSep="\n").toDF("line")).isEmpty():
         raise ValueError(f"{folder} has lines over another word list")
     if batch in batches_of(spark, folder):
         return False
     lines = dense_lines(in_order(vectors, ordered)).select("line")
-    _put(lines, folder, f"{_BATCH}{batch}")
+    _put(lines, folder, f"{_BATCH}{batch}", compression)
     return True

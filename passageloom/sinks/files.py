@@ -1,4 +1,9 @@
-"""Text and CSV files in the formats that the readers take back."""
+"""Text and CSV files in the formats that the readers take back.
+
+A dense line is as long as the word list, mostly zeros. With a codec as ``compression`` (``"lz4"``, ``"gzip"``) the same lines
+take about as much room as the words that a passage has; Spark's readers take such files back by their ending. One file is then
+read by one task.
+"""
 
 from __future__ import annotations
 
@@ -43,7 +48,12 @@ def in_order(vectors: DataFrame, ordered: bool) -> DataFrame:
 
 
 def write_dense_csv(
-    vectors: DataFrame, vocabulary: DataFrame, path: str, mode: str = "errorifexists", ordered: bool = False
+    vectors: DataFrame,
+    vocabulary: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    ordered: bool = False,
+    compression: str | None = None,
 ) -> None:
     """Header ``passageId,<word>,...`` on a line of its own, then ``id,v,v,...`` ascending by id.
 
@@ -53,15 +63,17 @@ def write_dense_csv(
     """
     # A union keeps the partitions of its sides in their order.
     rows = dense_lines(in_order(vectors, ordered)).select("line")
-    header_line(vocabulary).unionByName(rows).write.mode(mode).text(path, lineSep="\n")
+    header_line(vocabulary).unionByName(rows).write.mode(mode).text(path, compression=compression, lineSep="\n")
 
 
-def append_dense_csv(vectors: DataFrame, path: str) -> None:
+def append_dense_csv(vectors: DataFrame, path: str, compression: str | None = None) -> None:
     """Add ``id,v,v,...`` lines of one more batch to a folder, without a header and in no special order."""
-    dense_lines(vectors).select("line").write.mode("append").text(path, lineSep="\n")
+    dense_lines(vectors).select("line").write.mode("append").text(path, compression=compression, lineSep="\n")
 
 
-def write_dense_vectors(vectors: DataFrame, path: str, mode: str = "errorifexists", ordered: bool = False) -> None:
+def write_dense_vectors(
+    vectors: DataFrame, path: str, mode: str = "errorifexists", ordered: bool = False, compression: str | None = None
+) -> None:
     """``id,v:v:...:v`` ascending by id, from vectors or from their text (``dense_tfidf(text=":")``).
 
     No separator follows the last value, so ``read_embeddings`` takes it back.
@@ -69,7 +81,7 @@ def write_dense_vectors(vectors: DataFrame, path: str, mode: str = "errorifexist
     values = text_of_embedding(F.col("vector")) if "vector" in vectors.columns else F.col("values")
     in_order(vectors, ordered).select(
         F.concat(F.col("passage_id"), F.lit(","), values)
-    ).write.mode(mode).text(path, lineSep="\n")
+    ).write.mode(mode).text(path, compression=compression, lineSep="\n")
 
 
 def write_embeddings(embeddings: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -56,3 +56,14 @@ def test_refused_and_odd_batches(spark, tmp_path):
     for name in ("", "a/b", "a=b", "a b", "*"):
         with pytest.raises(ValueError, match="name"):
             add_dense_batch(extra, words, folder, name)
+
+
+def test_compressed_batches(spark, tmp_path):
+    folder, words = str(tmp_path / "out"), words_of(spark, "b", "a")
+    one = spark.createDataFrame([("2", [0.5, 0.0]), ("10", [0.25, 1e-7])], VECTORS)
+    two = spark.createDataFrame([("3", [1.0, 2.0])], VECTORS)
+    assert add_dense_batch(one, words, folder, "one", compression="lz4") and not add_dense_batch(one, words, folder, "one", compression="lz4")
+    assert add_dense_batch(two, words, folder, "two")
+    assert seen(spark, folder) == ["10,0.25,1.0E-7", "2,0.5,0.0", "3,1.0,2.0", "passageId,b,a"]
+    with pytest.raises(ValueError, match="word list"):
+        add_dense_batch(two, words_of(spark, "b"), folder, "other", compression="lz4")

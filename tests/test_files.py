@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from passageloom.operators import terms
+from passageloom.operators import staging, terms
 from passageloom.operators.staging import stage
 from passageloom.plans import catalogue, corpus, search
 from passageloom.sinks import files as sinks
@@ -304,3 +304,35 @@ def test_header_files_grow_in_number(spark, tmp_path, monkeypatch):
     assert sorted(catalogue.passages_from_files_with_header(spark, str(tmp_path)).collect()) == expected
     files = glob.glob(f"{written[0]}/part-*")
     assert len(expected) == 301 and len(files) > 8 and all(open(f).readline() == "id,passage\n" for f in files)
+
+
+@pytest.mark.parametrize("job", ["dense_csv_appended"])
+def test_dense_jobs_keep_less_than_their_lines(spark, tmp_path, monkeypatch, job):
+    """All that a job keeps, its lines in every copy too, takes less than half of the plain lines; the vectors are whole."""
+    words, rows = [f"w{i:04d}" for i in range(3000)], [(i, f"w{i:04d} w{i + 7:04d} w{i:04d} other") for i in range(80)]
+    spark.createDataFrame([(1, " ".join(words))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    expected = {r["passage_id"]: r["vector"] for r in catalogue.tfidf_dense(spark, str(tmp_path)).collect()}
+    monkeypatch.setattr(staging, "shared_folder", lambda spark: str(tmp_path / "kept"))
+    got = [r for r in getattr(catalogue, job)(spark, str(tmp_path)).collect() if r["passage_id"] != "passageId"]
+    assert len(expected) == 80 and all(len(v) == 3000 and sum(map(bool, v)) == 2 for v in expected.values())
+    assert len(got) == (160 if job == "dense_csv_appended" else 80) and all(r["vector"] == expected[r["passage_id"]] for r in got)
+    if job != "dense_csv_appended":
+        assert [r["passage_id"] for r in sorted(got, key=lambda r: r["place"])] == sorted(expected)
+    kept = sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(tmp_path / "kept") for f in names)
+    assert kept < 80 * 3000 * len("0.0,") / 2
+
+
+@pytest.mark.parametrize("codec", ["lz4", "gzip"])
+def test_compressed_dense_files_come_back_in_their_places(spark, tmp_path, codec):
+    rows = [(f"{i:03d}", f"0.0,{float(i)}") for i in range(200)]
+    vectors = spark.createDataFrame(rows, "passage_id string, values string").orderBy("passage_id")
+    words = spark.createDataFrame([(0, "b"), (1, "a")], "word_idx int, word string")
+    sinks.write_dense_csv(vectors, words, str(tmp_path / "csv"), ordered=True, compression=codec)
+    sinks.write_dense_vectors(vectors, str(tmp_path / "vectors"), ordered=True, compression=codec)
+    for _ in range(2):
+        sinks.append_dense_csv(vectors, str(tmp_path / "appended"), codec)
+    for folder, expected in (("csv", ["passageId,b,a", *map(",".join, rows)]), ("vectors", list(map(",".join, rows)))):
+        placed = sorted(with_place(read_lines(spark, str(tmp_path / folder))).select("place", "value").collect())
+        assert [tuple(r) for r in placed] == list(enumerate(expected))
+    assert sorted(r["value"] for r in read_lines(spark, str(tmp_path / "appended")).collect()) == sorted(2 * list(map(",".join, rows)))

@@ -286,6 +286,16 @@ def test_text_of_dense_vectors(spark, g1):
             assert [tuple(r) for r in got] == expected
 
 
+def test_staged_hits_give_the_same_text_for_each_use(spark, g1):
+    """The texts are taken apart for the short arrays only, whichever way the list is attached."""
+    listed = stage(spark.createDataFrame([(0, "fox", 0.5), (1, "unseen", 2.0), (2, "red", 1e-7)], "word_idx int, word string, idf double"), "list")
+    for budget in (1, 1 << 20):
+        expected = sorted(map(tuple, weighting.dense_tfidf(g1, listed, budget=budget, text=",").collect()))
+        rows = weighting.dense_tfidf(g1, listed, budget=budget, text=",", staged=True)
+        assert sorted(map(tuple, rows.collect())) == expected == sorted(map(tuple, rows.collect()))
+        assert "split(" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("budget", [1, 150, 400, 1 << 20])
 def test_stored_facts_are_split_by_key(spark, how, budget):
