@@ -417,9 +417,10 @@ def dense_csv_batches(spark: SparkSession, folder: str) -> DataFrame:
 
 def dense_vector_lines(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "dense-vectors")
-    write_dense_vectors(_dense(spark, folder, ordered=True, text=":"), path, ordered=True)
-    fields = F.split("line", "[,:]")
-    return _lines_in_order(spark, path).select("place", F.get(fields, F.lit(0)).alias("passage_id"), _numbers(fields).alias("vector"))
+    write_dense_vectors(_dense(spark, folder, ordered=True, text=":"), path, ordered=True, compression=LINE_CODEC)
+    fields = F.split("line", ",", 2)
+    numbers = F.coalesce(V.embedding_of_text(F.get(fields, F.lit(1))), F.array().cast("array<double>"))
+    return _lines_in_order(spark, path).select("place", F.get(fields, F.lit(0)).alias("passage_id"), numbers.alias("vector"))
 
 
 def answer_lines(spark: SparkSession, folder: str) -> DataFrame:
