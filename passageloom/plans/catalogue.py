@@ -411,7 +411,7 @@ def dense_csv_batches(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "dense-batches")
     vectors = _dense(spark, folder, ordered=True, text=",")
     for _ in range(2):
-        add_dense_batch(vectors, words, path, "documents", ordered=True)
+        add_dense_batch(vectors, words, path, "documents", ordered=True, compression=LINE_CODEC)
     return _dense_csv_rows(spark, f"{path}/*")
 
 
