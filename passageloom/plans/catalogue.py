@@ -380,7 +380,7 @@ def dense_csv_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The lines of a dense CSV in their places: the header first, then the passages by id."""
     words = weighting.index_vocabulary(inputs.benchmark_words(spark, folder))
     path = new_folder(spark, "dense-csv")
-    write_dense_csv(_dense(spark, folder, ordered=True, text=","), words, path, ordered=True)
+    write_dense_csv(_dense(spark, folder, ordered=True, text=","), words, path, ordered=True, compression=LINE_CODEC)
     return _dense_csv_rows(spark, path)
 
 

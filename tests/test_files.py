@@ -306,7 +306,7 @@ def test_header_files_grow_in_number(spark, tmp_path, monkeypatch):
     assert len(expected) == 301 and len(files) > 8 and all(open(f).readline() == "id,passage\n" for f in files)
 
 
-@pytest.mark.parametrize("job", ["dense_csv_appended", "dense_vector_lines", "dense_csv_batches"])
+@pytest.mark.parametrize("job", ["dense_csv_appended", "dense_vector_lines", "dense_csv_batches", "dense_csv_lines"])
 def test_dense_jobs_keep_less_than_their_lines(spark, tmp_path, monkeypatch, job):
     """All that a job keeps, its lines in every copy too, takes less than half of the plain lines; the vectors are whole."""
     words, rows = [f"w{i:04d}" for i in range(3000)], [(i, f"w{i:04d} w{i + 7:04d} w{i:04d} other") for i in range(80)]
